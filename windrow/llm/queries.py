@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, packing, sharding
+from windrow.llm import chat, exact_dedup, packing, piece_codec, sharding, simhash
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +32,10 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n
 """
 
 
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), size=2048, separator=0)
 
@@ -67,6 +71,10 @@ FROM e GROUP BY conv_id
 """
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"), distance=4)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=8)
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -74,8 +82,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_piece_codec": op4_piece_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_simhash": op8_simhash,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op7_chat_formatting": OP7_SQL}
