@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, packing, piece_codec, sharding, simhash
+from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, sharding, simhash
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +32,20 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n
 """
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -82,10 +96,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_top_k": op2_top_k,
     "op4_piece_codec": op4_piece_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_simhash": op8_simhash,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op7_chat_formatting": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_top_k": OP2_SQL, "op7_chat_formatting": OP7_SQL}
