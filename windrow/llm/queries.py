@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, sharding, simhash
+from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, sharding, simhash, substring_dedup
 
 
 def tokenizer_file(name: str) -> str:
@@ -54,6 +54,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), size=2048, separator=0)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_top_k": op2_top_k,
     "op4_piece_codec": op4_piece_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_simhash": op8_simhash,
     "op10_sharding": op10_sharding,
