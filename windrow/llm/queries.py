@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, sharding, simhash, substring_dedup
+from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, quality, sharding, simhash, substring_dedup
 
 
 def tokenizer_file(name: str) -> str:
@@ -46,6 +46,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text")
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -101,6 +105,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_top_k": op2_top_k,
+    "op3_quality": op3_quality,
     "op4_piece_codec": op4_piece_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
