@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, kd_search, packing, piece_codec, quality, sharding, simhash, substring_dedup
+from windrow.llm import chat, exact_dedup, kd_search, packing, pii, piece_codec, quality, sharding, simhash, substring_dedup
 
 
 def tokenizer_file(name: str) -> str:
@@ -97,6 +97,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"), distance=4)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=8)
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_simhash": op8_simhash,
+    "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_top_k": OP2_SQL, "op7_chat_formatting": OP7_SQL}
