@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,14 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed but lies beside the driver's code."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); where it is unset, as in tests, a folder of our own."""
+    reachable(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="windrow-")

@@ -120,3 +120,14 @@ def _once(found: DataFrame, repeated: DataFrame, stays: Column) -> DataFrame:
     joined = rows.join(first, ["digest", "text_sha256"], "left")
     kept = stays & (F.col("__first").isNull() | (F.col("__row") == F.col("__first")))
     return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that :func:`exact_dedup` does not keep."""
+    found = materialize(exact_dedup(docs, id_col=id_col, text_col=text_col), "copies")
+    keyed = docs.withColumn("__sha", F.sha2(normalised(text_col), 256))
+    gone = found.where("not doc_id <=> keep_id").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__gone")).distinct()
+    stay = keyed.join(gone, (F.col("__sha") == F.col("__gone")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    if not found.where("doc_id <=> keep_id and not kept").isEmpty():  # rows that repeat both id and text
+        stay = stay.dropDuplicates([id_col, "__sha"])
+    return stay.select(*docs.columns)

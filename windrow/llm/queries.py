@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.llm import chat, exact_dedup, kd_search, packing, pii, piece_codec, quality, sharding, simhash, substring_dedup
+from windrow.llm._common import reachable
 
 
 def tokenizer_file(name: str) -> str:
@@ -18,6 +19,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -54,14 +54,15 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row."""
+    """doc_id, rk (a hash of id and text) and fp (the fingerprint as a signed long) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py()) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["doc_id", "rk", "fp"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    rk = F.xxhash64(id_col, text_col)
+    return docs.select(F.col(id_col).cast("long"), rk, F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, rk long, fp long")
 
 
 def _forest(x: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -142,17 +143,34 @@ def components(edges: DataFrame) -> DataFrame:
         label = new.select("node", "root")
 
 
+def components_of(docs: DataFrame, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, rk, fp, root (the component's smallest fingerprint) and component_id of each row."""
+    rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
+    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    roots = components(links(classes, distance))
+    rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    of = materialize(rooted.select("fp", "root").join(named, "root").select(F.col("fp").alias("__fp"), "root", "component_id"), "components")
+    return rows.join(of, F.col("fp") == F.col("__fp")).select("doc_id", "rk", "fp", "root", "component_id")
+
+
 def near_dedup(docs: DataFrame, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (hex), component_id (the smallest id that its links reach).
 
     Null texts and texts without words have fingerprint zero and link like any other. Null ids take part but name
     a component only if it has no other (then null). Repeated rows share a component; an empty table gives no rows.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes, distance))
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = materialize(rooted.select("fp", "root").join(named, "root").select(F.col("fp").alias("__fp"), "component_id"), "components")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(of, F.col("fp") == F.col("__fp")).select("doc_id", digits.alias("fingerprint"), "component_id")
+    return components_of(docs, distance, id_col, text_col).select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id."""
+    rows = materialize(components_of(docs, distance, id_col, text_col), "near-copies")
+    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).rk.alias("__stays"))
+    gone = rows.join(stays, "root").where("rk <> __stays").select(F.col("rk").alias("__gone")).distinct()
+    keyed = docs.withColumn("__rk", F.xxhash64(id_col, text_col))
+    stay = keyed.join(gone, F.col("__rk") == F.col("__gone"), "left_anti")
+    if not rows.groupBy("rk").count().where("count > 1").isEmpty():  # rows that repeat both id and text
+        stay = stay.dropDuplicates(["__rk"])
+    return stay.select(*docs.columns)
