@@ -26,7 +26,7 @@ def degrees(whole: Column, minutes: Column, seconds: Column | None, side: Column
 
 def fixed(value: Column, digits: int) -> Column:
     """The exact double rounded half to even, without grouping."""
-    return F.format_number(value, "0." + "0" * digits)
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
 
 
 def _pair(text: Column, pattern: str, groups: str, digits: int, tenths: bool = False) -> Column:
@@ -65,5 +65,7 @@ def is_decimal(text: Column) -> Column:
 
 def parse_coordinate(text: Column) -> Column:
     """Decimal degrees of the first coordinate that can be read; a decimal start and anything unreadable stay. Empty is null."""
-    firsts = [F.when(F.contains(text, F.lit(sep)), parse_one(F.split_part(text, F.lit(sep), F.lit(1)))) for sep in (" - ", ", ", ",")]
-    return F.when(text == "", None).when(is_decimal(text), text).otherwise(F.coalesce(*firsts, parse_one(text), text))
+    firsts = [F.when(F.contains(text, F.lit(sep)), F.split_part(text, F.lit(sep), F.lit(1))) for sep in (" - ", ", ", ",")]
+    # one parser over the candidates, rather than a copy of it for each
+    read = F.filter(F.transform(F.array(*firsts, text), lambda t: F.when(t.isNotNull(), parse_one(t))), lambda c: c.isNotNull())
+    return F.when(text == "", None).when(is_decimal(text), text).otherwise(F.coalesce(F.get(read, 0), text))

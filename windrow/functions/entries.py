@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, where an expression uses it many times over."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def value(entry: Column, field: str) -> Column:
     """The field's text (a number's lexeme, a string without quotes); null if missing or null."""
     return F.get_json_object(entry, f"$.{field}")
@@ -24,7 +31,7 @@ def truthy(entry: Column, field: str) -> Column:
     """Not null, false, zero, empty text, or an empty list or object."""
     v = value(entry, field)
     number = F.coalesce(v.try_cast("double") != 0, F.lit(True))
-    filled = F.when(is_string(entry, field), v != "").when(v.isin("false", "[]", "{}"), False).otherwise(number)
+    filled = F.when(v.isNull(), False).when(is_string(entry, field), v != "").when(v.isin("false", "[]", "{}"), False).otherwise(number)
     return F.coalesce(filled, F.lit(False))
 
 

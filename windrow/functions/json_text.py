@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,24 +65,35 @@ def ascii_json(values: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def python_repr(values: pd.Series) -> pd.Series:
-    """How Python prints a JSON value within a text: a string bare, anything else by its repr."""
+    """How Python prints a JSON value within a text: a string bare, anything else by its repr. Bare text stays as it is."""
 
     def shown(v: str | None) -> str | None:
         if v is None:
             return None
-        value = json.loads(v)
+        try:
+            value = json.loads(v)
+        except ValueError:  # a bare string
+            return v
         return value if isinstance(value, str) else repr(value)
 
     return values.map(shown)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def set_fields(entries: pd.Series, fields: pd.Series) -> pd.Series:
-    """Each entry with the given fields replaced; ``fields``: for each entry a JSON object of the new values."""
+def set_fields(rows: DataFrame, entries: str, fields: str) -> DataFrame:
+    """``rows`` with each entry's given fields replaced, without ``fields``: for each entry a JSON object of the new values."""
 
     def one(raw: list[str] | None, new: list[str | None] | None) -> list[str] | None:
         if raw is None:
             return None
         return [e if not n or n == "{}" else json.dumps({**json.loads(e), **json.loads(n)}, ensure_ascii=False) for e, n in zip(raw, new, strict=True)]
 
-    return pd.Series([one(e, n) for e, n in zip(entries, fields, strict=True)], dtype=object)
+    kept = [f for f in rows.schema if f.name != fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            both = zip(columns[entries].to_pylist(), columns[fields].to_pylist(), strict=True)
+            columns[entries] = pa.array([one(e, n) for e, n in both], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([columns[f.name] for f in kept], names=[f.name for f in kept])
+
+    return rows.mapInArrow(run, T.StructType(kept))

@@ -76,4 +76,4 @@ def progress(notices: DataFrame, done: DataFrame, labeled: DataFrame) -> DataFra
 
 def percent(n: Column, of: Column) -> Column:
     """A share as text with one decimal; null without a base."""
-    return F.format_number(F.try_divide(100.0 * n, of), "0.0")
+    return F.call_function("format_number", F.try_divide(100.0 * n, of), F.lit("0.0"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions.bearings import is_unread_bearing, parse_bearing
 from windrow.functions.coordinates import is_decimal, parse_coordinate
-from windrow.functions.entries import is_string, kind, truthy, value
+from windrow.functions.entries import is_string, kind, let, truthy, value
 from windrow.functions.json_text import set_fields
 
 
@@ -40,25 +40,32 @@ def repaired_counts(labeled: DataFrame, entries: str = "runway_entries") -> Data
     return labeled.select(F.explode(entries).alias("e")).agg(*[F.count_if(c).alias(n) for n, c in flags.items()])
 
 
+def _json_string(text: Column) -> Column:
+    return F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", "")
+
+
+def _degrees_json(bearing: Column) -> Column:
+    """The bearing's new JSON value. Compass points of the eight-part rose are integers, all other degrees floats."""
+    whole = ~bearing.rlike("[0-9]")
+
+    def written(d: Column) -> Column:
+        endless = F.when(d > 0, "Infinity").otherwise("-Infinity")
+        return F.when(d.isNull(), "null").when(F.isnan(d), "NaN").when(F.abs(d) == float("inf"), endless).when(whole & (d % 45 == 0), d.cast("long").cast("string")).otherwise(d.cast("string"))
+
+    return let(parse_bearing(bearing), written)
+
+
 def _changes(entry: Column) -> Column:
     """A JSON object of the fields that a repair sets."""
     runway = F.when(value(entry, "runway") == "ALL", F.lit('"runway": null'))
-    coordinates = F.when(
-        truthy(entry, "obstacleCoordinates") & is_string(entry, "obstacleCoordinates"),
-        F.concat(F.lit('"obstacleCoordinates": '), F.to_json(F.array(parse_coordinate(value(entry, "obstacleCoordinates")))).substr(F.lit(2), F.length(F.to_json(F.array(parse_coordinate(value(entry, "obstacleCoordinates"))))) - 2)),
-    )
-    bearing = value(entry, "obstacleBearing")
-    degrees = parse_bearing(bearing)
-    # compass points that are whole numbers are integers, as are those of the table; all else is a float
-    whole = ~bearing.rlike("[0-9]") & (degrees == F.floor(degrees)) & (degrees % 45 == 0)
-    number = F.when(degrees.isNull(), "null").when(whole, degrees.cast("long").cast("string")).when(F.isnan(degrees), "NaN").when(F.abs(degrees) == float("inf"), F.when(degrees > 0, "Infinity").otherwise("-Infinity")).otherwise(degrees.cast("string"))
-    turned = F.when(truthy(entry, "obstacleBearing"), F.concat(F.lit('"obstacleBearing": '), number))
+    coordinates = let(value(entry, "obstacleCoordinates"), lambda v: F.when((v != "") & is_string(entry, "obstacleCoordinates"), F.concat(F.lit('"obstacleCoordinates": '), _json_string(parse_coordinate(v)))))
+    turned = let(value(entry, "obstacleBearing"), lambda v: F.when(truthy(entry, "obstacleBearing"), F.concat(F.lit('"obstacleBearing": '), _degrees_json(v))))
     return F.concat(F.lit("{"), F.concat_ws(", ", runway, coordinates, turned), F.lit("}"))
 
 
 def fix_entries(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
     """Every entry repaired: ALL becomes null, coordinates decimal, truthy bearings degrees (or null). Other fields stay as they are."""
-    return labeled.withColumn(entries, set_fields(F.col(entries), F.transform(entries, _changes)))
+    return set_fields(labeled.withColumn("__changes", F.transform(entries, _changes)), entries, "__changes")
 
 
 def fix(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:

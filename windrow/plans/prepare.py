@@ -35,7 +35,7 @@ class Prepare:
 
     def filter(self, notices: DataFrame) -> DataFrame:
         files.write_routes(classify.classified(notices), self.at("classified"))
-        return self.spark.read.parquet(self.at("classified")).where("is_relevant")
+        return self.spark.read.parquet(self.at("classified")).where(F.col("is_relevant").cast("boolean"))
 
     def label(self, notices: DataFrame) -> DataFrame:
         """New labels are appended; what the labeler did not answer stays pending for the next run."""

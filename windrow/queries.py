@@ -35,37 +35,24 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-TEXT = """CASE CAST(o_orderkey % 14 AS INT) WHEN 0 THEN 'RWY 09/27 CLSD' WHEN 1 THEN 'TWY A CLSD' WHEN 2 THEN 'RWY 04 ILS U/S' WHEN 3 THEN 'VOR OUT OF SERVICE'
- WHEN 4 THEN 'TWY B CLSD BTN RWY 09 AND APRON' WHEN 5 THEN 'RWY 18 THR DSPLCD 500FT AT TWY C' WHEN 6 THEN '   ' WHEN 7 THEN 'obst crane 200ft agl' WHEN 8 THEN 'BIRD ACTIVITY'
- WHEN 9 THEN 'RWY 27 PAPI INOP' WHEN 10 THEN 'RWY 09 FICON 5/5/5' WHEN 11 THEN NULL WHEN 12 THEN 'rwy 36 closure withdrawn cnl' ELSE 'LGT DEP PROC' END"""
+#: Texts by key, joined so that rules meet a column and the optimizer no branches of literals to fold them into.
+TEXTS = """(SELECT * FROM (VALUES (0, 'RWY 09/27 CLSD'), (1, 'TWY A CLSD'), (2, 'RWY 04 ILS U/S'), (3, 'VOR OUT OF SERVICE'), (4, 'TWY B CLSD BTN RWY 09 AND APRON'), (5, 'RWY 18 THR DSPLCD 500FT AT TWY C'), (6, '   '),
+ (7, 'obst crane 200ft agl'), (8, 'BIRD ACTIVITY'), (9, 'RWY 27 PAPI INOP'), (10, 'RWY 09 FICON 5/5/5'), (12, 'rwy 36 closure withdrawn cnl'), (13, 'LGT DEP PROC')) AS v(text_key, notam_text))"""
+FROM = f"{{orders}} LEFT JOIN {TEXTS} t ON o_orderkey % 14 = text_key"
 NOTICE = f"""o_orderkey AS seq, CAST(o_orderkey AS STRING) AS notam_id, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE concat('K', lpad(CAST(o_orderkey * 7 % 37 AS STRING), 3, '0')) END AS icao_location,
- {TEXT} AS notam_text, concat('2024-01-', lpad(CAST(o_orderkey % 28 + 1 AS STRING), 2, '0')) AS effective_start, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'PERM' END AS effective_end"""
+ notam_text, concat('2024-01-', lpad(CAST(o_orderkey % 28 + 1 AS STRING), 2, '0')) AS effective_start, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'PERM' END AS effective_end"""
 REASON = """CASE WHEN notam_text IS NULL OR NOT regexp_matches(notam_text, '[^\\s\\x1c-\\x1f]') THEN 'empty_text'
  WHEN regexp_matches(regexp_replace(notam_text, '(?im)^.*\\bRWY\\b', '', 'g'), '(?i)\\bTWY\\b') THEN 'taxiway_only'
  WHEN regexp_matches(u, 'ILS|VOR|GPS|NDB|DME|RNAV|LOC|GS|PAPI|VASI|APCH|APPROACH|DEP|SID|STAR|IAP')
   AND (NOT regexp_matches(u, 'RWY|RUNWAY') OR (NOT regexp_matches(u, 'DSPLCD|CLSD|CLOSED|FICON|CONTAMINATED') AND regexp_matches(u, 'U/S|OTS|NOT AVBL|INOP|ON TEST|MAINT'))) THEN 'navigation_only'
  WHEN regexp_matches(u, 'RWY|RUNWAY|THR|FICON|CONTAMINATED|ICE|SN|SLUSH|WATER|WET|COMPACTED|BRAKING|OBST|CRANE|TOWER|HTG|CLSD|CLOSED|DSPLCD|DISPLACED') THEN 'has_relevant_keyword'
  ELSE 'no_relevant_keywords' END"""
-N = f"WITH n0 AS (SELECT {NOTICE} FROM orders), n1 AS (SELECT *, upper(notam_text) AS u FROM n0), n AS (SELECT *, {REASON} AS reason FROM n1) "
+N = f"WITH n0 AS (SELECT {NOTICE} FROM {FROM.format(orders="orders")}), n1 AS (SELECT *, upper(notam_text) AS u FROM n0), n AS (SELECT *, {REASON} AS reason FROM n1) "
 DOCS = f"WITH d0 AS (SELECT doc_id, source, text AS notam_text, upper(replace(text, 'ß', 'SS')) AS u FROM documents), d AS (SELECT *, {REASON} AS reason FROM d0) "
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "orders").selectExpr(*_split(NOTICE))
-
-
-def _split(columns: str) -> list[str]:
-    """Top-level columns of a select list."""
-    out, depth, start, quoted = [], 0, 0, False
-    for i, c in enumerate(columns):
-        if c == "'":
-            quoted = not quoted
-        elif not quoted and c in "()":
-            depth += 1 if c == "(" else -1
-        elif not quoted and c == "," and not depth:
-            out.append(columns[start:i])
-            start = i + 1
-    return [*out, columns[start:]]
+    return spark.sql(f"SELECT {NOTICE} FROM " + FROM, orders=_t(spark, sf_dir, "orders"))
 
 
 _K = "CAST(l_orderkey + l_partkey + l_linenumber AS BIGINT)"
@@ -386,7 +373,7 @@ def _customer(k: str = "c_custkey") -> dict[str, str]:
         "c7": f"concat({n2(lat)}, {n2(m)}, {n2(s)}, '.6', {ns}, ' ', {n2(lon, 3)}, {n2(s)}, {n2(m)}, ',2', {ew})",
         "c8": f"concat({n2(lat)}, {n2(m)}, {n2(s)}, '6', {ns}, {n2(lon, 3)}, {n2(s)}, {n2(m)}, '2', {ew})",
         "many": f"concat({n2(lat)}, {n2(m)}, {ns}, {n2(lon, 3)}, {n2(s)}, {ew}, ' - 5030N00400E')",
-        "decimal": f"concat(CAST({lat} AS STRING), '.5, -', CAST({lon} AS STRING), '.25')",
+        "plain": f"concat(CAST({lat} AS STRING), '.5, -', CAST({lon} AS STRING), '.25')",
         "bad": "'somewhere'",
     }
 
@@ -398,16 +385,22 @@ def _pair_sql(seconds: bool) -> str:
     return f"concat(printf('{f}', CASE WHEN c_custkey % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * ({lat})), ', ', printf('{f}', CASE WHEN c_custkey % 3 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * ({lon})))"
 
 
+_NOTATIONS = ("c1", "c2", "c3", "c4", "c5", "c6", "c7", "c8", "many")
+
+
 @query(
-    "SELECT c_custkey, "
-    + ", ".join(f"{_pair_sql(c not in ('c2', 'c3', 'many'))} AS {c}" for c in ("c1", "c2", "c3", "c4", "c5", "c6", "c7", "c8", "many"))
-    + ", concat((c_custkey % 90)::VARCHAR, '.5, -', (c_custkey % 180)::VARCHAR, '.25') AS \"decimal\", 'somewhere' AS bad FROM customer"
-)
+    "WITH w AS (SELECT c_custkey, "
+    + ", ".join(f"{_pair_sql(c not in ('c2', 'c3', 'many'))} AS {c}" for c in _NOTATIONS)
+    + ", concat((c_custkey % 90)::VARCHAR, '.5, -', (c_custkey % 180)::VARCHAR, '.25') AS plain, 'somewhere' AS bad FROM customer) "
+    + "SELECT c_custkey, notation, degrees FROM w UNPIVOT (degrees FOR notation IN (" + ", ".join(_NOTATIONS) + ", plain, bad))"
+)
 def parse_coordinates(spark, sf_dir):
-    return _t(spark, sf_dir, "customer").select("c_custkey", *[coordinates.parse_coordinate(F.expr(e.replace("''''", "\"'\""))).alias(n) for n, e in _customer().items()])
+    written = F.array(*[F.struct(F.lit(n).alias("notation"), F.expr(e.replace("''''", "\"'\"")).alias("text")) for n, e in _customer().items()])
+    rows = _t(spark, sf_dir, "customer").select("c_custkey", F.explode(written).alias("w")).select("c_custkey", "w.*")
+    return rows.select("c_custkey", "notation", coordinates.parse_coordinate(F.col("text")).alias("degrees"))
 
 
-_BEARING = "CASE CAST(event_id % 8 AS INT) WHEN 0 THEN 'N' WHEN 1 THEN 'nne' WHEN 2 THEN ' SW ' WHEN 3 THEN CAST(event_id % 360 AS STRING) WHEN 4 THEN 'NORTH' WHEN 5 THEN '-12.5' WHEN 6 THEN '' ELSE 'NNW' END"
+_BEARING = "split_part(concat('N|nne| SW |', CAST(event_id % 360 AS STRING), '|NORTH|-12.5||NNW'), '|', CAST(event_id % 8 + 1 AS INT))"
 
 
 @query("SELECT event_id, CASE CAST(event_id % 8 AS INT) WHEN 0 THEN 0 WHEN 1 THEN 22.5 WHEN 2 THEN 225 WHEN 3 THEN event_id % 360 WHEN 5 THEN -12.5 WHEN 7 THEN 337.5 END::DOUBLE AS degrees FROM events")
