@@ -98,10 +98,12 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     low = F.coalesce(F.sum(F.col("gap") + F.col("size")).over(before), F.lit(0)) + F.col("gap")
     placed = narrow.where("kind is not null").withColumn("low", low).withColumn("high", F.col("low") + F.col("size"))
     order = Window.partitionBy("row").orderBy("low", "kind")
+    # what follows, from the end: a frame that grows is folded once, one that shrinks anew for each row
+    backwards = Window.partitionBy("row").orderBy(F.desc("low"), F.desc("kind"))
     base_high = F.when((F.col("kind") < LEARNED) & F.col("valid"), F.col("high"))
     base_low = F.when((F.col("kind") < LEARNED) & F.col("valid"), F.col("low"))
     # identifiers that share a character with a base span are seeds, not findings
-    meets = placed.withColumn("__left", F.max(base_high).over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("__right", F.min(base_low).over(order.rowsBetween(1, Window.unboundedFollowing)))
+    meets = placed.withColumn("__left", F.max(base_high).over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("__right", F.min(base_low).over(backwards.rowsBetween(Window.unboundedPreceding, -1)))
     same = F.max(base_high).over(Window.partitionBy("row", "low"))
     seed = (F.coalesce(F.col("__left"), F.lit(-1)) > F.col("low")) | (F.coalesce(F.col("__right") < F.col("high"), F.lit(False))) | F.col("__same").isNotNull()
     full = meets.withColumn("__same", same).withColumn("seed", seed)
