@@ -66,3 +66,18 @@ def with_rank(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     )
     joined = rows.withColumn("__part", part).join(F.broadcast(before), "__part")
     return joined.withColumn(rank, F.col("__before") + local).drop("__part", "__before", "__at")
+
+
+def likely_in(rows: DataFrame, key: str, keys: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """The rows of ``rows`` whose ``key`` may be among those of ``keys``, by a broadcast filter of at most ``bits / 8`` bytes.
+
+    It lets no member out, whatever the number of keys; a join that follows decides, and has less to shuffle.
+    """
+    word = 32768
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    marked = keys.select(F.floor(at / word).alias("__bucket"), (at % word).alias("__bit"))
+    bitmap = marked.groupBy("__bucket").agg(F.expr("bitmap_construct_agg(__bit)").alias("__bitmap"))
+    probed = rows.withColumn("__at", at).withColumn("__bucket", F.floor(F.col("__at") / word)).join(F.broadcast(bitmap), "__bucket")
+    byte = F.conv(F.hex(F.expr(f"substring(__bitmap, cast(__at % {word} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = probed.withColumn("__byte", byte).where("shiftright(__byte, cast(__at % 8 as int)) & 1 = 1")
+    return hit.select(*rows.columns)

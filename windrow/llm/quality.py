@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize, text_of
+from windrow.llm._common import likely_in, materialize, text_of
 
 ORDER = 5
 #: Entries of the model that one scoring pass holds; more make more passes, not a smaller model.
@@ -263,7 +263,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
     """
     trusted = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id").distinct()
-    rows = docs.select("doc_id", "lang", text_of().alias("text")).join(trusted, "doc_id", "left_semi")
+    # one way of joining at every size; only rows that are likely trusted send their text
+    rows = likely_in(docs.select("doc_id", "lang", text_of().alias("text")), "doc_id", trusted).join(trusted.hint("merge"), "doc_id", "left_semi")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     passed = ("doc_id", "lang", *[c for c in passed if c not in ("doc_id", "lang", "text")])
     fields = docs.withColumn("text", text_of())
