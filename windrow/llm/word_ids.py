@@ -1,7 +1,7 @@
 """Token ids of whole texts by the ``tokenizers`` library, each distinct word encoded once per worker.
 
 The tokenizers used here drop white space and never join across it, so a text's ids are those of its
-ASCII-space separated words in order. Words wholly of letters, or of printable ASCII, skip the library's normaliser and go
+ASCII-space separated words in order. Words wholly of letters, or of printable ASCII, are lower-cased here, skip the library's normaliser and go
 straight to its BPE model; all others take the library's whole path.
 """
 
@@ -46,8 +46,10 @@ class WordIds:
         self.ascii_parts = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 
     def _letters_only(self, word: str) -> list[int] | None:
-        if word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower() == word):
-            return [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]
+        if word.isascii():
+            return [t.id for t in self.model.tokenize(word.lower())]
+        if unicodedata.is_normalized("NFC", word) and word.lower() == word:
+            return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
         return None
 
     def _encode(self, raw: bytes) -> bytes:
