@@ -1,13 +1,12 @@
 """Personal data by fixed patterns and by bootstrapped contexts, in DataFrame operations only.
 
-The fixed patterns give the base spans, which are also the seeds. A lexical pattern is the two words before an
-identifier-like token (one with a digit). Patterns and the instances they hold form a graph: seeds have confidence
-one, a pattern's confidence is that of its distinct instances on average, shrunk where there are few, and an instance's is that of its
-best pattern. After some rounds the patterns above a threshold, held up by enough distinct seeds, mark
-the unseen identifiers that they introduce.
-
-Every row is read once, which leaves only short rows: gaps and lengths of matches, contexts, and hashes
-of instances. Positions are running sums over the matches of a row.
+The fixed patterns give the base spans, which are also the seeds. A lexical pattern is the two words (runs without white
+space, in lower case) before the word in which a base span begins. Patterns and the instances that they hold anywhere, base spans and words
+of any shape, form a graph: seeds have confidence one, a pattern's confidence is that of its distinct instances on average,
+shrunk where there are few, and an instance's is that of its best pattern. After some rounds the patterns above a
+threshold, held up by enough distinct seeds, mark the words that they introduce.
+
+Words are hashed where they are read; only rows with base spans or findings get the positions of their words, as running sums.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize, text_of
+from windrow.llm._common import likely_in, materialize, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LEARNED = 4
@@ -25,8 +24,8 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A token with a digit in it, from its start.
-IDENTIFIER = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A word with the white space before it.
+WORD = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
@@ -50,24 +49,14 @@ def _valid(kind: Column, m: Column) -> Column:
 
 
 def _matches(text: Column, kind: int, pattern: str, present: Column) -> Column:
-    """(kind, gap, m, near) for each match in order: the gap before it, the match, and the last characters of the gap."""
+    """(kind, gap, m) for each match in order: the gap before it, and the match."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    zipped = F.zip_with(gaps, found, lambda g, m: F.struct(F.lit(kind).alias("kind"), F.char_length(g).alias("gap"), m.alias("m")))
+    return F.when(present, F.filter(zipped, lambda s: s.m.isNotNull())).otherwise(F.array().cast("array<struct<kind:int,gap:int,m:string>>"))
 
 
-    def match(g: Column, m: Column) -> Column:
-        near = F.right(g, F.lit(80)) if kind == LEARNED else F.lit(None).cast("string")
-        return F.struct(F.lit(kind).alias("kind"), F.char_length(g).alias("gap"), m.alias("m"), near.alias("near"))
-
-    zipped = F.zip_with(gaps, found, match)
-    return F.when(present, F.filter(zipped, lambda s: s.m.isNotNull())).otherwise(F.array().cast("array<struct<kind:int,gap:int,m:string,near:string>>"))
-
-
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: tuple[str, ...] = ()) -> DataFrame:
-    """A written table: for each row of ``docs`` a row of kind null, and a row for each match.
-
-    Columns: row (a number for the row of ``docs``), doc_id, ``keys``, kind, low, high (code points, end exclusive),
-    valid, context (the two words before an identifier), instance (a hash of its text).
-    """
+def _base_spans(rows: DataFrame) -> DataFrame:
+    """row, kind, low, high (code points, end exclusive), instance (a hash of the text) of each valid match."""
     text = F.col("__text")
     digit = text.rlike("[0-9]")
     kinds = [
@@ -75,47 +64,56 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (1, IP, digit & text.rlike(r"[0-9]\.[0-9]++\.[0-9]")),
         (2, CARD, digit & text.rlike(r"[0-9][0-9\x20-]{12}")),
         (3, PHONE, F.contains(text, F.lit("+")) & text.rlike(r"\+[0-9]")),
-        (LEARNED, IDENTIFIER, digit),
     ]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), *keys, text_of(text_col).alias("__text"))
-    marked = rows.select("row", "doc_id", *keys, F.posexplode_outer(F.flatten(F.array(*[_matches(text, *k) for k in kinds]))).alias("pos", "s"))
-    m = F.col("s.m")
-    words = F.regexp_extract("s.near", r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*$", 0)
-    narrow = marked.select(
-        "row",
-        "doc_id",
-        *keys,
-        "pos",
-        F.col("s.kind").alias("kind"),
-        F.col("s.gap").alias("gap"),
-        F.char_length(m).alias("size"),
-        _valid(F.col("s.kind"), m).alias("valid"),
-        F.lower(F.regexp_replace(F.trim(words), r"[\x20\x09-\x0D]+", " ")).alias("context"),
-        F.when(F.col("s.kind") == LEARNED, F.xxhash64(m)).alias("instance"),
-    )
-    narrow = materialize(narrow, "matches")
+    marked = rows.select("row", F.posexplode(F.flatten(F.array(*[_matches(text, *k) for k in kinds]))).alias("pos", "s"))
+    kind, m = F.col("s.kind"), F.col("s.m")
+    narrow = marked.select("row", "pos", kind.alias("kind"), F.col("s.gap").alias("gap"), F.char_length(m).alias("size"), _valid(kind, m).alias("valid"), F.xxhash64(m).alias("instance"))
     before = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     low = F.coalesce(F.sum(F.col("gap") + F.col("size")).over(before), F.lit(0)) + F.col("gap")
-    placed = narrow.where("kind is not null").withColumn("low", low).withColumn("high", F.col("low") + F.col("size"))
-    order = Window.partitionBy("row").orderBy("low", "kind")
+    placed = materialize(narrow, "matches").withColumn("low", low).withColumn("high", F.col("low") + F.col("size"))
+    return materialize(placed.where("valid").select("row", "kind", "low", "high", "instance"), "base-spans")
+
+
+def _words(rows: DataFrame) -> DataFrame:
+    """row, pos, size (with the white space before), own (without), context (a hash of the two words before), instance (a hash) of each word."""
+    cut = rows.select("row", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)).alias("p"))
+    cut = cut.select("row", "p", F.transform("p", lambda x: F.ltrim(x, F.lit(" \t\n\x0b\x0c\r"))).alias("w"))
+
+    def word(x: Column, i: Column) -> Column:
+        context = F.when(i >= 2, F.xxhash64(F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)))))
+        return F.struct(F.char_length(F.get("p", i)).alias("size"), F.char_length(x).alias("own"), context.alias("context"), F.xxhash64(x).alias("instance"))
+
+    return cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*")
+
+
+def _placed(words: DataFrame) -> DataFrame:
+    """The words with low and high."""
+    upto = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return words.withColumn("high", F.sum("size").over(upto)).withColumn("low", F.col("high") - F.col("own"))
+
+
+def _seeds_and_marks(rows: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(context, instance) of base spans that begin apart from others, and (row, pos) of the words that share a character with one."""
+    words = _placed(_words(likely_in(rows, "row", base.select("row")))).select("row", "pos", F.lit(LEARNED).alias("kind"), "low", "high", "context", F.lit(None).cast("long").alias("instance"))
+    events = words.unionByName(base, allowMissingColumns=True)
+    # a word stands before the spans that begin in it, also at its start
+    order = Window.partitionBy("row").orderBy("low", F.desc("kind"))
     # what follows, from the end: a frame that grows is folded once, one that shrinks anew for each row
-    backwards = Window.partitionBy("row").orderBy(F.desc("low"), F.desc("kind"))
-    base_high = F.when((F.col("kind") < LEARNED) & F.col("valid"), F.col("high"))
-    base_low = F.when((F.col("kind") < LEARNED) & F.col("valid"), F.col("low"))
-    # identifiers that share a character with a base span are seeds, not findings
-    meets = placed.withColumn("__left", F.max(base_high).over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("__right", F.min(base_low).over(backwards.rowsBetween(Window.unboundedPreceding, -1)))
-    same = F.max(base_high).over(Window.partitionBy("row", "low"))
-    seed = (F.coalesce(F.col("__left"), F.lit(-1)) > F.col("low")) | (F.coalesce(F.col("__right") < F.col("high"), F.lit(False))) | F.col("__same").isNotNull()
-    full = meets.withColumn("__same", same).withColumn("seed", seed)
-    columns = ["row", "doc_id", *keys, "kind", "low", "high", "valid", "context", "instance", "seed"]
-    empty = {"kind": "int", "low": "long", "high": "long", "valid": "boolean", "context": "string", "instance": "long", "seed": "boolean"}
-    plain = narrow.where("coalesce(pos, 0) = 0").select("row", "doc_id", *keys, *[F.lit(None).cast(t).alias(c) for c, t in empty.items()])
-    return materialize(full.select(*columns).unionByName(plain), "occurrences")
+    backwards = Window.partitionBy("row").orderBy(F.desc("low"), "kind")
+    earlier = (Window.unboundedPreceding, -1)
+    spans = F.col("kind") < LEARNED
+    reached = F.max(F.when(spans, F.col("high"))).over(order.rowsBetween(*earlier))
+    coming = F.min(F.when(spans, F.col("low"))).over(backwards.rowsBetween(*earlier))
+    of = F.last(F.when(~spans, F.struct("context")), ignorenulls=True).over(order.rowsBetween(*earlier))
+    told = events.withColumn("reached", F.coalesce(reached, F.lit(-1))).withColumn("of", of).withColumn("coming", coming)
+    kept = told.where(spans & (F.col("reached") <= F.col("low")) | ~spans & ((F.col("reached") > F.col("low")) | F.coalesce(F.col("coming") < F.col("high"), F.lit(False))))
+    kept = materialize(kept.select("row", "pos", "kind", F.col("of.context").alias("context"), "instance"), "seeds")
+    return kept.where(spans & F.col("context").isNotNull()).select("context", "instance"), kept.where(~spans).select("row", "pos")
 
 
 def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.7, seeds: int = 3) -> DataFrame:
-    """The contexts (context, confidence) whose instances are mostly personal data, from the table of occurrences."""
-    edges = found.where((F.col("kind") == LEARNED) & (F.col("context") != "")).groupBy("context", "instance").agg(F.max("seed").alias("seed"))
+    """The contexts (context, confidence) whose instances are mostly personal data, from rows (context, instance, seed)."""
+    edges = found.groupBy("context", "instance").agg(F.max("seed").alias("seed"))
     edges = materialize(edges.withColumn("score", F.col("seed").cast("double")), "graph")
     for k in range(rounds):
         patterns = edges.groupBy("context").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"), F.count_if("seed").alias("seeds"))
@@ -126,20 +124,28 @@ def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.
     raise ValueError("at least one round is needed")
 
 
-def _spans(found: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """A row for each row of kind null, and for each base span and learned identifier."""
-    columns = ["row", "doc_id", *keys, "kind", "low", "high"]
-    new = found.where((F.col("kind") == LEARNED) & ~F.col("seed")).join(confident_contexts(found), "context", "left_semi")
-    return found.where(F.col("kind").isNull() | (F.col("kind") < LEARNED) & F.col("valid")).select(*columns).unionByName(new.select(*columns))
+def _spans(rows: DataFrame) -> DataFrame:
+    """row, kind, low, high of each base span and each learned word, from a written table (row, __text)."""
+    base = _base_spans(rows)
+    seeds, marks = _seeds_and_marks(rows, base)
+    contexts = materialize(seeds.select("context").distinct(), "contexts")
+    near = likely_in(_words(rows).select("row", "pos", "context", "instance"), "context", contexts)
+    met = materialize(near.join(contexts, "context", "left_semi").join(marks, ["row", "pos"], "left_anti"), "met")
+    edges = seeds.withColumn("seed", F.lit(True)).unionByName(met.select("context", "instance", F.lit(False).alias("seed")))
+    found = materialize(met.join(confident_contexts(edges), "context", "left_semi").select("row", "pos"), "learned")
+    learned = _placed(_words(likely_in(rows, "row", found.select("row")))).join(found, ["row", "pos"], "left_semi")
+    columns = ["row", "kind", "low", "high"]
+    return base.select(*columns).unionByName(learned.withColumn("kind", F.lit(LEARNED)).select(*columns))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned for each row of ``docs``.
 
     A null text counts as empty and has no spans. Null ids and rows that repeat give a row each; an empty table none.
-    Learned identifiers (kind ``id``) never overlap a base span. Very long runs of digits or letters take time in proportion.
+    Learned words (kind ``id``) never overlap a base span. Very long runs of digits or letters take time in proportion.
     """
-    spans = _spans(occurrences(docs, id_col, text_col), ())
+    texts = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("__text")), "rows")
+    spans = texts.select("row", "doc_id").join(_spans(texts), "row", "left")
     of = F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct("low", "kind", "high"))))
     names = F.array(*[F.lit(k) for k in (*KINDS, "id")])
     rows = spans.groupBy("row").agg(F.first("doc_id").alias("doc_id"), of.alias("s"), *[F.count_if(F.col("kind") == k).alias(f"n_{n}") for k, n in enumerate(KINDS)], F.count_if(F.col("kind") == LEARNED).alias("n_learned"))
@@ -157,7 +163,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     Rows are matched by a hash of id and text, so rows that repeat are redacted alike. Null texts stay null.
     """
     keyed = docs.withColumn("__rk", F.xxhash64(id_col, text_col))
-    spans = _spans(occurrences(keyed, id_col, text_col, ("__rk",)), ("__rk",)).where("kind is not null")
+    texts = materialize(keyed.select(F.monotonically_increasing_id().alias("row"), "__rk", text_of(text_col).alias("__text")), "rows")
+    spans = texts.select("row", "__rk").join(_spans(texts), "row")
     order = Window.partitionBy("row").orderBy("low", "kind")
     reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("__new", F.when(F.col("low") < reached, 0).otherwise(1))
