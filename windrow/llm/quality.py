@@ -25,7 +25,8 @@ ORDER = 5
 SHARD_ENTRIES = 4_000_000
 #: Every so many trusted rows, one calibrates.
 HELD_OUT = 5
-#: Rows a class of length needs for a quantile of its own; below, the language's, and below that the whole, stands in.
+#: Held-out rows from which a language, or its class of length, has quantiles of its held-out rows alone. Languages with fewer are
+#: cross-fitted: each of their trusted rows is scored by a model that has not seen it.
 LEAST = 100
 START, END = "\x02", "\x03"
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -259,7 +260,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     Trusted are rows labelled quality 1 and not toxic (``labels``: doc_id, quality, toxic). A document stays if its
     perplexity is at most ``margin`` times the ``quantile`` of held-out trusted rows of its language and class of length.
     Null texts count as empty; a text without characters has no perplexity and is not kept. Null ids and null
-    languages take part (the latter, and languages with few trusted rows, meet the quantile of all). Rows that repeat are
+    languages take part (the latter, and languages without trusted rows, meet the quantile of all; a language with few has that of
+    all its trusted rows, each scored by a model that has not seen it). Rows that repeat are
     judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
     """
     trusted = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id").distinct()
@@ -274,12 +276,25 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     seen = materialize(perplexity(rows.where(held), model, entries, passed=("doc_id", "lang")).where("perplexity is not null").withColumn("class", length_class()), "held-out")
     cut = [F.percentile_approx("perplexity", quantile, 100_000).alias("q"), F.count("*").alias("n")]
     whole = seen.agg(*cut).first()["q"]
-    limits = seen.groupBy("lang").agg(*cut).where(F.col("n") >= LEAST).select(F.col("lang").alias("__lang"), F.col("q").alias("__q1"))
-    fine = seen.groupBy("lang", "class").agg(*cut).where(F.col("n") >= LEAST).select(F.col("lang").alias("__lang"), F.col("class").alias("__class"), F.col("q").alias("__q2"))
+    full = seen.groupBy("lang").count().where(F.col("count") >= LEAST).select("lang")
+    few = rows.where(F.col("lang").isNotNull()).join(full, "lang", "left_anti")
+    if not few.isEmpty():
+        fold = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT))
+        few = materialize(few.select("doc_id", "lang", "text"), "few")
+        for k in range(1, HELD_OUT):
+            part = few.where(fold == k)
+            if not part.isEmpty():
+                others = train(rows.where(fold != k))
+                seen = seen.unionByName(perplexity(part, others, entries, passed=("doc_id", "lang")).where("perplexity is not null").withColumn("class", length_class()))
+        seen = materialize(seen, "cross-fitted")
+    # with few rows a high quantile is their maximum
+    limits = seen.groupBy("lang").agg(*cut).select(F.col("lang").alias("__lang"), F.col("q").alias("__q1"))
+    fine = seen.groupBy("lang", "class").agg(*cut).select(F.col("lang").alias("__lang"), F.col("class").alias("__class"), F.col("q").alias("__q2"), F.col("n").alias("__n2"))
     # one row for each language: joined in a way that Spark may broadcast after it has seen the size
     scored = perplexity(fields.select(*passed, "text"), model, entries, passed=(*passed, "text")).withColumn("__class", length_class())
     found = scored.join(fine, (F.col("lang") == fine["__lang"]) & (scored["__class"] == fine["__class"]), "left").drop(fine["__lang"], fine["__class"])
     found = found.join(limits, F.col("lang") == F.col("__lang"), "left")
-    limit = margin * F.coalesce("__q2", "__q1", F.lit(whole))
+    # a class of few rows is held to none stricter than its language
+    limit = margin * F.coalesce(F.when(F.col("__n2") >= LEAST, F.col("__q2")).otherwise(F.greatest("__q1", "__q2")), F.lit(whole))
     keep = F.coalesce(F.col("perplexity") <= limit, F.lit(False)) if whole is not None else F.col("perplexity").isNotNull()
     return found.select(*passed, "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"), "text")
