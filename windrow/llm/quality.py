@@ -187,7 +187,9 @@ def _scorers(model: DataFrame, entries: int):
     """(shard, shards, broadcast scorer) one after another; each has its own long grams, and all grams of up to two."""
     size = model.count()
     shards = max(1, -(-size // entries))
-    unseen = float(-np.log(model.where(F.length("gram") == 1).count() + 1))
+    # a character never seen: the weight of the empty context over all symbols and one more
+    weight = model.where("gram = ''").agg(F.max("backoff")).first()[0]
+    unseen = float((weight or 0) - np.log(model.where((F.length("gram") == 1) & F.col("logp").isNotNull()).count() + 1))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
