@@ -27,3 +27,9 @@ def test_redact_removes_what_is_learned(spark):
     rows = [(k, f"please write to: {'abcdef'[k]}@example.com") for k in range(6)] + [(20, "é😀 write to: jane-at-host soon")]
     got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[20] == "é😀 write to: <ID> soon" and got[0] == "please write to: <EMAIL>"
+
+
+def test_words_before_of_any_length(spark):
+    long = "https://example.org/" + "a" * 120
+    rows = [(k, f"from {long} user{k}@example.com") for k in range(6)]
+    assert spans(spark, [*rows, (20, f"from {long} someone1")])[20] == f"id:{len(long) + 6}:{len(long) + 14}"
