@@ -1,254 +1,314 @@
 """Quality classification by the perplexity of an interpolated modified Kneser-Ney model over characters.
 
-Counting, continuation counts, discounts and interpolation are DataFrame joins and aggregates keyed by
-the n-gram. The finished model is a table of (gram, logp, backoff). It is cut into shards by the two characters
-before the predicted one, so that all that a position needs lies in one shard, and a document's log probability is the
-sum of what the shards give. A shard holds a bounded number of entries; a model that fits one is scored in one pass.
+Documents are bound once into shards of about ``SHARD_ENTRIES`` characters: the rows themselves (compressed Arrow), and the
+distinct n-grams of the highest order that their texts hold. From there on all goes by joins:
 
-Trusted rows are split by a hash of their id: most train the model, the others, which it has not seen, give
-the quantiles of perplexity for each language and class of length that a document must not exceed.
+* counts: trusted rows of each shard are counted by n-gram and by fold; sums by n-gram, continuation counts, discounts and
+  interpolation are aggregates and joins keyed by the n-gram, and give the model, a table of (gram, logp, backoff);
+* scores: the distinct n-grams of all shards meet the model, from the highest order down, and each shard is given the
+  probabilities of its own n-grams. No task holds more than a shard and those, and nothing of the model goes to the driver.
+
+Trusted rows are split in folds by a hash of their id: fold 0, which the model has not seen, gives the quantiles of
+perplexity for each language and class of length that a document must not exceed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import likely_in, materialize, text_of
+from windrow.llm._common import materialize, text_of
 
 ORDER = 5
-#: Entries of the model that one scoring pass holds; more make more passes, not a smaller model.
+#: Characters of a shard of documents, unless one text is longer; a size of work, it changes no result.
 SHARD_ENTRIES = 4_000_000
-#: Every so many trusted rows, one calibrates.
+#: Folds of trusted rows; fold 0 calibrates.
 HELD_OUT = 5
 #: Held-out rows from which a language, or its class of length, has quantiles of its held-out rows alone. Languages with fewer are
 #: cross-fitted: each of their trusted rows is scored by a model that has not seen it.
 LEAST = 100
 START, END = "\x02", "\x03"
-_B = np.uint64(0x9E3779B97F4A7C15)
-#: Characters scored at a time.
-CHUNK = 1_000_000
+#: Predictions handled at a time.
+STRETCH = 250_000
+#: Row groups of a few shards, so that a reader holds few at a time.
+_BOUND = {"parquet.block.size": str(16 << 20)}
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the texts, each led by ORDER - 1 starts and closed by an end, white space as spaces; and each text's place."""
-    padded = [START * (ORDER - 1) + t + END for t in texts]
-    codes = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    codes[(codes >= 9) & (codes <= 13)] = 32
-    return codes, np.cumsum([0, *map(len, padded)])
+class Positions:
+    """The predictions of some texts: white space as spaces, each text led by ORDER - 1 starts and closed by an end.
 
+    Characters of a text that look like a start or an end count as spaces.
+    """
 
-def _hash(columns: list[np.ndarray]) -> np.ndarray:
-    """A hash of the n-grams whose characters the columns hold."""
-    h = np.full(len(columns[0]), len(columns), np.uint64)
-    for c in columns:
-        h = (h + c + np.uint64(1)) * _B
-        h ^= h >> np.uint64(29)
-    return h
+    def __init__(self, texts: list[str]):
+        padded = [START * (ORDER - 1) + t + END for t in texts]
+        self.codes = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), "<u4").copy()
+        self.at = np.cumsum([0, *map(len, padded)])
+        inside = np.ones(len(self.codes), bool)
+        for k in range(ORDER - 1):
+            inside[self.at[:-1] + k] = False
+        self.last = np.flatnonzero(inside)
+        inside[self.at[1:] - 1] = False
+        space = inside & ((self.codes >= 9) & (self.codes <= 13) | (self.codes == 2) | (self.codes == 3))
+        self.codes[space] = 32
+        there = np.zeros(int(self.codes.max(initial=0)) + 2, bool)
+        there[self.codes] = True
+        self.rank = np.cumsum(there).astype(np.uint64) - np.uint64(1)
+        self.base = np.uint64(max(2, int(there.sum())))
+        self.parts = None
+        if int(self.base) ** ORDER >= 1 << 63:  # too many different characters for one number: two numbers, each by its rank here
+            r = self.rank[self.codes]
+            high = r[:-1] * self.base + r[1:]
+            self.parts = np.unique(high), np.unique(high[:-1] * self.base + r[2:])
+
+    def keys(self, grams: list[np.ndarray]) -> np.ndarray:
+        """A number for each n-gram of these texts, its own; ``grams`` are the columns of their characters."""
+        r = [self.rank[c] for c in grams]
+        if self.parts is None:
+            key = r[0]
+            for c in r[1:]:
+                key = key * self.base + c
+            return key
+        high, low = self.parts
+        first = np.searchsorted(high, r[0] * self.base + r[1]).astype(np.uint64)
+        return first * np.uint64(len(low)) + np.searchsorted(low, (r[2] * self.base + r[3]) * self.base + r[4]).astype(np.uint64)
+
+    def stretches(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of predicted characters, and the keys of the n-grams that they close."""
+        for k in range(0, len(self.last), STRETCH):
+            own = self.last[k : k + STRETCH]
+            yield own, self.keys([self.codes[own - j] for j in range(ORDER - 1, -1, -1)])
+
+    def distinct(self) -> tuple[list[str], np.ndarray]:
+        """The distinct n-grams and their counts."""
+        keys, places, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for own, h in self.stretches():
+            u, first, n = np.unique(h, return_index=True, return_counts=True)
+            keys.append(u)
+            places.append(own[first])
+            counts.append(n)
+        _, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        at = np.concatenate(places)[first]
+        text = self.codes[at[:, None] + np.arange(1 - ORDER, 1)].tobytes().decode("utf-32-le")
+        return [text[i : i + ORDER] for i in range(0, len(text), ORDER)], np.bincount(back, np.concatenate(counts), len(at)).astype(np.int64)
+
+    def scores(self, grams: list[str], logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log probability of each text and the number of its predictions, from those of all their n-grams."""
+        codes = np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(-1, ORDER)
+        keys = self.keys(list(codes.T))
+        order = np.argsort(keys)
+        keys, logp = keys[order], logp[order]
+        sums = np.zeros(len(self.codes) + 1)
+        for own, h in self.stretches():
+            sums[own + 1] = logp[np.searchsorted(keys, h)]
+        return np.diff(np.cumsum(sums, out=sums)[self.at]), np.diff(self.at) - (ORDER - 1)
+
+
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> pa.Table:
+    return pa.ipc.open_stream(raw).read_all()
+
+
+def bind(docs: DataFrame, characters: int = SHARD_ENTRIES) -> DataFrame:
+    """Shards of ``docs``, written: m, shard, ids and langs (null where ``__text`` is empty), rows (all columns, compressed), grams (the distinct ones).
+
+    ``docs`` has __m (the model that scores the row), __id, __lang and __text beside any others.
+    """
+    m_at, id_at, lang_at, text_at = (docs.columns.index(c) for c in ("__m", "__id", "__lang", "__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        held: dict[int, list[pa.RecordBatch]] = {}
+        sizes: dict[int, int] = {}
+
+        def shard(m: int) -> pa.RecordBatch:
+            nonlocal number
+            rows = pa.Table.from_batches(held.pop(m))
+            sizes[m] = 0
+            texts = rows.column(text_at).to_pylist()
+            ids, langs = ([v if t else None for v, t in zip(rows.column(c).to_pylist(), texts, strict=True)] for c in (id_at, lang_at))
+            kinds = (pa.int32(), pa.int64(), pa.list_(rows.column(id_at).type), pa.list_(pa.string()), pa.binary(), pa.list_(pa.string()))
+            cells = (m, number, ids, langs, _packed(rows), Positions(texts).distinct()[0])
+            number += 1
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], names=["m", "shard", "ids", "langs", "rows", "grams"])
 
+        for batch in batches:
+            for m in pa.compute.unique(batch.column(m_at)).to_pylist():
+                own = batch.filter(pa.compute.equal(batch.column(m_at), m))
+                begin = 0
+                for k, n in enumerate(pa.compute.utf8_length(own.column(text_at)).to_pylist()):
+                    sizes[m] = sizes.get(m, 0) + n + ORDER
+                    if sizes[m] >= characters:
+                        held.setdefault(m, []).append(own.slice(begin, k + 1 - begin))
+                        yield shard(m)
+                        begin = k + 1
+                if begin < own.num_rows:
+                    held.setdefault(m, []).append(own.slice(begin))
+        for m in list(held):
+            yield shard(m)
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of the highest order in each stretch of text, and their counts."""
+    kind = docs.schema["__id"].dataType.simpleString()
+    return materialize(docs.mapInArrow(run, f"m int, shard long, ids array<{kind}>, langs array<string>, rows binary, grams array<string>"), "bound", **_BOUND)
+
+
+def marked(bound: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(shard, at, id, lang, fold) of the rows of ``bound`` that have a text and whose id is one of ``trusted`` (id, fold), written."""
+    rows = bound.select("shard", F.posexplode(F.arrays_zip("ids", "langs")).alias("at", "row")).select("shard", "at", F.col("row.ids").alias("id"), F.col("row.langs").alias("lang"))
+    return materialize(rows.join(trusted, "id").select("shard", "at", "id", "lang", "fold"), "marked")
+
+
+def _of_shards(bound: DataFrame, marks: DataFrame, use, schema: str) -> DataFrame:
+    """``use(rows, marks)`` of each shard that has marks."""
+
+    def run(shards: pa.Table) -> pa.Table:
+        return pa.concat_tables([use(_unpacked(raw.as_py()), own) for raw, own in zip(shards.column("rows"), shards.column("marks").to_pylist(), strict=True)])
+
+    lists = marks.groupBy("shard").agg(F.collect_list(F.struct("at", "fold")).alias("marks"))
+    return bound.select("shard", "rows").join(lists, "shard").groupBy("shard").applyInArrow(run, schema)
 
-    def counted(texts: list[str]) -> pa.RecordBatch:
-        codes, at = _codes(texts)
-        ends = np.ones(len(codes), bool)
-        for k in range(ORDER - 1):
-            ends[at[:-1] + k] = False
-        last = np.flatnonzero(ends)
-        h = _hash([codes[last - k] for k in range(ORDER - 1, -1, -1)])
-        _, first, n = np.unique(h, return_index=True, return_counts=True)
-        grams = codes.astype("<u4")[last[first][:, None] + np.arange(1 - ORDER, 1)]
-        text = grams.tobytes().decode("utf-32-le")
-        return pa.RecordBatch.from_arrays([pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)]), pa.array(n.astype(np.int64))], names=["gram", "c"])
-
-    held, size = [], 0
-    for batch in batches:
-        for t in batch.column(0).to_pylist():
-            held.append(t)
-            size += len(t)
-            if size > 2 * CHUNK:
-                yield counted(held)
-                held, size = [], 0
-    if held:
-        yield counted(held)
+
+def _counted(texts: list[str], fold: int) -> pa.RecordBatch:
+    grams, n = Positions(texts).distinct()
+    return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(np.full(len(grams), fold, np.int32)), pa.array(n)], names=["gram", "fold", "c"])
+
+
+def _by_fold(counts: DataFrame) -> DataFrame:
+    """(gram, c0, c1, ...): counts in each fold, written."""
+    return materialize(counts.groupBy("gram").agg(*[F.sum(F.when(F.col("fold") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(HELD_OUT)]), "grams")
+
+
+def count_marked(bound: DataFrame, marks: DataFrame) -> DataFrame:
+    """(gram, c0, c1, ...) over the marked rows."""
+
+    def count(rows: pa.Table, marks: list[dict]) -> pa.Table:
+        texts = rows.column("__text").to_pylist()
+        return pa.Table.from_batches([_counted([texts[m["at"]] for m in marks if m["fold"] == fold], fold) for fold in sorted({m["fold"] for m in marks})])
+
+    return _by_fold(_of_shards(bound, marks, count, "gram string, fold int, c long"))
 
 
 def train(texts: DataFrame) -> DataFrame:
     """The model of the column ``text``: gram, logp (interpolated, natural log), backoff (log weight as a context)."""
-    counts = materialize(texts.select("text").mapInArrow(_count, "gram string, c long").groupBy("gram").agg(F.sum("c").alias("c")), "grams")
-    orders = {ORDER: counts}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for t in batch.column(0).to_pylist():
+                held.append(t)
+                size += len(t)
+                if size > SHARD_ENTRIES:
+                    yield _counted(held, 1)
+                    held, size = [], 0
+            if held:
+                yield _counted(held, 1)
+
+    return models_of(_by_fold(texts.select(text_of().alias("text")).mapInArrow(count, "gram string, fold int, c long")), [0]).drop("m")
+
+
+def models_of(counts: DataFrame, models: Iterable[int]) -> DataFrame:
+    """The models m that have seen all folds but fold m, at once: m, gram, logp, backoff."""
+    own = [F.struct(F.lit(m).alias("m"), sum((F.col(f"c{k}") for k in range(HELD_OUT) if k != m), F.lit(0)).cast("long").alias("c")) for m in models]
+    order = counts.select("gram", F.explode(F.array(*own)).alias("s")).select("s.m", "gram", "s.c").where("c > 0")
+    union = order
     for n in range(ORDER - 1, 0, -1):  # below the highest order: how many characters precede the gram
         # a gram of nothing but starts is no prediction; an end closes the last gram of a text
-        shorter = orders[n + 1].select(F.substring("gram", 2, n).alias("gram")).where(~F.col("gram").endswith(START))
-        orders[n] = shorter.groupBy("gram").agg(F.count("*").alias("c"))
-    symbols = orders[1].count()
-    lower, model = None, None
-    contexts: dict[int, DataFrame] = {}
-    for n in range(1, ORDER + 1):
-        seen = orders[n]
-        k = seen.agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-        n1, n2, n3, n4 = (max(k[f"n{i}"] or 0, 1) for i in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        d = [max(0.05, min(0.95 * i, i - (i + 1) * y * b / a)) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        context = F.substring("gram", 1, n - 1)
-        totals = seen.groupBy(context.alias("context")).agg(F.sum("c").alias("total"), F.sum(discount).alias("kept_back"))
-        rows = seen.withColumn("context", context).join(totals, "context")
-        weight = F.col("kept_back") / F.col("total")
-        own = (F.col("c") - discount) / F.col("total")
-        if n == 1:
-            p = rows.select("gram", (own + weight / (symbols + 1)).alias("p"))
-        else:
-            suffix = rows.withColumn("suffix", F.substring("gram", 2, n - 1))
-            p = suffix.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("p_low")), "suffix", "left").select(
-                "gram", (own + weight * F.coalesce("p_low", F.lit(1.0) / (symbols + 1))).alias("p")
-            )
-        lower = p = materialize(p, f"order{n}")
-        contexts[n - 1] = materialize(totals.select(F.col("context").alias("gram"), F.log(weight).alias("backoff")), f"contexts{n - 1}")
-        part = p.select("gram", F.log("p").alias("logp"))
-        model = part if model is None else model.unionByName(part)
-    weights = contexts[0]
-    for n in range(1, ORDER):
-        weights = weights.unionByName(contexts[n])
-    return materialize(model.join(weights, "gram", "full").select("gram", "logp", "backoff"), "model")
-
-
-class Scorer:
-    """An open-addressing table of (gram's hash, logp, backoff)."""
-
-    def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray, unseen: float):
-        self.mask = np.uint64((1 << max(4, int(2 * len(keys)).bit_length())) - 1)
-        self.keys = np.zeros(int(self.mask) + 1, np.uint64)
-        self.row = np.full(int(self.mask) + 1, len(keys), np.int32)
-        self.logp, self.backoff = np.append(logp, np.nan).astype(np.float32), np.append(backoff, 0).astype(np.float32)
-        self.unseen = unseen
-        left, slot = np.arange(len(keys)), keys & self.mask
-        while len(left):
-            free = self.row[slot] == len(keys)
-            _, first = np.unique(slot, return_index=True)
-            wins = np.zeros(len(left), bool)
-            wins[first] = True
-            wins &= free
-            self.keys[slot[wins]], self.row[slot[wins]] = keys[left[wins]], left[wins]
-            left, slot = left[~wins], (slot[~wins] + np.uint64(1)) & self.mask
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """The row of each gram, or the number of rows where it is not there."""
-        slot = h & self.mask
-        row = self.row[slot]
-        miss = np.flatnonzero((self.keys[slot] != h) & (row != len(self.logp) - 1))
-        while len(miss):
-            slot[miss] = (slot[miss] + np.uint64(1)) & self.mask
-            row[miss] = self.row[slot[miss]]
-            miss = miss[(self.keys[slot[miss]] != h[miss]) & (row[miss] != len(self.logp) - 1)]
-        return row
-
-    def score(self, texts: list[str], shard: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each text the log probability of the positions that belong to the shard, and their number."""
-        codes, at = _codes(texts)
-        inside = np.ones(len(codes), bool)
-        for k in range(ORDER - 1):
-            inside[at[:-1] + k] = False
-        if shards > 1:
-            inside[2:] &= shard_of(codes[:-2], codes[1:-1], shards) == shard
-        where = np.flatnonzero(inside)
-        total = np.zeros(len(where), np.float32)
-        left = np.arange(len(where))
-        for n in range(ORDER, 0, -1):
-            last = where[left]
-            row = self.find(_hash([codes[last - k] for k in range(n - 1, -1, -1)]))
-            got = self.logp[row]
-            seen = ~np.isnan(got)
-            total[left[seen]] += got[seen]
-            left = left[~seen]
-            if not len(left):
-                break
-            if n > 1:  # the weight of the context that did not lead on
-                last = where[left]
-                total[left] += self.backoff[self.find(_hash([codes[last - k] for k in range(n - 1, 0, -1)]))]
-        total[left] += self.unseen
-        sums = np.zeros(len(codes) + 1)
-        sums[where + 1] = total
-        counts = np.zeros(len(codes) + 1, np.int64)
-        counts[where + 1] = 1
-        return np.diff(np.cumsum(sums)[at]), np.diff(np.cumsum(counts)[at])
-
-
-def shard_of(before: np.ndarray, last: np.ndarray, shards: int) -> np.ndarray:
-    return (_hash([before, last]) >> np.uint64(33)) % np.uint64(shards)
-
-
-def _scorers(model: DataFrame, entries: int):
-    """(shard, shards, broadcast scorer) one after another; each has its own long grams, and all grams of up to two."""
-    size = model.count()
-    shards = max(1, -(-size // entries))
-    # a character never seen: the weight of the empty context over all symbols and one more
-    weight = model.where("gram = ''").agg(F.max("backoff")).first()[0]
-    unseen = float((weight or 0) - np.log(model.where((F.length("gram") == 1) & F.col("logp").isNotNull()).count() + 1))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, owner = np.zeros(batch.num_rows, np.uint64), np.full(batch.num_rows, -1, np.int64)
-            grams = batch.column(0).to_pylist()
-            sizes = np.array([len(g) for g in grams], int)
-            for n in np.unique(sizes).tolist():
-                rows = np.flatnonzero(sizes == n)
-                codes = np.frombuffer("".join([grams[i] for i in rows.tolist()]).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(-1, n) if n else np.zeros((len(rows), 0), np.uint64)
-                if n:
-                    h[rows] = _hash([codes[:, k] for k in range(n)])
-                if n > 2 and shards > 1:
-                    # as a prediction a gram belongs to the two characters before its last, as a context to its last two: it may be in two shards
-                    owner[rows] = shard_of(codes[:, -3], codes[:, -2], shards).astype(np.int64) * shards + shard_of(codes[:, -2], codes[:, -1], shards).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1), batch.column(2), pa.array(owner)], names=["h", "logp", "backoff", "owner"])
-
-    hashed = materialize(model.mapInArrow(split, "h long, logp double, backoff double, owner long"), "model-rows")
-    for shard in range(shards):
-        mine = (F.col("owner") < 0) | (F.floor(F.col("owner") / shards) == shard) | (F.col("owner") % shards == shard)
-        rows = hashed.where(mine).toArrow()  # a shard has a bounded number of entries
-        columns = [rows.column(c).to_numpy().astype(np.float64) for c in ("logp", "backoff")]
-        scorer = Scorer(rows.column("h").to_numpy().view(np.uint64), columns[0], np.nan_to_num(columns[1]), unseen)
-        yield shard, shards, model.sparkSession.sparkContext.broadcast(scorer)
+        order = order.select("m", F.substring("gram", 2, n).alias("gram")).where(~F.col("gram").endswith(START)).groupBy("m", "gram").agg(F.count("*").alias("c"))
+        union = union.unionByName(order)
+    orders = materialize(union, "orders").withColumn("n", F.char_length("gram"))
+    times = [F.greatest(F.count_if(F.col("c") == i), F.lit(1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.expr("n1 / (n1 + 2 * n2)")
+    discounts = [F.greatest(F.lit(0.05), F.least(F.lit(0.95 * i), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"))).alias(f"d{i}") for i in (1, 2, 3)]
+    # a row for each model and order
+    stats = orders.groupBy("m", "n").agg(*times, F.count("*").alias("types")).select("m", "n", "types", *discounts)
+    rows = orders.join(F.broadcast(stats), ["m", "n"])
+    discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+    rows = rows.select("m", "n", "gram", "c", discount.alias("d"), F.substring("gram", F.lit(1), F.col("n") - 1).alias("context"), F.lit(1.0).alias("one") / (F.col("types") + 1))
+    rows = rows.toDF("m", "n", "gram", "c", "d", "context", "uniform")
+    contexts = materialize(rows.groupBy("m", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("kept_back")), "contexts")
+    parts = rows.join(contexts, ["m", "context"]).select("m", "n", "gram", "uniform", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), (F.col("kept_back") / F.col("total")).alias("weight"))
+    p = parts.where("n = 1").select("m", "gram", (F.col("own") + F.col("weight") * F.col("uniform")).alias("p"))
+    unigrams, every = stats.where("n = 1").select(F.col("m").alias("m1"), (1.0 / (F.col("types") + 1)).alias("least")), p
+    for n in range(2, ORDER + 1):
+        lower = p.select(F.col("m").alias("m0"), F.col("gram").alias("suffix"), F.col("p").alias("p_low"))
+        high = parts.where(F.col("n") == n).join(lower, (F.col("m") == F.col("m0")) & (F.substring("gram", 2, n - 1) == F.col("suffix")), "left")
+        high = high.join(F.broadcast(unigrams), F.col("m") == F.col("m1"))
+        p = high.select("m", "gram", (F.col("own") + F.col("weight") * F.coalesce("p_low", "least")).alias("p"))
+        every = every.unionByName(p)
+    weights = contexts.select("m", F.col("context").alias("gram"), F.log(F.col("kept_back") / F.col("total")).alias("backoff"))
+    return materialize(every.select("m", "gram", F.log("p").alias("logp")).join(weights, ["m", "gram"], "full").select("m", "gram", "logp", "backoff"), "model")
+
+
+def resolve(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """(m, gram, logp) of each distinct n-gram of the highest order (m, gram): as the model has it, else by backing off, order by order."""
+
+    def of(n: int, value: str) -> DataFrame:
+        return model.where((F.char_length("gram") == n) & F.col(value).isNotNull()).select(F.col("m").alias("m0"), F.col("gram").alias("k"), F.col(value).alias(f"{value}{n}"))
+
+    def told(rows: DataFrame, n: int, value: str, begin: int) -> DataFrame:
+        return rows.join(of(n, value), (F.col("m") == F.col("m0")) & (F.substring("gram", begin, n) == F.col("k")), "left").drop("m0", "k")
+
+    met = materialize(told(grams.distinct(), ORDER, "logp", 1).select("m", "gram", F.col(f"logp{ORDER}").alias("logp")), "met")
+    # a row for each model
+    symbols = model.where((F.char_length("gram") == 1) & F.col("logp").isNotNull()).groupBy(F.col("m").alias("m1")).agg(F.count("*").alias("symbols"))
+    rest = met.where("logp is null").select("m", "gram").join(F.broadcast(symbols), F.col("m") == F.col("m1"))
+    total, weight = F.lit(None).cast("double"), F.lit(0.0)
+    for n in range(ORDER - 1, -1, -1):  # the context of n characters did not lead on
+        rest = told(rest, n, "backoff", ORDER - n)
+        weight = weight + F.coalesce(F.col(f"backoff{n}"), F.lit(0.0))
+        if n:
+            rest = told(rest, n, "logp", ORDER + 1 - n)
+            total = F.coalesce(total, weight + F.col(f"logp{n}"))
+        else:  # a character never seen: all symbols and one more
+            total = F.coalesce(total, weight - F.log(F.col("symbols") + 1))
+    return met.where("logp is not null").unionByName(rest.select("m", "gram", total.alias("logp")))
+
+
+def score(bound: DataFrame, model: DataFrame, schema: str, columns: list[str]) -> DataFrame:
+    """The ``columns`` (in all, ``schema``) of the rows of ``bound``, with logp and n_tokens."""
+    grams = bound.select(F.col("m").alias("of_m"), F.col("shard").alias("of"), F.explode("grams").alias("gram"))
+    known = resolve(grams.select(F.col("of_m").alias("m"), "gram"), model).select(F.col("m").alias("m2"), F.col("gram").alias("g2"), "logp")
+    told = grams.join(known, (F.col("of_m") == F.col("m2")) & (F.col("gram") == F.col("g2"))).select("of_m", "of", "gram", "logp")
+
+    def run(shard: pa.Table, told: pa.Table) -> pa.Table:
+        parts = []
+        for raw in shard.column("rows"):
+            rows = _unpacked(raw.as_py())
+            at = Positions(rows.column("__text").to_pylist())
+            logp, n = at.scores(told.column("gram").to_pylist(), told.column("logp").to_numpy())
+            parts.append(pa.Table.from_arrays([*[rows.column(c) for c in columns], pa.array(logp), pa.array(n)], names=[*columns, "logp", "n_tokens"]))
+        return pa.concat_tables(parts)
+
+    return bound.select("m", "shard", "rows").groupBy("m", "shard").cogroup(told.groupBy("of_m", "of")).applyInArrow(run, f"{schema}logp double, n_tokens long")
+
+
+def _fields(docs: DataFrame, columns: list[str]) -> str:
+    return "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
+
+
+def _perplexity():
+    return F.when(F.col("n_tokens") > 1, F.exp(-F.col("logp") / F.col("n_tokens"))).alias("perplexity")
 
 
 def perplexity(docs: DataFrame, model: DataFrame, entries: int = SHARD_ENTRIES, text_col: str = "text", passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``passed`` and n_tokens, logp, perplexity of each row; texts without tokens but their end have no perplexity."""
-    fields = {f.name: f for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in passed)
-    parts = []
-    for shard, shards, sent in _scorers(model, entries):
-        key = [] if shards == 1 else [F.monotonically_increasing_id().alias("__row")]
-
-        def run(batches: Iterator[pa.RecordBatch], shard=shard, shards=shards, sent=sent) -> Iterator[pa.RecordBatch]:
-            scorer = sent.value
-            for batch in batches:
-                texts = batch.column(batch.num_columns - 1).to_pylist()
-                logp, n, begin = np.zeros(len(texts)), np.zeros(len(texts), np.int64), 0
-                while begin < len(texts):
-                    end, size = begin, 0
-                    while end < len(texts) and (end == begin or size + len(texts[end]) <= CHUNK):
-                        size += len(texts[end])
-                        end += 1
-                    logp[begin:end], n[begin:end] = scorer.score(texts[begin:end], shard, shards)
-                    begin = end
-                columns = batch.columns[:-1]
-                names = batch.schema.names[:-1]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(logp), pa.array(n)], names=[*names, "logp", "n_tokens"])
-
-        own = docs.select(*key, *passed, text_of(text_col).alias("__text"))
-        parts.append(own.mapInArrow(run, ("__row long, " if key else "") + f"{schema}, logp double, n_tokens long"))
-    if len(parts) == 1:
-        summed = parts[0]
-    else:
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        summed = rows.groupBy("__row").agg(*[F.first(c).alias(c) for c in passed], F.sum("logp").alias("logp"), F.sum("n_tokens").alias("n_tokens")).drop("__row")
-    return summed.withColumn("perplexity", F.when(F.col("n_tokens") > 1, F.exp(-F.col("logp") / F.col("n_tokens"))))
+    """The columns ``passed`` and n_tokens, logp, perplexity of each row; texts without tokens but their end have no perplexity.
+
+    Documents are scored in shards of about ``entries`` characters.
+    """
+    inner = [f"__c{k}" for k in range(len(passed))]
+    rows = _prepared(docs, list(passed), None, None, text_col)
+    scored = score(bind(rows, entries), model.withColumn("m", F.lit(0)), _fields(rows, inner), inner)
+    return scored.select(*[F.col(i).alias(c) for c, i in zip(passed, inner, strict=True)], "n_tokens", "logp", _perplexity())
 
 
 def length_class(tokens: str = "n_tokens"):
@@ -256,47 +316,68 @@ def length_class(tokens: str = "n_tokens"):
     return F.when(F.col(tokens) < 200, 0).when(F.col(tokens) < 1000, 1).otherwise(2)
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin: float = 1.05, entries: int = SHARD_ENTRIES, passed: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang, n_tokens, perplexity, threshold, keep of each row of ``docs`` (doc_id, text, lang), and the columns ``passed``.
+def _judged(rows: DataFrame, labels: DataFrame, passed: list[str], quantile: float, margin: float, entries: int) -> DataFrame:
+    """The columns ``passed`` of ``rows`` (as :func:`bind` takes them), n_tokens, perplexity, threshold, keep."""
+    good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(F.col("doc_id").alias("id")).where("id is not null").distinct()
+    bound = bind(rows, entries)
+    marks = marked(bound, good.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)).cast("int")))
+    if marks.where("fold > 0").isEmpty():
+        return rows.select(*passed, F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.length("__text") > 0).alias("keep"))
+    rare = marks.where("lang is not null").groupBy(F.col("lang").alias("rare")).agg(F.count_if(F.col("fold") == 0).alias("n")).where(F.col("n") < LEAST).select("rare")
+    few = materialize(marks.join(rare, F.col("lang") == F.col("rare"), "left_semi").where("fold > 0"), "few")
+    models = [0]
+    if not few.isEmpty():
 
-    Trusted are rows labelled quality 1 and not toxic (``labels``: doc_id, quality, toxic). A document stays if its
-    perplexity is at most ``margin`` times the ``quantile`` of held-out trusted rows of its language and class of length.
-    Null texts count as empty; a text without characters has no perplexity and is not kept. Null ids and null
-    languages take part (the latter, and languages without trusted rows, meet the quantile of all; a language with few has that of
-    all its trusted rows, each scored by a model that has not seen it). Rows that repeat are
-    judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
-    """
-    trusted = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id").distinct()
-    # one way of joining at every size; only rows that are likely trusted send their text
-    rows = likely_in(docs.select("doc_id", "lang", text_of().alias("text")), "doc_id", trusted).join(trusted.hint("merge"), "doc_id", "left_semi")
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    passed = ("doc_id", "lang", *[c for c in passed if c not in ("doc_id", "lang", "text")])
-    fields = docs.withColumn("text", text_of())
-    if rows.where(~held).isEmpty():
-        return fields.select(*passed, F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.length("text") > 0).alias("keep"), F.col("text").alias("text"))
-    model = train(rows.where(~held))
-    seen = materialize(perplexity(rows.where(held), model, entries, passed=("doc_id", "lang")).where("perplexity is not null").withColumn("class", length_class()), "held-out")
+        def take(rows: pa.Table, marks: list[dict]) -> pa.Table:
+            part = rows.take(pa.array([m["at"] for m in marks]))
+            return part.set_column(part.column_names.index("__m"), "__m", pa.array([m["fold"] for m in marks], pa.int32()))
+
+        models = range(HELD_OUT)
+        bound = bound.unionByName(bind(_of_shards(bound, few, take, _fields(rows, rows.columns).rstrip(", ")), entries))
+    inner = [*passed, "__m", "__id", "__lang"]
+    judged = score(bound, models_of(count_marked(bound.where("m = 0"), marks), models), _fields(rows, inner), inner)
+    judged = materialize(judged.select(*inner, "n_tokens", _perplexity(), length_class().alias("__class")), "scored")
+    scored = judged.where("__m = 0")
+    ids = marks.where("fold = 0").select("id").distinct()
+    seen = scored.where("perplexity is not null").join(ids, F.col("__id") == F.col("id"), "left_semi").unionByName(judged.where("__m > 0")).select("__lang", "perplexity", "__class")
     cut = [F.percentile_approx("perplexity", quantile, 100_000).alias("q"), F.count("*").alias("n")]
+    seen = materialize(seen, "calibration")
     whole = seen.agg(*cut).first()["q"]
-    full = seen.groupBy("lang").count().where(F.col("count") >= LEAST).select("lang")
-    few = rows.where(F.col("lang").isNotNull()).join(full, "lang", "left_anti")
-    if not few.isEmpty():
-        fold = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT))
-        few = materialize(few.select("doc_id", "lang", "text"), "few")
-        for k in range(1, HELD_OUT):
-            part = few.where(fold == k)
-            if not part.isEmpty():
-                others = train(rows.where(fold != k))
-                seen = seen.unionByName(perplexity(part, others, entries, passed=("doc_id", "lang")).where("perplexity is not null").withColumn("class", length_class()))
-        seen = materialize(seen, "cross-fitted")
     # with few rows a high quantile is their maximum
-    limits = seen.groupBy("lang").agg(*cut).select(F.col("lang").alias("__lang"), F.col("q").alias("__q1"))
-    fine = seen.groupBy("lang", "class").agg(*cut).select(F.col("lang").alias("__lang"), F.col("class").alias("__class"), F.col("q").alias("__q2"), F.col("n").alias("__n2"))
+    limits = seen.groupBy("__lang").agg(*cut).select(F.col("__lang").alias("__l1"), F.col("q").alias("__q1"))
+    fine = seen.groupBy("__lang", "__class").agg(*cut).select(F.col("__lang").alias("__l2"), F.col("__class").alias("__k2"), F.col("q").alias("__q2"), F.col("n").alias("__n2"))
     # one row for each language: joined in a way that Spark may broadcast after it has seen the size
-    scored = perplexity(fields.select(*passed, "text"), model, entries, passed=(*passed, "text")).withColumn("__class", length_class())
-    found = scored.join(fine, (F.col("lang") == fine["__lang"]) & (scored["__class"] == fine["__class"]), "left").drop(fine["__lang"], fine["__class"])
-    found = found.join(limits, F.col("lang") == F.col("__lang"), "left")
+    found = scored.join(fine, (F.col("__lang") == F.col("__l2")) & (F.col("__class") == F.col("__k2")), "left").join(limits, F.col("__lang") == F.col("__l1"), "left")
     # a class of few rows is held to none stricter than its language
     limit = margin * F.coalesce(F.when(F.col("__n2") >= LEAST, F.col("__q2")).otherwise(F.greatest("__q1", "__q2")), F.lit(whole))
     keep = F.coalesce(F.col("perplexity") <= limit, F.lit(False)) if whole is not None else F.col("perplexity").isNotNull()
-    return found.select(*passed, "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"), "text")
+    return found.select(*passed, "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"))
+
+
+def _prepared(docs: DataFrame, passed: list[str], id_col: str | None, lang_col: str | None, text_col: str) -> DataFrame:
+    """The columns that :func:`bind` needs, and those passed under names of our own."""
+    own = [F.col(id_col) if id_col else F.lit(None).cast("long"), F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")]
+    named = [c.alias(n) for c, n in zip(own, ("__id", "__lang"), strict=True)]
+    return docs.select(*[F.col(c).alias(f"__c{k}") for k, c in enumerate(passed)], F.lit(0).alias("__m"), *named, text_of(text_col).alias("__text"))
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin: float = 1.05, entries: int = SHARD_ENTRIES) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity, threshold, keep of each row of ``docs`` (doc_id, text, lang).
+
+    Trusted are rows labelled quality 1 and not toxic (``labels``: doc_id, quality, toxic). A document stays if its
+    perplexity is at most ``margin`` times the ``quantile`` of held-out trusted rows of its language and class of length.
+    Null texts count as empty; a text without characters has no perplexity and is not kept. Null ids and null
+    languages take part (the latter, and languages without trusted rows, meet the quantile of all; a language with few has that of
+    all its trusted rows, each scored by a model that has not seen it; without a column ``lang`` all languages are null). Rows that repeat are
+    judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
+    Other columns of ``docs`` are neither read nor returned.
+    """
+    judged = _judged(_prepared(docs, [], "doc_id", "lang", "text").withColumns({"__c0": F.col("__id"), "__c1": F.col("__lang")}), labels, ["__c0", "__c1"], quantile, margin, entries)
+    return judged.withColumnsRenamed({"__c0": "doc_id", "__c1": "lang"})
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin: float = 1.05, entries: int = SHARD_ENTRIES, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that :func:`classify` does not keep; all columns stay, whatever their names."""
+    inner = [f"__c{k}" for k in range(len(docs.columns))]
+    judged = _judged(_prepared(docs, docs.columns, id_col, lang_col, text_col), labels, inner, quantile, margin, entries)
+    return judged.where("keep").select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)])

@@ -49,7 +49,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text")
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
