@@ -1,12 +1,13 @@
 """Quality classification by the perplexity of an interpolated modified Kneser-Ney model over characters.
 
-Documents are bound once into shards of about ``SHARD_ENTRIES`` characters: the rows themselves (compressed Arrow), and the
-distinct n-grams of the highest order that their texts hold. From there on all goes by joins:
+Documents are bound once into bundles of about ``BUNDLE`` characters (compressed Arrow), written; a row is known by its
+bundle and its place there from then on.
 
-* counts: trusted rows of each shard are counted by n-gram and by fold; sums by n-gram, continuation counts, discounts and
+* counts: trusted rows of each bundle are counted by n-gram and by fold; sums by n-gram, continuation counts, discounts and
   interpolation are aggregates and joins keyed by the n-gram, and give the model, a table of (gram, logp, backoff);
-* scores: the distinct n-grams of all shards meet the model, from the highest order down, and each shard is given the
-  probabilities of its own n-grams. No task holds more than a shard and those, and nothing of the model goes to the driver.
+* scores: the model is cut into shards of a bounded number of entries, by the two characters before the predicted one, so that all
+  that a prediction needs lies in one shard. Each shard passes over the bundles, and the sums of what all give, by bundle and place,
+  are the documents' log probabilities. The plan is the same for one shard and for many.
 
 Trusted rows are split in folds by a hash of their id: fold 0, which the model has not seen, gives the quantiles of
 perplexity for each language and class of length that a document must not exceed.
@@ -18,6 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +27,22 @@ from pyspark.sql import functions as F
 from windrow.llm._common import materialize, text_of
 
 ORDER = 5
-#: Characters of a shard of documents, unless one text is longer; a size of work, it changes no result.
-SHARD_ENTRIES = 4_000_000
+#: Characters of a bundle of documents, unless one text is longer; a size of work, it changes no result.
+BUNDLE = 4_000_000
+#: Entries of the model that one scoring pass holds; more make more passes, not a smaller model.
+SHARD_ENTRIES = 2_500_000
+#: Characters scored at a time.
+CHUNK = 500_000
 #: Folds of trusted rows; fold 0 calibrates.
 HELD_OUT = 5
 #: Held-out rows from which a language, or its class of length, has quantiles of its held-out rows alone. Languages with fewer are
 #: cross-fitted: each of their trusted rows is scored by a model that has not seen it.
 LEAST = 100
 START, END = "\x02", "\x03"
+_B = np.uint64(0x9E3779B97F4A7C15)
 #: Predictions handled at a time.
 STRETCH = 250_000
-#: Row groups of a few shards, so that a reader holds few at a time.
+#: Row groups of a few bundles, so that a reader holds few at a time.
 _BOUND = {"parquet.block.size": str(16 << 20)}
 
 
@@ -97,17 +104,6 @@ class Positions:
         text = self.codes[at[:, None] + np.arange(1 - ORDER, 1)].tobytes().decode("utf-32-le")
         return [text[i : i + ORDER] for i in range(0, len(text), ORDER)], np.bincount(back, np.concatenate(counts), len(at)).astype(np.int64)
 
-    def scores(self, grams: list[str], logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The log probability of each text and the number of its predictions, from those of all their n-grams."""
-        codes = np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(-1, ORDER)
-        keys = self.keys(list(codes.T))
-        order = np.argsort(keys)
-        keys, logp = keys[order], logp[order]
-        sums = np.zeros(len(self.codes) + 1)
-        for own, h in self.stretches():
-            sums[own + 1] = logp[np.searchsorted(keys, h)]
-        return np.diff(np.cumsum(sums, out=sums)[self.at]), np.diff(self.at) - (ORDER - 1)
-
 
 def _packed(rows: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
@@ -120,8 +116,8 @@ def _unpacked(raw: bytes) -> pa.Table:
     return pa.ipc.open_stream(raw).read_all()
 
 
-def bind(docs: DataFrame, characters: int = SHARD_ENTRIES) -> DataFrame:
-    """Shards of ``docs``, written: m, shard, ids and langs (null where ``__text`` is empty), rows (all columns, compressed), grams (the distinct ones).
+def bind(docs: DataFrame, characters: int = BUNDLE) -> DataFrame:
+    """Bundles of ``docs``, written: m, bundle, ids, langs, sizes (characters of ``__text``), rows (all columns, compressed).
 
     ``docs`` has __m (the model that scores the row), __id, __lang and __text beside any others.
     """
@@ -132,16 +128,14 @@ def bind(docs: DataFrame, characters: int = SHARD_ENTRIES) -> DataFrame:
         held: dict[int, list[pa.RecordBatch]] = {}
         sizes: dict[int, int] = {}
 
-        def shard(m: int) -> pa.RecordBatch:
+        def bundle(m: int) -> pa.RecordBatch:
             nonlocal number
             rows = pa.Table.from_batches(held.pop(m))
             sizes[m] = 0
-            texts = rows.column(text_at).to_pylist()
-            ids, langs = ([v if t else None for v, t in zip(rows.column(c).to_pylist(), texts, strict=True)] for c in (id_at, lang_at))
-            kinds = (pa.int32(), pa.int64(), pa.list_(rows.column(id_at).type), pa.list_(pa.string()), pa.binary(), pa.list_(pa.string()))
-            cells = (m, number, ids, langs, _packed(rows), Positions(texts).distinct()[0])
+            kinds = (pa.int32(), pa.int64(), pa.list_(rows.column(id_at).type), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary())
+            cells = (m, number, rows.column(id_at).to_pylist(), rows.column(lang_at).to_pylist(), pa.compute.utf8_length(rows.column(text_at)).to_pylist(), _packed(rows))
             number += 1
-            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], names=["m", "shard", "ids", "langs", "rows", "grams"])
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], names=["m", "bundle", "ids", "langs", "sizes", "rows"])
 
         for batch in batches:
             for m in pa.compute.unique(batch.column(m_at)).to_pylist():
@@ -151,31 +145,36 @@ def bind(docs: DataFrame, characters: int = SHARD_ENTRIES) -> DataFrame:
                     sizes[m] = sizes.get(m, 0) + n + ORDER
                     if sizes[m] >= characters:
                         held.setdefault(m, []).append(own.slice(begin, k + 1 - begin))
-                        yield shard(m)
+                        yield bundle(m)
                         begin = k + 1
                 if begin < own.num_rows:
                     held.setdefault(m, []).append(own.slice(begin))
         for m in list(held):
-            yield shard(m)
+            yield bundle(m)
 
     kind = docs.schema["__id"].dataType.simpleString()
-    return materialize(docs.mapInArrow(run, f"m int, shard long, ids array<{kind}>, langs array<string>, rows binary, grams array<string>"), "bound", **_BOUND)
+    return materialize(docs.mapInArrow(run, f"m int, bundle long, ids array<{kind}>, langs array<string>, sizes array<int>, rows binary"), "bound", **_BOUND)
+
+
+def places(bound: DataFrame) -> DataFrame:
+    """(bundle, at, id, lang, size) of each row of ``bound``."""
+    rows = bound.select("bundle", F.posexplode(F.arrays_zip("ids", "langs", "sizes")).alias("at", "row"))
+    return rows.select("bundle", "at", F.col("row.ids").alias("id"), F.col("row.langs").alias("lang"), F.col("row.sizes").alias("size"))
 
 
 def marked(bound: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(shard, at, id, lang, fold) of the rows of ``bound`` that have a text and whose id is one of ``trusted`` (id, fold), written."""
-    rows = bound.select("shard", F.posexplode(F.arrays_zip("ids", "langs")).alias("at", "row")).select("shard", "at", F.col("row.ids").alias("id"), F.col("row.langs").alias("lang"))
-    return materialize(rows.join(trusted, "id").select("shard", "at", "id", "lang", "fold"), "marked")
+    """(bundle, at, id, lang, fold) of the rows of ``bound`` that have a text and whose id is one of ``trusted`` (id, fold), written."""
+    return materialize(places(bound).where("size > 0").join(trusted, "id").select("bundle", "at", "id", "lang", "fold"), "marked")
 
 
-def _of_shards(bound: DataFrame, marks: DataFrame, use, schema: str) -> DataFrame:
-    """``use(rows, marks)`` of each shard that has marks."""
+def _of_bundles(bound: DataFrame, marks: DataFrame, use, schema: str) -> DataFrame:
+    """``use(rows, marks)`` of each bundle that has marks (at, fold)."""
 
-    def run(shards: pa.Table) -> pa.Table:
-        return pa.concat_tables([use(_unpacked(raw.as_py()), own) for raw, own in zip(shards.column("rows"), shards.column("marks").to_pylist(), strict=True)])
+    def run(bundles: pa.Table) -> pa.Table:
+        return pa.concat_tables([use(_unpacked(raw.as_py()), own) for raw, own in zip(bundles.column("rows"), bundles.column("marks").to_pylist(), strict=True)])
 
-    lists = marks.groupBy("shard").agg(F.collect_list(F.struct("at", "fold")).alias("marks"))
-    return bound.select("shard", "rows").join(lists, "shard").groupBy("shard").applyInArrow(run, schema)
+    lists = marks.groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("at", "fold"))).alias("marks"))
+    return bound.select("bundle", "rows").join(lists, "bundle").groupBy("bundle").applyInArrow(run, schema)
 
 
 def _counted(texts: list[str], fold: int) -> pa.RecordBatch:
@@ -195,7 +194,7 @@ def count_marked(bound: DataFrame, marks: DataFrame) -> DataFrame:
         texts = rows.column("__text").to_pylist()
         return pa.Table.from_batches([_counted([texts[m["at"]] for m in marks if m["fold"] == fold], fold) for fold in sorted({m["fold"] for m in marks})])
 
-    return _by_fold(_of_shards(bound, marks, count, "gram string, fold int, c long"))
+    return _by_fold(_of_bundles(bound, marks, count, "gram string, fold int, c long"))
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -207,7 +206,7 @@ def train(texts: DataFrame) -> DataFrame:
             for t in batch.column(0).to_pylist():
                 held.append(t)
                 size += len(t)
-                if size > SHARD_ENTRIES:
+                if size > BUNDLE:
                     yield _counted(held, 1)
                     held, size = [], 0
             if held:
@@ -249,66 +248,153 @@ def models_of(counts: DataFrame, models: Iterable[int]) -> DataFrame:
     return materialize(every.select("m", "gram", F.log("p").alias("logp")).join(weights, ["m", "gram"], "full").select("m", "gram", "logp", "backoff"), "model")
 
 
-def resolve(grams: DataFrame, model: DataFrame) -> DataFrame:
-    """(m, gram, logp) of each distinct n-gram of the highest order (m, gram): as the model has it, else by backing off, order by order."""
-
-    def of(n: int, value: str) -> DataFrame:
-        return model.where((F.char_length("gram") == n) & F.col(value).isNotNull()).select(F.col("m").alias("m0"), F.col("gram").alias("k"), F.col(value).alias(f"{value}{n}"))
-
-    def told(rows: DataFrame, n: int, value: str, begin: int) -> DataFrame:
-        return rows.join(of(n, value), (F.col("m") == F.col("m0")) & (F.substring("gram", begin, n) == F.col("k")), "left").drop("m0", "k")
-
-    met = materialize(told(grams.distinct(), ORDER, "logp", 1).select("m", "gram", F.col(f"logp{ORDER}").alias("logp")), "met")
-    # a row for each model
-    symbols = model.where((F.char_length("gram") == 1) & F.col("logp").isNotNull()).groupBy(F.col("m").alias("m1")).agg(F.count("*").alias("symbols"))
-    rest = met.where("logp is null").select("m", "gram").join(F.broadcast(symbols), F.col("m") == F.col("m1"))
-    total, weight = F.lit(None).cast("double"), F.lit(0.0)
-    for n in range(ORDER - 1, -1, -1):  # the context of n characters did not lead on
-        rest = told(rest, n, "backoff", ORDER - n)
-        weight = weight + F.coalesce(F.col(f"backoff{n}"), F.lit(0.0))
-        if n:
-            rest = told(rest, n, "logp", ORDER + 1 - n)
-            total = F.coalesce(total, weight + F.col(f"logp{n}"))
-        else:  # a character never seen: all symbols and one more
-            total = F.coalesce(total, weight - F.log(F.col("symbols") + 1))
-    return met.where("logp is not null").unionByName(rest.select("m", "gram", total.alias("logp")))
-
-
-def score(bound: DataFrame, model: DataFrame, schema: str, columns: list[str]) -> DataFrame:
-    """The ``columns`` (in all, ``schema``) of the rows of ``bound``, with logp and n_tokens."""
-    grams = bound.select(F.col("m").alias("of_m"), F.col("shard").alias("of"), F.explode("grams").alias("gram"))
-    known = resolve(grams.select(F.col("of_m").alias("m"), "gram"), model).select(F.col("m").alias("m2"), F.col("gram").alias("g2"), "logp")
-    told = grams.join(known, (F.col("of_m") == F.col("m2")) & (F.col("gram") == F.col("g2"))).select("of_m", "of", "gram", "logp")
-
-    def run(shard: pa.Table, told: pa.Table) -> pa.Table:
-        parts = []
-        for raw in shard.column("rows"):
-            rows = _unpacked(raw.as_py())
-            at = Positions(rows.column("__text").to_pylist())
-            logp, n = at.scores(told.column("gram").to_pylist(), told.column("logp").to_numpy())
-            parts.append(pa.Table.from_arrays([*[rows.column(c) for c in columns], pa.array(logp), pa.array(n)], names=[*columns, "logp", "n_tokens"]))
-        return pa.concat_tables(parts)
-
-    return bound.select("m", "shard", "rows").groupBy("m", "shard").cogroup(told.groupBy("of_m", "of")).applyInArrow(run, f"{schema}logp double, n_tokens long")
-
-
-def _fields(docs: DataFrame, columns: list[str]) -> str:
-    return "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    """A hash of the n-grams whose characters the columns hold."""
+    h = np.full(len(columns[0]), len(columns), np.uint64)
+    for c in columns:
+        h = (h + c + np.uint64(1)) * _B
+        h ^= h >> np.uint64(29)
+    return h
+
+
+class Scorer:
+    """An open-addressing table of (gram's hash, logp, backoff)."""
+
+    def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray, unseen: float):
+        self.mask = np.uint64((1 << max(4, (5 * len(keys) // 4).bit_length())) - 1)
+        self.keys = np.zeros(int(self.mask) + 1, np.uint64)
+        self.row = np.full(int(self.mask) + 1, len(keys), np.int32)
+        self.logp, self.backoff = np.append(logp, np.nan).astype(np.float32), np.append(backoff, 0).astype(np.float32)
+        self.unseen = unseen
+        left, slot = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            free = self.row[slot] == len(keys)
+            _, first = np.unique(slot, return_index=True)
+            wins = np.zeros(len(left), bool)
+            wins[first] = True
+            wins &= free
+            self.keys[slot[wins]], self.row[slot[wins]] = keys[left[wins]], left[wins]
+            left, slot = left[~wins], (slot[~wins] + np.uint64(1)) & self.mask
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The row of each gram, or the number of rows where it is not there."""
+        slot = h & self.mask
+        row = self.row[slot]
+        miss = np.flatnonzero((self.keys[slot] != h) & (row != len(self.logp) - 1))
+        while len(miss):
+            slot[miss] = (slot[miss] + np.uint64(1)) & self.mask
+            row[miss] = self.row[slot[miss]]
+            miss = miss[(self.keys[slot[miss]] != h[miss]) & (row[miss] != len(self.logp) - 1)]
+        return row
+
+    def score(self, texts: list[str], shard: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each text the log probability of its predictions that belong to the shard of the model, and the number of all its predictions."""
+        held = Positions(texts)
+        codes, at, where = held.codes.astype(np.uint64), held.at, held.last
+        if shards > 1:
+            where = where[shard_of(codes[where - 2], codes[where - 1], shards) == shard]
+        total = np.zeros(len(where), np.float32)
+        left = np.arange(len(where))
+        for n in range(ORDER, 0, -1):
+            last = where[left]
+            row = self.find(_hash([codes[last - k] for k in range(n - 1, -1, -1)]))
+            got = self.logp[row]
+            seen = ~np.isnan(got)
+            total[left[seen]] += got[seen]
+            left = left[~seen]
+            if not len(left):
+                break
+            if n > 1:  # the weight of the context that did not lead on
+                last = where[left]
+                total[left] += self.backoff[self.find(_hash([codes[last - k] for k in range(n - 1, 0, -1)]))]
+        total[left] += self.unseen
+        sums = np.zeros(len(codes) + 1)
+        sums[where + 1] = total
+        return np.diff(np.cumsum(sums)[at]), np.diff(at) - (ORDER - 1)
+
+
+def shard_of(before: np.ndarray, last: np.ndarray, shards: int) -> np.ndarray:
+    return (_hash([before, last]) >> np.uint64(33)) % np.uint64(shards)
+
+
+def _scorers(model: DataFrame, entries: int):
+    """(shard, shards, broadcast scorer) one after another; each has its own long grams, and all grams of up to two."""
+    size = model.count()
+    shards = max(1, -(-size // entries))
+    # a character never seen: the weight of the empty context over all symbols and one more
+    weight = model.where("gram = ''").agg(F.max("backoff")).first()[0]
+    unseen = float((weight or 0) - np.log(model.where((F.length("gram") == 1) & F.col("logp").isNotNull()).count() + 1))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, owner = np.zeros(batch.num_rows, np.uint64), np.full(batch.num_rows, -1, np.int64)
+            grams = batch.column(0).to_pylist()
+            sizes = np.array([len(g) for g in grams], int)
+            for n in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == n)
+                codes = np.frombuffer("".join([grams[i] for i in rows.tolist()]).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(-1, n) if n else np.zeros((len(rows), 0), np.uint64)
+                if n:
+                    h[rows] = _hash([codes[:, k] for k in range(n)])
+                if n > 2 and shards > 1:
+                    # as a prediction a gram belongs to the two characters before its last, as a context to its last two: it may be in two shards
+                    owner[rows] = shard_of(codes[:, -3], codes[:, -2], shards).astype(np.int64) * shards + shard_of(codes[:, -2], codes[:, -1], shards).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1), batch.column(2), pa.array(owner)], names=["h", "logp", "backoff", "owner"])
+
+    hashed = materialize(model.mapInArrow(split, "h long, logp double, backoff double, owner long"), "model-rows")
+    for shard in range(shards):
+        mine = (F.col("owner") < 0) | (F.floor(F.col("owner") / shards) == shard) | (F.col("owner") % shards == shard)
+        rows = hashed.where(mine).toArrow()  # a shard has a bounded number of entries
+        columns = [rows.column(c).to_numpy().astype(np.float64) for c in ("logp", "backoff")]
+        scorer = Scorer(rows.column("h").to_numpy().view(np.uint64), columns[0], np.nan_to_num(columns[1]), unseen)
+        yield shard, shards, model.sparkSession.sparkContext.broadcast(scorer)
+
+
+def score(bound: DataFrame, models: DataFrame, numbers: Iterable[int], entries: int) -> DataFrame:
+    """(m, bundle, at, logp, n_tokens) of each row of ``bound``, written; model m scores the bundles of m."""
+    parts = None
+    for m in numbers:
+        mine = bound.where(F.col("m") == m).select("bundle", "rows")
+        for shard, shards, sent in _scorers(models.where(F.col("m") == m).drop("m"), entries):
+
+            def run(batches: Iterator[pa.RecordBatch], shard=shard, shards=shards, sent=sent) -> Iterator[pa.RecordBatch]:
+                scorer = sent.value
+                for batch in batches:
+                    for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                        texts = _unpacked(raw.as_py()).column("__text")
+                        sizes, begin = pa.compute.utf8_length(texts).to_pylist(), 0
+                        while begin < len(sizes):
+                            end, size = begin + 1, sizes[begin]
+                            while end < len(sizes) and size + sizes[end] <= CHUNK:
+                                size += sizes[end]
+                                end += 1
+                            logp, n = scorer.score(texts.slice(begin, end - begin).to_pylist(), shard, shards)
+                            columns = (np.full(len(n), number), np.arange(begin, end, dtype=np.int32), logp, n)
+                            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bundle", "at", "logp", "n_tokens"])
+                            begin = end
+
+            # written before the next pass, so that a worker holds one shard of a model at a time
+            part = materialize(mine.mapInArrow(run, "bundle long, at int, logp double, n_tokens long").withColumn("m", F.lit(m)), "pass")
+            sent.destroy()
+            parts = part if parts is None else parts.unionByName(part)
+    return materialize(parts.groupBy("m", "bundle", "at").agg(F.sum("logp").alias("logp"), F.max("n_tokens").alias("n_tokens")), "scores")
+
+
+def _fields(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
 
 def _perplexity():
     return F.when(F.col("n_tokens") > 1, F.exp(-F.col("logp") / F.col("n_tokens"))).alias("perplexity")
 
 
-def perplexity(docs: DataFrame, model: DataFrame, entries: int = SHARD_ENTRIES, text_col: str = "text", passed: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``passed`` and n_tokens, logp, perplexity of each row; texts without tokens but their end have no perplexity.
+def perplexity(docs: DataFrame, model: DataFrame, entries: int = SHARD_ENTRIES, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """doc_id, n_tokens, logp, perplexity of each row; texts without tokens but their end have no perplexity.
 
-    Documents are scored in shards of about ``entries`` characters.
+    The model is held in shards of about ``entries`` entries.
     """
-    inner = [f"__c{k}" for k in range(len(passed))]
-    rows = _prepared(docs, list(passed), None, None, text_col)
-    scored = score(bind(rows, entries), model.withColumn("m", F.lit(0)), _fields(rows, inner), inner)
-    return scored.select(*[F.col(i).alias(c) for c, i in zip(passed, inner, strict=True)], "n_tokens", "logp", _perplexity())
+    bound = bind(_prepared(docs, [], id_col, None, text_col))
+    scores = score(bound, model.withColumn("m", F.lit(0)), [0], entries)
+    return places(bound).join(scores, ["bundle", "at"]).select(F.col("id").alias(id_col), "n_tokens", "logp", _perplexity())
 
 
 def length_class(tokens: str = "n_tokens"):
@@ -316,42 +402,40 @@ def length_class(tokens: str = "n_tokens"):
     return F.when(F.col(tokens) < 200, 0).when(F.col(tokens) < 1000, 1).otherwise(2)
 
 
-def _judged(rows: DataFrame, labels: DataFrame, passed: list[str], quantile: float, margin: float, entries: int) -> DataFrame:
-    """The columns ``passed`` of ``rows`` (as :func:`bind` takes them), n_tokens, perplexity, threshold, keep."""
+def _judged(bound: DataFrame, labels: DataFrame, quantile: float, margin: float, entries: int, schema: str) -> DataFrame:
+    """bundle, at, id, lang, n_tokens, perplexity, threshold, keep of the rows of ``bound``, whose bundles hold rows of ``schema``."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(F.col("doc_id").alias("id")).where("id is not null").distinct()
-    bound = bind(rows, entries)
+    rows = places(bound)
     marks = marked(bound, good.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)).cast("int")))
     if marks.where("fold > 0").isEmpty():
-        return rows.select(*passed, F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.length("__text") > 0).alias("keep"))
+        return rows.select("bundle", "at", "id", "lang", F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.col("size") > 0).alias("keep"))
     rare = marks.where("lang is not null").groupBy(F.col("lang").alias("rare")).agg(F.count_if(F.col("fold") == 0).alias("n")).where(F.col("n") < LEAST).select("rare")
     few = materialize(marks.join(rare, F.col("lang") == F.col("rare"), "left_semi").where("fold > 0"), "few")
-    models = [0]
+    numbers, every = [0], bound
     if not few.isEmpty():
 
         def take(rows: pa.Table, marks: list[dict]) -> pa.Table:
             part = rows.take(pa.array([m["at"] for m in marks]))
             return part.set_column(part.column_names.index("__m"), "__m", pa.array([m["fold"] for m in marks], pa.int32()))
 
-        models = range(HELD_OUT)
-        bound = bound.unionByName(bind(_of_shards(bound, few, take, _fields(rows, rows.columns).rstrip(", ")), entries))
-    inner = [*passed, "__m", "__id", "__lang"]
-    judged = score(bound, models_of(count_marked(bound.where("m = 0"), marks), models), _fields(rows, inner), inner)
-    judged = materialize(judged.select(*inner, "n_tokens", _perplexity(), length_class().alias("__class")), "scored")
-    scored = judged.where("__m = 0")
-    ids = marks.where("fold = 0").select("id").distinct()
-    seen = scored.where("perplexity is not null").join(ids, F.col("__id") == F.col("id"), "left_semi").unionByName(judged.where("__m > 0")).select("__lang", "perplexity", "__class")
-    cut = [F.percentile_approx("perplexity", quantile, 100_000).alias("q"), F.count("*").alias("n")]
+        numbers = range(HELD_OUT)
+        every = bound.unionByName(bind(_of_bundles(bound, few, take, schema)))
+    scores = score(every, models_of(count_marked(bound, marks), numbers), numbers, entries).withColumn("perplexity", _perplexity()).withColumn("class", length_class())
+    scored = rows.join(scores.where("m = 0"), ["bundle", "at"])
+    again = places(every.where("m > 0")).join(scores.where("m > 0"), ["bundle", "at"])
+    seen = marks.where("fold = 0").select("bundle", "at").join(scored, ["bundle", "at"]).unionByName(again).select("lang", "perplexity", "class").where("perplexity is not null")
     seen = materialize(seen, "calibration")
+    cut = [F.percentile_approx("perplexity", quantile, 100_000).alias("q"), F.count("*").alias("n")]
     whole = seen.agg(*cut).first()["q"]
     # with few rows a high quantile is their maximum
-    limits = seen.groupBy("__lang").agg(*cut).select(F.col("__lang").alias("__l1"), F.col("q").alias("__q1"))
-    fine = seen.groupBy("__lang", "__class").agg(*cut).select(F.col("__lang").alias("__l2"), F.col("__class").alias("__k2"), F.col("q").alias("__q2"), F.col("n").alias("__n2"))
+    limits = seen.groupBy("lang").agg(*cut).select(F.col("lang").alias("l1"), F.col("q").alias("q1"))
+    fine = seen.groupBy("lang", "class").agg(*cut).select(F.col("lang").alias("l2"), F.col("class").alias("k2"), F.col("q").alias("q2"), F.col("n").alias("n2"))
     # one row for each language: joined in a way that Spark may broadcast after it has seen the size
-    found = scored.join(fine, (F.col("__lang") == F.col("__l2")) & (F.col("__class") == F.col("__k2")), "left").join(limits, F.col("__lang") == F.col("__l1"), "left")
+    found = scored.join(fine, (F.col("lang") == F.col("l2")) & (F.col("class") == F.col("k2")), "left").join(limits, F.col("lang") == F.col("l1"), "left")
     # a class of few rows is held to none stricter than its language
-    limit = margin * F.coalesce(F.when(F.col("__n2") >= LEAST, F.col("__q2")).otherwise(F.greatest("__q1", "__q2")), F.lit(whole))
+    limit = margin * F.coalesce(F.when(F.col("n2") >= LEAST, F.col("q2")).otherwise(F.greatest("q1", "q2")), F.lit(whole))
     keep = F.coalesce(F.col("perplexity") <= limit, F.lit(False)) if whole is not None else F.col("perplexity").isNotNull()
-    return found.select(*passed, "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"))
+    return found.select("bundle", "at", "id", "lang", "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"))
 
 
 def _prepared(docs: DataFrame, passed: list[str], id_col: str | None, lang_col: str | None, text_col: str) -> DataFrame:
@@ -372,12 +456,20 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
     Other columns of ``docs`` are neither read nor returned.
     """
-    judged = _judged(_prepared(docs, [], "doc_id", "lang", "text").withColumns({"__c0": F.col("__id"), "__c1": F.col("__lang")}), labels, ["__c0", "__c1"], quantile, margin, entries)
-    return judged.withColumnsRenamed({"__c0": "doc_id", "__c1": "lang"})
+    rows = _prepared(docs, [], "doc_id", "lang", "text")
+    judged = _judged(bind(rows), labels, quantile, margin, entries, _fields(rows))
+    return judged.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "perplexity", "threshold", "keep")
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin: float = 1.05, entries: int = SHARD_ENTRIES, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`classify` does not keep; all columns stay, whatever their names."""
     inner = [f"__c{k}" for k in range(len(docs.columns))]
-    judged = _judged(_prepared(docs, docs.columns, id_col, lang_col, text_col), labels, inner, quantile, margin, entries)
-    return judged.where("keep").select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)])
+    rows = _prepared(docs, docs.columns, id_col, lang_col, text_col)
+    bound = bind(rows)
+    kept = _judged(bound, labels, quantile, margin, entries, _fields(rows)).where("keep").select("bundle", "at", F.lit(0).alias("fold"))
+
+    def take(rows: pa.Table, marks: list[dict]) -> pa.Table:
+        return rows.take(pa.array([m["at"] for m in marks])).select(inner)
+
+    stay = _of_bundles(bound, kept, take, _fields(rows.select(*inner)))
+    return stay.select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)])
