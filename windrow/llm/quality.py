@@ -15,6 +15,7 @@ perplexity for each language and class of length that a document must not exceed
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -236,13 +237,14 @@ def models_of(counts: DataFrame, models: Iterable[int]) -> DataFrame:
     rows = rows.toDF("m", "n", "gram", "c", "d", "context", "uniform")
     contexts = materialize(rows.groupBy("m", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("kept_back")), "contexts")
     parts = rows.join(contexts, ["m", "context"]).select("m", "n", "gram", "uniform", ((F.col("c") - F.col("d")) / F.col("total")).alias("own"), (F.col("kept_back") / F.col("total")).alias("weight"))
+    parts = materialize(parts, "parts")
     p = parts.where("n = 1").select("m", "gram", (F.col("own") + F.col("weight") * F.col("uniform")).alias("p"))
     unigrams, every = stats.where("n = 1").select(F.col("m").alias("m1"), (1.0 / (F.col("types") + 1)).alias("least")), p
     for n in range(2, ORDER + 1):
         lower = p.select(F.col("m").alias("m0"), F.col("gram").alias("suffix"), F.col("p").alias("p_low"))
         high = parts.where(F.col("n") == n).join(lower, (F.col("m") == F.col("m0")) & (F.substring("gram", 2, n - 1) == F.col("suffix")), "left")
         high = high.join(F.broadcast(unigrams), F.col("m") == F.col("m1"))
-        p = high.select("m", "gram", (F.col("own") + F.col("weight") * F.coalesce("p_low", "least")).alias("p"))
+        p = materialize(high.select("m", "gram", (F.col("own") + F.col("weight") * F.coalesce("p_low", "least")).alias("p")), f"order{n}")
         every = every.unionByName(p)
     weights = contexts.select("m", F.col("context").alias("gram"), F.log(F.col("kept_back") / F.col("total")).alias("backoff"))
     return materialize(every.select("m", "gram", F.log("p").alias("logp")).join(weights, ["m", "gram"], "full").select("m", "gram", "logp", "backoff"), "model")
@@ -313,12 +315,23 @@ class Scorer:
         return np.diff(np.cumsum(sums)[at]), np.diff(at) - (ORDER - 1)
 
 
+_HELD: dict[str, Scorer] = {}
+
+
+def _scorer(name: str, sent) -> Scorer:
+    """The table of this Python worker, made once for each shard of a model."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = Scorer(*sent.value)
+    return _HELD[name]
+
+
 def shard_of(before: np.ndarray, last: np.ndarray, shards: int) -> np.ndarray:
     return (_hash([before, last]) >> np.uint64(33)) % np.uint64(shards)
 
 
 def _scorers(model: DataFrame, entries: int):
-    """(shard, shards, broadcast scorer) one after another; each has its own long grams, and all grams of up to two."""
+    """(shard, shards, broadcast columns of a scorer) one after another; each has its own long grams, and all grams of up to two."""
     size = model.count()
     shards = max(1, -(-size // entries))
     # a character never seen: the weight of the empty context over all symbols and one more
@@ -344,9 +357,8 @@ def _scorers(model: DataFrame, entries: int):
     for shard in range(shards):
         mine = (F.col("owner") < 0) | (F.floor(F.col("owner") / shards) == shard) | (F.col("owner") % shards == shard)
         rows = hashed.where(mine).toArrow()  # a shard has a bounded number of entries
-        columns = [rows.column(c).to_numpy().astype(np.float64) for c in ("logp", "backoff")]
-        scorer = Scorer(rows.column("h").to_numpy().view(np.uint64), columns[0], np.nan_to_num(columns[1]), unseen)
-        yield shard, shards, model.sparkSession.sparkContext.broadcast(scorer)
+        logp, backoff = (rows.column(c).to_numpy().astype(np.float32) for c in ("logp", "backoff"))
+        yield shard, shards, model.sparkSession.sparkContext.broadcast((rows.column("h").to_numpy().view(np.uint64), logp, np.nan_to_num(backoff), unseen))
 
 
 def score(bound: DataFrame, models: DataFrame, numbers: Iterable[int], entries: int) -> DataFrame:
@@ -356,8 +368,8 @@ def score(bound: DataFrame, models: DataFrame, numbers: Iterable[int], entries:
         mine = bound.where(F.col("m") == m).select("bundle", "rows")
         for shard, shards, sent in _scorers(models.where(F.col("m") == m).drop("m"), entries):
 
-            def run(batches: Iterator[pa.RecordBatch], shard=shard, shards=shards, sent=sent) -> Iterator[pa.RecordBatch]:
-                scorer = sent.value
+            def run(batches: Iterator[pa.RecordBatch], name=uuid.uuid4().hex, shard=shard, shards=shards, sent=sent) -> Iterator[pa.RecordBatch]:
+                scorer = _scorer(name, sent)
                 for batch in batches:
                     for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                         texts = _unpacked(raw.as_py()).column("__text")
