@@ -1,12 +1,15 @@
 """Personal data by fixed patterns and by bootstrapped contexts, in DataFrame operations only.
 
-The fixed patterns give the base spans, which are also the seeds. A lexical pattern is the two words (runs without white
-space, in lower case) before the word in which a base span begins. Patterns and the instances that they hold anywhere, base spans and words
-of any shape, form a graph: seeds have confidence one, a pattern's confidence is that of its distinct instances on average,
+The fixed patterns give the base spans. They are the seeds, together with words that have the shape of a credential (a run of 32 or
+more hexadecimal digits with letters and numerals among them), which are no spans by themselves. A lexical pattern is the two words
+(runs without white space, in lower case) before the word in which a seed begins; one that introduces fewer than three distinct seeds
+can never be sure enough and is left out at once. Patterns and the instances that they hold anywhere, seeds and words of any shape without
+the punctuation around them, form a graph: seeds have confidence one, a pattern's confidence is that of its distinct instances on average,
 shrunk where there are few, and an instance's is that of its best pattern. After some rounds the patterns above a
-threshold, held up by enough distinct seeds, mark the words that they introduce.
+threshold mark the words that they introduce.
 
-Words are hashed where they are read; only rows with base spans or findings get the positions of their words, as running sums.
+Words are read where they lie; only those that follow such a pattern travel, and only rows with findings get the positions of their
+words, as running sums. Joins by pattern or instance are salted, as one of them may hold most rows.
 """
 
 from __future__ import annotations
@@ -17,13 +20,19 @@ from pyspark.sql import functions as F
 from windrow.llm._common import likely_in, materialize, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-LEARNED = 4
+LEARNED, CREDENTIAL = 4, 5
+#: Parts that a pattern or instance is dealt to in joins.
+SALTS = 32
 #: The contract's patterns. A start that the preceding character rules out is not tried (a match from there would have begun
 #: earlier), and loops that nothing follows give nothing back; both leave matches as they are and bound the time.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: The shape of a credential, a seed but no base span.
+SECRET = r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])"
+#: The two words before the word that the end of a text would be in.
+_BEFORE = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++[^\x20\x09-\x0D]*+$"
 #: A word with the white space before it.
 WORD = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -45,18 +54,26 @@ def _valid(kind: Column, m: Column) -> Column:
     """Whether a match of a kind passes its check."""
     n = F.length(_digits(m))
     card = F.when(n.between(14, 19), _luhn(_digits(m))).otherwise(False)
-    return F.when(kind == 1, m.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")).when(kind == 2, card).when(kind == 3, n.between(10, 15)).otherwise(True)
+    return F.when(kind == 1, m.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")).when(kind == 2, card).when(kind == 3, n.between(10, 15)).when(kind == CREDENTIAL, m.rlike("[a-fA-F]") & m.rlike("[0-9]")).otherwise(True)
 
 
 def _matches(text: Column, kind: int, pattern: str, present: Column) -> Column:
-    """(kind, gap, m) for each match in order: the gap before it, and the match."""
+    """(kind, gap, m, before) for each match in order: the gap before it, the match, and the text back to the second match before it."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.zip_with(gaps, found, lambda g, m: F.struct(F.lit(kind).alias("kind"), F.char_length(g).alias("gap"), m.alias("m")))
-    return F.when(present, F.filter(zipped, lambda s: s.m.isNotNull())).otherwise(F.array().cast("array<struct<kind:int,gap:int,m:string>>"))
 
+    def one(m: Column, i: Column) -> Column:
+        before = F.concat_ws("", F.get(found, i - 2), F.when(i > 0, F.get(gaps, i - 1)), F.get(found, i - 1), F.get(gaps, i))
+        return F.struct(F.lit(kind).alias("kind"), F.char_length(F.get(gaps, i)).alias("gap"), m.alias("m"), before.alias("before"))
 
-def _base_spans(rows: DataFrame) -> DataFrame:
-    """row, kind, low, high (code points, end exclusive), instance (a hash of the text) of each valid match."""
+    return F.when(present, F.transform(found, one)).otherwise(F.array().cast("array<struct<kind:int,gap:int,m:string,before:string>>"))
+
+
+def _context(first: Column, second: Column) -> Column:
+    return F.xxhash64(F.lower(F.concat_ws(" ", first, second)))
+
+
+def _seeds(rows: DataFrame) -> DataFrame:
+    """row, kind, low, high (code points, end exclusive), context, instance (hashes) of each valid match, written."""
     text = F.col("__text")
     digit = text.rlike("[0-9]")
     kinds = [
@@ -64,51 +81,63 @@ def _base_spans(rows: DataFrame) -> DataFrame:
         (1, IP, digit & text.rlike(r"[0-9]\.[0-9]++\.[0-9]")),
         (2, CARD, digit & text.rlike(r"[0-9][0-9\x20-]{12}")),
         (3, PHONE, F.contains(text, F.lit("+")) & text.rlike(r"\+[0-9]")),
+        (CREDENTIAL, SECRET, digit & text.rlike(SECRET)),
     ]
     marked = rows.select("row", F.posexplode(F.flatten(F.array(*[_matches(text, *k) for k in kinds]))).alias("pos", "s"))
     kind, m = F.col("s.kind"), F.col("s.m")
-    narrow = marked.select("row", "pos", kind.alias("kind"), F.col("s.gap").alias("gap"), F.char_length(m).alias("size"), _valid(kind, m).alias("valid"), F.xxhash64(m).alias("instance"))
+    words = [F.regexp_extract("s.before", _BEFORE, k) for k in (1, 2)]
+    context = F.when(words[1] != "", _context(*words))
+    narrow = marked.select("row", "pos", kind.alias("kind"), F.col("s.gap").alias("gap"), F.char_length(m).alias("size"), _valid(kind, m).alias("valid"), context.alias("context"), F.xxhash64(m).alias("instance"))
     before = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     low = F.coalesce(F.sum(F.col("gap") + F.col("size")).over(before), F.lit(0)) + F.col("gap")
     placed = materialize(narrow, "matches").withColumn("low", low).withColumn("high", F.col("low") + F.col("size"))
-    return materialize(placed.where("valid").select("row", "kind", "low", "high", "instance"), "base-spans")
+    return materialize(placed.where("valid").select("row", "kind", "low", "high", "context", "instance"), "seeds")
 
 
-def _words(rows: DataFrame) -> DataFrame:
-    """row, pos, size (with the white space before), own (without), context (a hash of the two words before), instance (a hash) of each word."""
-    cut = rows.select("row", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)).alias("p"))
-    cut = cut.select("row", "p", F.transform("p", lambda x: F.ltrim(x, F.lit(" \t\n\x0b\x0c\r"))).alias("w"))
+def _following(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """row, pos, context, instance of each word that may follow one of the contexts."""
+    cut = rows.select("row", F.filter(F.split("__text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
 
     def word(x: Column, i: Column) -> Column:
-        context = F.when(i >= 2, F.xxhash64(F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)))))
-        return F.struct(F.char_length(F.get("p", i)).alias("size"), F.char_length(x).alias("own"), context.alias("context"), F.xxhash64(x).alias("instance"))
+        return F.struct(F.when(i >= 2, _context(F.get("w", i - 2), F.get("w", i - 1))).alias("context"), x.alias("word"))
+
+    words = cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*").where("context is not null")
+    bare = F.regexp_replace("word", _EDGES, "")
+    return likely_in(words, "context", contexts).where(bare != "").select("row", "pos", "context", F.xxhash64(bare).alias("instance"))
+
 
-    return cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*")
+#: Punctuation around a word, which is no part of an instance.
+_EDGES = r"^[^\p{L}\p{N}]++|(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$"
 
 
-def _placed(words: DataFrame) -> DataFrame:
-    """The words with low and high."""
+def _salted(rows: DataFrame, salt: Column, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``keys`` (one row for each value of ``key``), inner, no value of the key in one task."""
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
+    spread = keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(spread, [key, "__salt"]).drop("__salt")
+
+
+def _placed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row, pos) as ``wanted``, with low and high of the word without the punctuation around it."""
+    cut = likely_in(rows, "row", wanted.select("row").distinct()).select("row", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)).alias("p"))
+    own = F.ltrim("word", F.lit(" \t\n\x0b\x0c\r"))
+    left, right = F.char_length(F.regexp_extract(own, r"^[^\p{L}\p{N}]*+", 0)), F.char_length(F.regexp_extract(own, r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", 0))
+    words = cut.select("row", F.posexplode("p").alias("pos", "word")).select("row", "pos", F.char_length("word").alias("size"), F.char_length(own).alias("own"), left.alias("left"), right.alias("right"))
     upto = Window.partitionBy("row").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return words.withColumn("high", F.sum("size").over(upto)).withColumn("low", F.col("high") - F.col("own"))
-
-
-def _seeds_and_marks(rows: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(context, instance) of base spans that begin apart from others, and (row, pos) of the words that share a character with one."""
-    words = _placed(_words(likely_in(rows, "row", base.select("row")))).select("row", "pos", F.lit(LEARNED).alias("kind"), "low", "high", "context", F.lit(None).cast("long").alias("instance"))
-    events = words.unionByName(base, allowMissingColumns=True)
-    # a word stands before the spans that begin in it, also at its start
-    order = Window.partitionBy("row").orderBy("low", F.desc("kind"))
-    # what follows, from the end: a frame that grows is folded once, one that shrinks anew for each row
-    backwards = Window.partitionBy("row").orderBy(F.desc("low"), "kind")
-    earlier = (Window.unboundedPreceding, -1)
-    spans = F.col("kind") < LEARNED
-    reached = F.max(F.when(spans, F.col("high"))).over(order.rowsBetween(*earlier))
-    coming = F.min(F.when(spans, F.col("low"))).over(backwards.rowsBetween(*earlier))
-    of = F.last(F.when(~spans, F.struct("context")), ignorenulls=True).over(order.rowsBetween(*earlier))
-    told = events.withColumn("reached", F.coalesce(reached, F.lit(-1))).withColumn("of", of).withColumn("coming", coming)
-    kept = told.where(spans & (F.col("reached") <= F.col("low")) | ~spans & ((F.col("reached") > F.col("low")) | F.coalesce(F.col("coming") < F.col("high"), F.lit(False))))
-    kept = materialize(kept.select("row", "pos", "kind", F.col("of.context").alias("context"), "instance"), "seeds")
-    return kept.where(spans & F.col("context").isNotNull()).select("context", "instance"), kept.where(~spans).select("row", "pos")
+    ends = words.withColumn("end", F.sum("size").over(upto)).join(wanted.select("row", "pos").distinct(), ["row", "pos"], "left_semi")
+    return ends.select("row", "pos", (F.col("end") - F.col("own") + F.col("left")).alias("low"), (F.col("end") - F.col("right")).alias("high"))
+
+
+def _apart(placed: DataFrame, base: DataFrame) -> DataFrame:
+    """The (row, pos) of the words that share no character with a base span."""
+    near = base.join(placed.select("row").distinct(), "row", "left_semi")
+    events = placed.select("row", "pos", "low", "high").unionByName(near.select("row", F.lit(-1).alias("pos"), "low", "high"))
+    word, earlier = F.col("pos") >= 0, (Window.unboundedPreceding, -1)
+    # what begins with or before a word, and, from the end, what begins after it
+    reached = F.max(F.when(~word, F.col("high"))).over(Window.partitionBy("row").orderBy("low", "pos").rowsBetween(*earlier))
+    coming = F.min(F.when(~word, F.col("low"))).over(Window.partitionBy("row").orderBy(F.desc("low"), F.desc("pos")).rowsBetween(*earlier))
+    told = events.withColumn("reached", reached).withColumn("coming", coming)
+    return told.where(word & F.coalesce(F.col("reached") <= F.col("low"), F.lit(True)) & F.coalesce(F.col("coming") >= F.col("high"), F.lit(True))).select("row", "pos")
 
 
 def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.7, seeds: int = 3) -> DataFrame:
@@ -119,27 +148,35 @@ def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.
         patterns = edges.groupBy("context").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"), F.count_if("seed").alias("seeds"))
         if k == rounds - 1:
             return patterns.where((F.col("confidence") >= confidence) & (F.col("seeds") >= seeds)).select("context", "confidence")
-        held = edges.join(patterns.select("context", "confidence"), "context").groupBy("instance").agg(F.max("confidence").alias("best"))
-        edges = materialize(edges.join(held, "instance").select("context", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("best")).alias("score")), "graph")
+        held = _salted(edges, F.col("instance"), patterns.select("context", "confidence"), "context").groupBy("instance").agg(F.max("confidence").alias("best"))
+        best = _salted(edges, F.col("context"), held, "instance")
+        edges = materialize(best.select("context", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("best")).alias("score")), "graph")
     raise ValueError("at least one round is needed")
 
 
+#: Distinct seeds that a pattern must introduce.
+LEAST_SEEDS = 3
+
+
 def _spans(rows: DataFrame) -> DataFrame:
     """row, kind, low, high of each base span and each learned word, from a written table (row, __text)."""
-    base = _base_spans(rows)
-    seeds, marks = _seeds_and_marks(rows, base)
-    contexts = materialize(seeds.select("context").distinct(), "contexts")
-    near = likely_in(_words(rows).select("row", "pos", "context", "instance"), "context", contexts)
-    met = materialize(near.join(contexts, "context", "left_semi").join(marks, ["row", "pos"], "left_anti"), "met")
-    edges = seeds.withColumn("seed", F.lit(True)).unionByName(met.select("context", "instance", F.lit(False).alias("seed")))
-    found = materialize(met.join(confident_contexts(edges), "context", "left_semi").select("row", "pos"), "learned")
-    learned = _placed(_words(likely_in(rows, "row", found.select("row")))).join(found, ["row", "pos"], "left_semi")
+    seeds = _seeds(rows)
+    base = seeds.where(F.col("kind") < LEARNED)
+    told = seeds.where("context is not null").groupBy("context", "instance").agg(F.lit(True).alias("seed"))
+    contexts = materialize(told.groupBy("context").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SEEDS).select("context"), "contexts")
+    met = materialize(_salted(_following(rows, contexts), F.col("row"), contexts, "context"), "met")
+    with_base = materialize(met.join(base.select("row").distinct(), "row", "left_semi").select("row", "pos"), "beside")
+    apart = materialize(_apart(_placed(rows, with_base), base), "apart")
+    free = met.join(with_base, ["row", "pos"], "left_anti").unionByName(met.join(apart, ["row", "pos"], "left_semi"))
+    edges = _salted(told, F.col("instance"), contexts, "context").unionByName(free.select("context", "instance", F.lit(False).alias("seed")), allowMissingColumns=True)
+    sure = confident_contexts(edges, seeds=LEAST_SEEDS)
+    found = materialize(_salted(free, F.col("row"), sure, "context").select("row", "pos"), "learned")
     columns = ["row", "kind", "low", "high"]
-    return base.select(*columns).unionByName(learned.withColumn("kind", F.lit(LEARNED)).select(*columns))
+    return base.select(*columns).unionByName(_placed(rows, found).withColumn("kind", F.lit(LEARNED)).select(*columns))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned for each row of ``docs``.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned, n_spans for each row of ``docs``.
 
     A null text counts as empty and has no spans. Null ids and rows that repeat give a row each; an empty table none.
     Learned words (kind ``id``) never overlap a base span. Very long runs of digits or letters take time in proportion.
@@ -154,7 +191,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.array_join(F.transform(s, lambda x: F.concat_ws(":", F.get(names, x.kind), x.low.cast("string"), x.high.cast("string"))), ",")
 
     base = F.filter("s", lambda x: x.kind < LEARNED)
-    return rows.select("doc_id", *[f"n_{n}" for n in KINDS], F.sha2(written(base), 256).alias("base_sha256"), written(F.col("s")).alias("spans"), "n_learned")
+    return rows.select("doc_id", *[f"n_{n}" for n in KINDS], F.sha2(written(base), 256).alias("base_sha256"), written(F.col("s")).alias("spans"), "n_learned", F.size("s").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
