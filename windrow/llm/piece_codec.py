@@ -103,12 +103,12 @@ class PieceCodec:
         return [p for p in parts if p is not None]
 
     def _fits(self, a: int, b: int) -> bool:
-        fit = self.pairs.get(a << 16 | b)
+        fit = self.pairs.get(a << 32 | b)
         if fit is None:
             if len(self.pairs) > 4 * self.MOST:
                 self.pairs.clear()
             one, two = self.pieces[a], self.pieces[b]
-            fit = self.pairs[a << 16 | b] = self.merge(one + two) == [one, two]
+            fit = self.pairs[a << 32 | b] = self.merge(one + two) == [one, two]
         return fit
 
     def backtrack(self, text: str) -> list[int]:
@@ -122,7 +122,7 @@ class PieceCodec:
             starts[end + 1 - self.size[i]].append(i)  # shorter ones come first or, for equal ends, last
         for s in starts:
             s.sort(key=self.size.__getitem__)
-        n, at, alive = len(text), 0, (1 << (len(text) + 1)) - 1
+        n, at, dead = len(text), 0, bytearray(len(text) + 1)
         done: list[tuple[int, int]] = []  # ids, and how many shorter ones are left to try there
         left = len(starts[0])
         while at < n:
@@ -130,13 +130,13 @@ class PieceCodec:
             while left:
                 left -= 1
                 i = starts[at][left]
-                if alive >> (at + self.size[i]) & 1 and (last is None or self._fits(last, i)):
+                if not dead[at + self.size[i]] and (last is None or self._fits(last, i)):
                     done.append((i, left))
                     at += self.size[i]
                     left = len(starts[at]) if at < n else 0
                     break
             else:
-                alive &= ~(1 << at)
+                dead[at] = 1
                 i, left = done.pop()
                 at -= self.size[i]
         return [i for i, _ in done]
