@@ -113,11 +113,37 @@ def test_top_k(spark):
         best = sorted(scores, key=lambda s: (-s[0], s[1]))[:5]
         if best:
             expected[q] = [(k + 1, i, s) for k, (s, i) in enumerate(best)]
-    huge = {1000}  # beyond exact doubles, only the order is held
-    assert {q: v for q, v in found.items() if q not in huge} == {q: v for q, v in expected.items() if q not in huge}
+    assert found == expected
     assert kd_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_scores_beyond_doubles(spark):
+    """Components near 1e8 give scores that no double tells apart."""
+    random.seed(3)
+    rows = [(i, [float(10**8 + random.randint(0, 3)) for _ in range(2)]) for i in range(120)]
+    found = kd_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, scale=1).collect()
+    expected = []
+    for q, v in rows[::50]:
+        scores = sorted((-sum(int(a) * int(b) for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q)[:5]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_trees_prune():
+    """The queue leaves boxes unvisited, and the result is that of all rows."""
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(4096, 3)) * 256)
+    order, nodes = kd_search.build_tree(x, 64)
+    x, ids = x[order], order.astype(np.int64)
+    low, high = (np.stack([f(x[a:b], 0) for a, b in nodes[:, :2].tolist()]) for f in (np.min, np.max))
+    best = kd_search.Best(ids[:50], x[:50], 5)
+    best.shard(ids, x, nodes, low, high)
+    assert best.visited < best.leaves / 4
+    for q in range(50):
+        s = (x @ x[q]).astype(int)
+        assert [(a, b) for a, b in zip(best.score[q].tolist(), best.found[q].tolist(), strict=True)] == [(-a, b) for a, b in sorted(zip((-s).tolist(), ids.tolist(), strict=True)) if b != ids[q]][:5]
+
+
 # quality
 
 

@@ -1,14 +1,16 @@
 """Exact top-k by inner product over KD-trees, one for each shard.
 
 Vectors become integers, floor(scale * component). A shard (a bounded number of vectors) is split at
-medians of its widest components down to leaves with tight bounding boxes, and written once. Queries come
+medians of its widest components down to leaves; every node has a tight bounding box, and the tree is written once. Queries come
 in blocks of bounded size. A query's bound for a box is the largest inner product any point in it could have;
-each query visits its leaves best bound first and stops where no bound reaches its kth score. That score
-starts from a pilot shard and goes on from leaf to leaf and from shard to shard of a task.
+each query goes from the root through a queue of nodes, the best bound first, and stops where no bound reaches its kth score. That score
+starts from a pilot shard and goes on from leaf to leaf and from shard to shard of a task. Queries that stand before the same leaf are
+scored together. Scores are integers throughout: bounds only are floating point, widened by what rounding can take off.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,23 +21,30 @@ from pyspark.sql import functions as F
 from windrow.llm._common import materialize
 
 SHARD, LEAF, BLOCK = 8192, 256, 16384
-_EXACT = float(2**53)
-_SHARD_SCHEMA = "shard long, dim int, ids binary, vectors binary, cuts binary, low binary, high binary"
+#: Products and sums below these are exact as doubles, as longs.
+_DOUBLE, _LONG = float(2**53), float(2**62)
+_LEAST, _MOST, _NONE = -(2**63), 2**63 - 1, np.iinfo(np.int64).max
+_SHARD_SCHEMA = "shard long, dim int, ids binary, vectors binary, nodes binary, low binary, high binary"
 
 
-def split_leaves(x: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
-    """Row numbers of the leaves of a KD-tree: the widest component is cut at its median until a leaf is small."""
-    todo, leaves = [np.arange(len(x))], []
+def build_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rows and the nodes of a KD-tree, the root first: begin and end in that order, and both children (-1: a leaf).
+
+    The widest component is cut at its median until a leaf is small.
+    """
+    order, nodes, todo = np.arange(len(x)), [[0, len(x), -1, -1]], [0]
     while todo:
-        rows = todo.pop()
-        if len(rows) <= leaf or not x.shape[1]:
-            leaves.append(rows)
+        k = todo.pop()
+        begin, end = nodes[k][:2]
+        if end - begin <= leaf or not x.shape[1]:
             continue
-        part = x[rows]
-        axis = int((part.max(0) - part.min(0)).argmax())
-        order = np.argpartition(part[:, axis], len(rows) // 2)
-        todo += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
-    return leaves
+        part = x[order[begin:end]]
+        axis, half = int((part.max(0) - part.min(0)).argmax()), (end - begin) // 2
+        order[begin:end] = order[begin:end][np.argpartition(part[:, axis], half)]
+        nodes[k][2:] = len(nodes), len(nodes) + 1
+        todo += nodes[k][2:]
+        nodes += [[begin, begin + half, -1, -1], [begin + half, end, -1, -1]]
+    return order, np.array(nodes, np.int64)
 
 
 def build_shards(vectors: DataFrame, scale: int, shard: int = SHARD) -> DataFrame:
@@ -53,13 +62,13 @@ def build_shards(vectors: DataFrame, scale: int, shard: int = SHARD) -> DataFram
             parts = waiting.pop(dim)
             held[dim] = 0
             ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            leaves = split_leaves(x)
-            order, cuts = np.concatenate(leaves), np.cumsum([0, *map(len, leaves)])
-            low, high = (np.stack([f(x[r], 0) for r in leaves]) for f in (np.min, np.max))
+            order, nodes = build_tree(x)
+            ids, x = ids[order], x[order]
+            low, high = (np.stack([f(x[a:b], 0) for a, b in nodes[:, :2].tolist()]) for f in (np.min, np.max))
             number += 1
-            row = [number, dim, *(a.tobytes() for a in (ids[order], x[order], cuts.astype(np.int64), low, high))]
+            row = [number, dim, *(a.tobytes() for a in (ids, x, nodes, low, high))]
             kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=["shard", "dim", "ids", "vectors", "cuts", "low", "high"])
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=["shard", "dim", "ids", "vectors", "nodes", "low", "high"])
 
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
@@ -80,54 +89,76 @@ def build_shards(vectors: DataFrame, scale: int, shard: int = SHARD) -> DataFram
     return materialize(vectors.mapInArrow(build, _SHARD_SCHEMA), "kd-shards")
 
 
+def scores_of(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The inner products of two tables of whole numbers (as doubles), exact, and held within a long."""
+    most = max(float(np.abs(q).max(initial=0)), 1) * max(float(np.abs(x).max(initial=0)), 1) * max(x.shape[1], 1)
+    if most < _DOUBLE:
+        return (q @ x.T).astype(np.int64)
+    if most < _LONG:
+        return q.astype(np.int64) @ x.T.astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    return np.clip(whole(q) @ whole(x.T), _LEAST, _MOST).astype(np.int64)
+
+
 class Best:
     """The k best scores of each query of one dimension so far, ties to the smaller id."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, kth: np.ndarray | None = None):
         self.ids, self.x, self.k = ids, x, k
         self.up, self.down = np.maximum(x, 0), np.minimum(x, 0)
-        self.largest = float(np.abs(x).max(initial=0))
-        self.score = np.full((len(ids), k), -np.inf)
-        self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.floor = np.full(len(ids), -np.inf) if kth is None else kth
+        self.score = np.full((len(ids), k), _LEAST, np.int64)
+        self.found = np.full((len(ids), k), _NONE, np.int64)
+        self.floor = np.full(len(ids), _LEAST, np.int64) if kth is None else kth
+        #: Leaves scored for queries, and leaves there were.
+        self.visited = self.leaves = 0
 
     def kth(self) -> np.ndarray:
         return np.maximum(self.score[:, -1], self.floor)
 
-    def leaf(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, exact: bool) -> None:
-        if exact:
-            scores = self.x[rows] @ x.T
-        else:  # whole numbers of any size, held within a long
-            whole = self.x[rows].astype(object) @ np.frompyfunc(int, 1, 1)(x.T)
-            scores = np.clip(whole, -(2**63), 2**63 - 1).astype(np.float64)
-        scores[ids[None, :] == self.ids[rows][:, None]] = -np.inf
-        hit = ((scores >= self.kth()[rows][:, None]) & (scores > -np.inf)).any(1)
+    def leaf(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        scores = scores_of(self.x[rows], x)
+        other = ids[None, :] != self.ids[rows][:, None]
+        hit = ((scores >= self.kth()[rows][:, None]) & other).any(1)
         if not hit.any():
             return
         rows, scores = rows[hit], scores[hit]
-        all_scores = np.concatenate([self.score[rows], scores], 1)
-        all_ids = np.concatenate([self.found[rows], np.broadcast_to(ids, scores.shape)], 1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.k]
+        found = np.where(other[hit], ids, _NONE)  # an absent candidate sorts behind all others
+        all_scores = np.concatenate([self.score[rows], np.where(found == _NONE, _LEAST, scores)], 1)
+        all_ids = np.concatenate([self.found[rows], found], 1)
+        order = np.lexsort((all_ids, ~all_scores), axis=1)[:, : self.k]
         self.score[rows] = np.take_along_axis(all_scores, order, 1)
         self.found[rows] = np.take_along_axis(all_ids, order, 1)
 
-    def shard(self, ids: np.ndarray, x: np.ndarray, cuts: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        dim = x.shape[1]
-        exact = max(self.largest, 1) * max(float(np.abs(x).max(initial=0)), 1) * max(dim, 1) < _EXACT
-        bound = self.up @ high.T + self.down @ low.T if exact else np.full((len(self.ids), len(cuts) - 1), np.inf)
-        order = np.argsort(-bound, axis=1, kind="stable")
-        active = np.arange(len(self.ids))
-        for step in range(order.shape[1]):  # each query visits its leaves, the best bound first
-            next_leaf = order[active, step]
-            alive = bound[active, next_leaf] >= self.kth()[active]
-            active, next_leaf = active[alive], next_leaf[alive]
-            if not len(active):
-                return
-            by_leaf = np.argsort(next_leaf, kind="stable")
-            starts = np.flatnonzero(np.diff(next_leaf[by_leaf], prepend=-1))
-            for group in np.split(by_leaf, starts[1:]):
-                a, b = cuts[next_leaf[group[0]]], cuts[next_leaf[group[0]] + 1]
-                self.leaf(active[group], ids[a:b], x[a:b], exact)
+    def shard(self, ids: np.ndarray, x: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        bound = self.up @ high.T + self.down @ low.T
+        # what rounding may have taken off: of the sum, and of the kth score as a double
+        bound += (x.shape[1] + 4) * 2.0**-52 * (self.up @ np.abs(high).T - self.down @ np.abs(low).T) + 1e-9
+        left, right = nodes[:, 2].tolist(), nodes[:, 3].tolist()
+        queues = {q: [(-b, 0)] for q, b in enumerate(bound[:, 0].tolist())}
+        self.leaves += len(queues) * (len(nodes) + 1) // 2
+        while queues:
+            kth = self.kth().astype(np.float64)
+            kth -= np.abs(kth) * 2.0**-52
+            wanted: dict[int, list[int]] = {}
+            for q, queue in list(queues.items()):
+                least, own = kth[q], bound[q]
+                while queue:
+                    b, node = heapq.heappop(queue)
+                    if -b < least:
+                        queue.clear()
+                    elif left[node] < 0:
+                        wanted.setdefault(node, []).append(q)
+                        break
+                    else:
+                        for child in (left[node], right[node]):
+                            if own[child] >= least:
+                                heapq.heappush(queue, (-own[child], child))
+                if not queue:
+                    del queues[q]
+            for node, rows in wanted.items():
+                a, b = nodes[node, :2]
+                self.visited += len(rows)
+                self.leaf(np.array(rows), ids[a:b], x[a:b])
 
 
 def _search(queries: dict[int, tuple], k: int):
@@ -135,15 +166,15 @@ def _search(queries: dict[int, tuple], k: int):
         best = {dim: Best(*q[:2], k, q[2]) for dim, q in queries.value.items()}
         for batch in batches:
             for r in range(batch.num_rows):
-                dim, ids, x, cuts, low, high = (batch.column(c)[r].as_py() for c in range(1, 7))
+                dim, ids, x, nodes, low, high = (batch.column(c)[r].as_py() for c in range(1, 7))
                 if dim in best:
-                    shaped = [np.frombuffer(b).reshape(-1, dim) if dim else np.zeros((n, 0)) for b, n in ((x, len(ids) // 8), (low, 1), (high, 1))]
-                    best[dim].shard(np.frombuffer(ids, np.int64), shaped[0], np.frombuffer(cuts, np.int64), *shaped[1:])
+                    shape = np.frombuffer(nodes, np.int64).reshape(-1, 4)
+                    shaped = [np.frombuffer(b).reshape(-1, dim) if dim else np.zeros((n, 0)) for b, n in ((x, len(ids) // 8), (low, len(shape)), (high, len(shape)))]
+                    best[dim].shard(np.frombuffer(ids, np.int64), shaped[0], shape, *shaped[1:])
         for b in best.values():
-            there = b.score > -np.inf
+            there = b.found < _NONE
             query = np.broadcast_to(b.ids[:, None], there.shape)[there]
-            score = np.array([min(int(s), 2**63 - 1) for s in b.score[there]], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(b.found[there]), pa.array(score)], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(b.found[there]), pa.array(b.score[there])], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -154,7 +185,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     ``is_query`` is a condition on ``vec_id``. Ties go to the smaller id. Vectors that are null, hold a null or a
     non-finite component, or whose id is null take no part. Vectors of other lengths than the query's are no candidates.
     Repeated rows are candidates each; a query id that repeats is asked once, with the smallest of its vectors.
-    Fewer than k candidates give fewer rows, empty tables none. Scores stay within a long.
+    Fewer than k candidates give fewer rows, empty tables none. Scores are exact; one beyond a long counts as the nearest long.
+    An id of 2^63 - 1 takes no part as a candidate.
     A block of queries, at most about ``block`` vectors, is what the driver holds and broadcasts at a time.
     """
     spark = vectors.sparkSession
@@ -177,7 +209,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         first = shards.where(F.col("shard").isin([r["shard"] for r in pilot])).mapInArrow(_search(spark.sparkContext.broadcast(queries), k), "query_id long, vec_id long, score long")
         kth = dict(first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k).select("query_id", "kth").toLocalIterator())
         for dim, (q, x, _) in queries.items():
-            queries[dim] = (q, x, np.array([kth.get(i, -np.inf) for i in q.tolist()], np.float64))
+            queries[dim] = (q, x, np.array([kth.get(i, _LEAST) for i in q.tolist()], np.int64))
         results.append(shards.mapInArrow(_search(spark.sparkContext.broadcast(queries), k), "query_id long, vec_id long, score long"))
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
