@@ -312,6 +312,15 @@ def test_substring_dedup(spark, docs, texts, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_substring_dedup_of_words_that_polynomials_confuse(spark):
+    """A word of a and b by the parity of ones in its places, and its complement, have one polynomial hash modulo 2**64, whatever the base."""
+    odd = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    rest = [f"w{k}" for k in range(34)]
+    rows = [(1, " ".join([odd, *rest])), (2, " ".join([odd.translate(str.maketrans("ab", "ba")), *rest]))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 0)]
+
+
 # chat
 
 

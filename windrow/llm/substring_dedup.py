@@ -15,7 +15,9 @@ with two keys: the symbol with the context that all its windows share, and all t
 * A group that shares only the first may hold repeats up to an edge: its windows are compared one by one.
 * All others hold none. Only keys and positions travel for this; texts travel once, compressed.
 
-Keys are hashed independently and compared together (128 bits), edges by 128-bit hashes of the windows' bytes.
+A word has two hashes, each a sum of values that depend on byte and place without any algebra between them. Symbols and the first
+key come from one, the second key from the other; both keys are compared together (128 bits), edges by 128-bit hashes of the windows' bytes.
+Rows are known by a number that is written with their text.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from windrow.llm._common import materialize, partitions, text_of
 #: Words that settle a symbol on either side, and the most words that a symbol spans.
 MARGIN, LONGEST = 8, 8
 #: Bytes of text that one call of the kernel sees, unless one document is longer.
-CHUNK = 3_000_000
+CHUNK = 2_000_000
 _LOW = np.uint64((1 << 24) - 1)
 _BYTE, _KEY, _SPAN = (np.uint64(v) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
 _ROWS = "rk long, key long, span long, low int, high int, kind int"
@@ -68,15 +70,27 @@ class _Powers:
         return _mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
-_POWERS = {b: _Powers(b) for b in (_BYTE, _KEY, _SPAN)}
+_POWERS = {b: _Powers(b) for b in (_KEY, _SPAN)}
 
 
-def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word starts, and its hash."""
+def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word starts, and both its hashes."""
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(space.astype(np.int8), prepend=1, append=1)
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return starts, _POWERS[_BYTE].stretches(raw.astype(np.uint64) + np.uint64(1), starts, ends)
+    place = np.arange(len(raw), dtype=np.uint64)
+    sizes = (ends - starts).astype(np.uint64)
+    begin = np.zeros(len(raw), np.uint64)
+    begin[starts] = starts
+    place -= np.maximum.accumulate(begin)
+    value = _mix((place << np.uint64(8)) + raw + np.uint64(1))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    hashes = []
+    for _ in range(2):
+        np.cumsum(value, out=sums[1:])
+        hashes.append(_mix(sums[ends] - sums[starts] + sizes))
+        value = (value ^ (value >> np.uint64(31))) * _BYTE  # no linear function of the values before
+    return starts, *hashes
 
 
 def recompress(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +114,8 @@ def recompress(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names, starts
 
 
-def groups(words: np.ndarray, doc_of: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Groups of windows: first and last start of their windows, and both keys. doc_of: ascending, a number for each word."""
+def groups(words: np.ndarray, others: np.ndarray, doc_of: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Groups of windows: first and last start of their windows, and both keys. words, others: both hashes; doc_of: ascending, a number for each word."""
     n = len(words) - window + 1
     at = np.flatnonzero(doc_of[:n] == doc_of[window - 1 :]) if n > 0 else np.zeros(0, np.int64)
     if not len(at):
@@ -126,7 +140,7 @@ def groups(words: np.ndarray, doc_of: np.ndarray, window: int) -> tuple[np.ndarr
     low, high = at[first], at[np.append(first[1:], len(at)) - 1]
     s, e = starts[elected[first]], ends[elected[first]]
     key = _POWERS[_KEY].stretches(words, s - MARGIN, e + MARGIN) ^ _mix((e - s).astype(np.uint64))
-    span = _POWERS[_SPAN].stretches(_mix(words), low, high + window) ^ _mix(((s - low) * 1000 + (high - low)).astype(np.uint64))
+    span = _POWERS[_SPAN].stretches(others, low, high + window) ^ _mix(((s - low) * 1000 + (high - low)).astype(np.uint64))
     return low, high, key, span
 
 
@@ -134,13 +148,13 @@ def _chunk_rows(rks: list[int], texts: list[bytes], window: int) -> pa.RecordBat
     """The groups of some documents. Repeats among them are settled here, so that each key leaves once."""
     raw = np.frombuffer(b" ".join(texts), np.uint8)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-    starts, words = words_of(raw)
+    starts, words, others = words_of(raw)
     doc_of = np.searchsorted(begins, starts, "right") - 1
     first_word = np.searchsorted(starts, begins)
     parts = []
     step = 1 << 23  # a document of more words is seen in stretches that overlap by a window
     for k in range(0, max(len(words), 1), step):
-        found = groups(words[k : k + step + window - 1], doc_of[k : k + step + window - 1], window)
+        found = groups(*(c[k : k + step + window - 1] for c in (words, others, doc_of)), window)
         parts.append((found[0] + k, found[1] + k, *found[2:]))
     low, high, key, span = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.lexsort((low, span, key))
@@ -175,10 +189,13 @@ def _join(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarra
 
 def _gather(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         rks, texts, held = [], [], 0
         for batch in batches:
-            for rk, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = text.as_py().encode("utf-8", "replace")
+            for rk, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = unpack(packed.as_py())
                 rks.append(rk)
                 texts.append(raw)
                 held += len(raw)
@@ -306,12 +323,12 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     if window < 2 * MARGIN + 2 * LONGEST - 1:
         raise ValueError(f"a window needs at least {2 * MARGIN + 2 * LONGEST - 1} words to hold a settled symbol")
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("rk", F.xxhash64("doc_id", "text"))
-    keyed = rows.select("rk", "text").mapInArrow(_gather(window), _ROWS)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("rk", F.monotonically_increasing_id())
+    texts = materialize(rows.select("rk", "doc_id", "text").mapInArrow(_pack, "rk long, doc_id long, packed binary"), "texts")
+    keyed = texts.select("rk", "packed").mapInArrow(_gather(window), _ROWS)
     decided = keyed.repartition(partitions(spark), "key").sortWithinPartitions("key", "span").mapInArrow(_decide, "rk long, low int, high int, edge int")
     found = materialize(decided, "repeats")
     by_row = found.groupBy("rk").agg(F.collect_list(F.struct("low", "high", "edge")).alias("found"))
-    texts = rows.select("rk", "doc_id", "text").mapInArrow(_pack, "rk long, doc_id long, packed binary")
     joined = texts.join(by_row, "rk", "left").select("rk", "doc_id", "packed", "found")
     applied = materialize(joined.mapInArrow(_apply(window), _APPLIED), "applied")
     edges = applied.select("rk", F.explode("edges").alias("edge")).select("rk", "edge.*")
