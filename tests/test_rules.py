@@ -185,6 +185,37 @@ def test_preparation(spark, tmp_path):
     assert metrics.low_confidence(files.read_labeled(spark, plan.at("silver_dataset"))).count() == 2
 
 
+def test_output_lines_are_pythons(spark, tmp_path):
+    rows = spark.createDataFrame([("1", 'é "q"\n/', 2, None)], "notam_id string, notam_text string, n int, x double")
+    files.write_lines(rows, str(tmp_path / "lines"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "lines")).collect()] == [json.dumps({"notam_id": "1", "notam_text": 'é "q"\n/', "n": 2, "x": None}, ensure_ascii=False)]
+    pair = [{"role": "user", "content": "a\té"}, {"role": "assistant", "content": '{"k": 1}'}]
+    made = examples.messages(spark.createDataFrame([("a\té", '{"k": 1}')], "user string, assistant string"))
+    assert made.select(files.message_line(made.messages)).first()[0] == json.dumps(pair, ensure_ascii=False)
+    files.export_array(spark.range(0, 5, 1, 3).withColumn("t", F.lit("é")), str(tmp_path / "array"))
+    (part,) = (tmp_path / "array").glob("part-*")
+    assert json.loads(part.read_text()) == [{"id": i, "t": "é"} for i in range(5)]
+
+
+def test_quarantine_and_pages_in_the_plan(spark, tmp_path):
+    spark.dataSource.register(Flaky)
+    fetched = spark.read.format("flaky_notices").option("bad", "100").load()
+    plan = Prepare(spark, str(tmp_path), labeler=lambda p: "no json", skip_download=False)
+    assert sorted(plan.download(fetched).columns) == sorted(f.name for f in NOTICE.fields) and plan.download(fetched).count() == 100
+    notices = spark.createDataFrame([("1", "KJFK", "RWY 09 CLSD", "a", "b")], NOTICE)
+    assert plan.label(notices).count() == 0
+    assert spark.read.json(plan.at("quarantine")).select("notam_id", "problem").collect() == [("1", "unreadable")]
+
+
+def test_files_that_are_asked_about(spark, tmp_path):
+    (tmp_path / "m_v1").write_text("one")
+    (tmp_path / "m_v2").write_text("two")
+    sums = {r.path.rpartition("/")[2]: (r.size, r.md5) for r in files.checksums(spark, str(tmp_path)).collect()}
+    assert sums["m_v1"] == (3, "f97c5d29941bfb1b2fdab0874906ab82") and files.latest(spark, str(tmp_path)).count() == 1
+    rows = spark.createDataFrame([("x/m_v2", 1, 8)], "p string, n int, of int")
+    assert rows.select(files.version_of("p"), metrics.percent(rows.n, rows.of)).first() == ("2", "12.5")
+
+
 def test_streams(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(2):

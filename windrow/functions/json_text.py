@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,17 @@ def repair(text: str | None) -> tuple[bool, list[str], float, bool]:
     return True, [json.dumps(e, ensure_ascii=False) for e in entries], least, odd
 
 
+def quoted(text: Column) -> Column:
+    """A JSON string, or null."""
+    written = F.to_json(F.array(text))
+    return F.coalesce(F.when(text.isNotNull(), written.substr(F.lit(2), F.length(written) - 2)), F.lit("null"))
+
+
+def json_object(fields: dict[str, Column]) -> Column:
+    """An object of JSON values, with a space after each comma and colon."""
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f"{json.dumps(k, ensure_ascii=False)}: "), v) for k, v in fields.items()]), F.lit("}"))
+
+
 @F.pandas_udf(REPAIRED)
 def repair_response(responses: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([repair(r) for r in responses], columns=["ok", "entries", "min_confidence", "odd_confidence"])

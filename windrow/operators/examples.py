@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.entries import has_key, is_string, truthy, value
-from windrow.functions.json_text import ascii_json, python_repr
+from windrow.functions.json_text import ascii_json, python_repr, quoted
 from windrow.functions.keywords import is_blank, is_canceled
 from windrow.operators.order import with_position
 from windrow.schemas import ENTRY_FIELDS
@@ -24,6 +24,7 @@ def _or_none(c: Column) -> Column:
 
 def prompt(runway: Column) -> Column:
     """The user's message: a notice in its context. Nulls show as None, and no runway as ALL."""
+    # fixed values: the wording of the prompt
     shown = F.coalesce(F.nullif(runway, F.lit("")), F.lit("ALL"))
     return F.concat(
         F.lit("Extract runway performance data from this NOTAM.\n\nAirport: "), _or_none(F.col("icao_location")),
@@ -33,24 +34,18 @@ def prompt(runway: Column) -> Column:
     )
 
 
-def _quoted(text: Column) -> Column:
-    """A JSON string, or null."""
-    written = F.to_json(F.array(text))
-    return F.coalesce(F.when(text.isNotNull(), written.substr(F.lit(2), F.length(written) - 2)), F.lit("null"))
-
-
 def _raw(entry: Column, field: str) -> Column:
     """The field's JSON text."""
     v = value(entry, field)
-    return F.when(v.isNull(), "null").when(is_string(entry, field), _quoted(v)).otherwise(v)
+    return F.when(v.isNull(), "null").when(is_string(entry, field), quoted(v)).otherwise(v)
 
 
 def response(entry: Column) -> Column:
     """The assistant's message as JSON of 30 keys in fixed order; :func:`ascii_json` gives it its final form."""
-    head = {"airportID": _quoted(F.col("icao_location")), "runway": _raw(entry, "runway"), "effectiveStart": _quoted(F.col("effective_start")), "effectiveEnd": _quoted(F.col("effective_end")), "isCanceled": is_canceled(F.col("notam_text")).cast("string")}
+    head = {"airportID": quoted(F.col("icao_location")), "runway": _raw(entry, "runway"), "effectiveStart": quoted(F.col("effective_start")), "effectiveEnd": quoted(F.col("effective_end")), "isCanceled": is_canceled(F.col("notam_text")).cast("string")}
     body = {f: _raw(entry, f) for f in ENTRY_FIELDS if f not in ("runway", "confidence", "notes")}
     body["contaminations"] = F.when(has_key(entry, "contaminations"), body["contaminations"]).otherwise("[]")
-    tail = {"sourceNOTAMIds": F.concat(F.lit("["), _quoted(F.col("notam_id")), F.lit("]")), "notes": _raw(entry, "notes")}
+    tail = {"sourceNOTAMIds": F.concat(F.lit("["), quoted(F.col("notam_id")), F.lit("]")), "notes": _raw(entry, "notes")}
     pairs = [F.concat(F.lit(f'"{k}": '), v) for k, v in {**head, **body, **tail}.items()]
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
 
@@ -64,7 +59,7 @@ def examples(labeled: DataFrame) -> DataFrame:
 
 
 def messages(rows: DataFrame) -> DataFrame:
-    """``rows`` with the message pair as an array, and as the line of an output file."""
+    """``rows`` with the message pair as an array."""
     pair = F.array(F.struct(F.lit("user").alias("role"), F.col("user").alias("content")), F.struct(F.lit("assistant").alias("role"), F.col("assistant").alias("content")))
     return rows.withColumn("messages", pair)
 
@@ -81,7 +76,7 @@ def exact_split(rows: DataFrame, key: str, train: float = 0.8, valid: float = 0.
     Rows are shuffled by a hash of seed and key, equal keys in the order of the rest of the row's hash. Positions come from a range
     partitioned sort of narrow rows, so no task sorts the whole table.
     """
-    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.col(key)]
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.col(key), F.xxhash64(*[F.col(c) for c in rows.columns])]
     placed = with_position(rows, order, "__at")
     n = placed.count()
     first, second = int(n * train), int(n * train) + int(n * valid)

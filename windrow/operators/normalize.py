@@ -12,13 +12,13 @@ from windrow.functions.json_text import set_fields
 
 
 def issues_of(entry: Column) -> dict[str, Column]:
-    """What needs repair in an entry."""
+    """What needs repair in an entry. Entries are parsed for a value's kind only where its text is in need of repair."""
     coordinates, bearing = value(entry, "obstacleCoordinates"), value(entry, "obstacleBearing")
     no = F.lit(False)
     return {
         "all_runways": F.coalesce(value(entry, "runway") == "ALL", no),
-        "coordinates": F.coalesce(truthy(entry, "obstacleCoordinates") & ~is_decimal(coordinates), no),
-        "bearings": F.coalesce(truthy(entry, "obstacleBearing") & is_string(entry, "obstacleBearing") & is_unread_bearing(bearing), no),
+        "coordinates": F.when(coordinates.isNotNull() & ~is_decimal(coordinates), truthy(entry, "obstacleCoordinates")).otherwise(no),
+        "bearings": F.when(bearing.isNotNull() & is_unread_bearing(bearing), is_string(entry, "obstacleBearing") & (bearing != "")).otherwise(no),
     }
 
 

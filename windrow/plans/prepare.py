@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from windrow.operators import classify, examples, labels, normalize, review
 from windrow.schemas import NOTICE
-from windrow.sources import files
+from windrow.shared import materialize
+from windrow.sources import files, pages as paged
 
 
 @dataclass
@@ -22,14 +23,17 @@ class Prepare:
     skip_download: bool = True
     skip_labeling: bool = False
     split_by_notice: bool = False
+    page_size: int = paged.SIZE
     counts: dict[str, int] = field(default_factory=dict)
 
     def at(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def download(self, pages: DataFrame | None = None) -> DataFrame:
-        """The notices: from ``pages``, which are written, or from what was downloaded before."""
+        """The notices: from ``pages``, which are written as far as the first gap, or from what was downloaded before."""
         if pages is not None and not self.skip_download:
+            if "page_offset" in pages.columns:
+                pages = paged.whole_prefix(materialize(pages, "pages"), self.page_size).drop("seq", "page_offset")
             files.write_lines(pages, self.at("all_notams.jsonl"))
         return self.spark.read.schema(NOTICE).json(files.require(self.spark, self.at("all_notams.jsonl")))
 
@@ -38,7 +42,7 @@ class Prepare:
         return self.spark.read.parquet(self.at("classified")).where(F.col("is_relevant").cast("boolean"))
 
     def label(self, notices: DataFrame) -> DataFrame:
-        """New labels are appended; what the labeler did not answer stays pending for the next run."""
+        """New labels are appended; what the labeler did not answer stays pending for the next run. Answers without labels are listed in ``quarantine``."""
         silver = self.at("silver_dataset")
         if not self.skip_labeling:
             if self.labeler is None:
@@ -47,8 +51,9 @@ class Prepare:
                 done = files.read_labeled(self.spark, silver).select("notam_id")
             except files.MissingSource:
                 done = self.spark.createDataFrame([], "notam_id string")
-            answers = labels.respond(labels.pending(notices, done), self.labeler)
+            answers = materialize(labels.respond(labels.pending(notices, done), self.labeler), "answers")
             files.write_labeled(labels.labeled(answers), silver, mode="append")
+            files.write_lines(labels.quarantined(answers), self.at("quarantine"), mode="append")
         return files.read_labeled(self.spark, silver)
 
     def finish(self, labeled: DataFrame, patches: DataFrame | None = None) -> DataFrame:

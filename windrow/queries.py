@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions import bearings, coordinates, entries, json_text, keywords
 from windrow.operators import classify, examples, labels, metrics, normalize, order, review
+from windrow.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -265,6 +266,15 @@ def example_counts(spark, sf_dir):
     return examples.example_counts(labeled(spark, sf_dir))
 
 
+@query(
+    f"""WITH p AS ({ORACLE_SQL['training_prompt']}), r AS ({ORACLE_SQL['training_response']})
+SELECT notam_id, entry_idx, concat('[{{"role": "user", "content": ', to_json(prompt)::VARCHAR, '}}, {{"role": "assistant", "content": ', to_json(response)::VARCHAR, '}}]') AS line FROM p JOIN r USING (notam_id, entry_idx)"""
+)
+def message_lines(spark, sf_dir):
+    rows = examples.messages(examples.examples(labeled(spark, sf_dir)))
+    return rows.select("notam_id", F.col("entry_idx").cast("long").alias("entry_idx"), files.message_line(F.col("messages")).alias("line"))
+
+
 @query("SELECT conv_id, count(*) AS n, string_agg(concat(role, ':', text), chr(10) ORDER BY turn) AS messages FROM conversations GROUP BY conv_id")
 def message_pack(spark, sf_dir):
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -319,6 +329,36 @@ def apply_patches(spark, sf_dir):
     return after.select("notam_id", "min_confidence", F.size("runway_entries").cast("long").alias("entries"))
 
 
+@query(
+    _OWN
+    + """SELECT o_orderkey::VARCHAR AS notam_id, count(*) + (o_orderkey % 10 = 1)::BIGINT AS entries, CASE WHEN o_orderkey % 10 = 1 THEN 'X1' END AS runway, CASE WHEN o_orderkey % 10 = 1 THEN 'false' END AS closed,
+CASE WHEN o_orderkey % 10 = 1 THEN 1.0::DOUBLE END AS confidence FROM x GROUP BY o_orderkey"""
+)
+def added_entries(spark, sf_dir):
+    n = notices(spark, sf_dir)
+    new = n.where("seq % 10 = 1").selectExpr("notam_id", "1 AS seq", "CAST(NULL AS INT) AS entry_idx", "'add' AS op", "CAST(NULL AS STRING) AS field", """'{"runway": "X1"}' AS value""")
+    after = review.apply_patches(labeled(spark, sf_dir), new)
+    last = F.when(F.col("notam_id").cast("long") % 10 == 1, F.element_at("runway_entries", -1))
+    fields = [entries.value(last, f).alias(a) for f, a in (("runway", "runway"), ("runwayClosed", "closed"))]
+    return after.select("notam_id", F.size("runway_entries").cast("long").alias("entries"), *fields, entries.value(last, "confidence").cast("double").alias("confidence"))
+
+
+@query(
+    _OWN
+    + """SELECT o_orderkey::VARCHAR AS notam_id, CASE o_orderkey % 10 WHEN 2 THEN (length(contaminations) - length(replace(contaminations, '"type"', ''))) // 6 + 1
+ ELSE (length(contaminations) - length(replace(contaminations, '"type"', ''))) // 6 END::BIGINT AS contaminations, CASE WHEN o_orderkey % 10 = 2 THEN 'slush' END AS added, CASE WHEN o_orderkey % 10 = 2 THEN 50::BIGINT END AS coverage FROM x WHERE i = 0"""
+)
+def contamination_edits(spark, sf_dir):
+    edits = notices(spark, sf_dir).where("seq % 10 = 2").selectExpr(
+        "notam_id", "1 AS seq", "1 AS entry_idx", "'contamination_add' AS op", "CAST(NULL AS STRING) AS field", """'{"type": "slush", "coverage": "50"}' AS value"""
+    )
+    first = review.apply_patches(labeled(spark, sf_dir), edits).where(F.size("runway_entries") > 0).select("notam_id", F.get("runway_entries", 0).alias("e"))
+    items = F.from_json(F.get_json_object("e", "$.contaminations"), "array<struct<type:string,coverage:bigint>>")
+    rows = first.select("notam_id", items.alias("items"), (F.col("notam_id").cast("long") % 10 == 2).alias("edited"))
+    last = F.when(F.col("edited"), F.element_at("items", -1))
+    return rows.select("notam_id", F.size("items").cast("long").alias("contaminations"), last.type.alias("added"), last.coverage.alias("coverage"))
+
+
 @query(_OWN + "SELECT o_orderkey::VARCHAR AS notam_id, i AS entry_idx, regexp_extract(contaminations, '\"type\":\"(\\w+)\"', 1) AS kind, contaminations LIKE '%ice%' AS valid FROM x WHERE contaminations <> '[]'")
 def contamination_check(spark, sf_dir):
     rows = labeled(spark, sf_dir).select("notam_id", F.posexplode("runway_entries").alias("i", "e"))

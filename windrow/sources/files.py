@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from windrow.functions.json_text import json_object, quoted
 from windrow.schemas import LABELED, NOTICE
 
 
@@ -50,23 +51,37 @@ def line_count(spark: SparkSession, path: str) -> int:
     return spark.read.text(require(spark, path)).count()
 
 
+def _line(df: DataFrame, raw: str | None = None) -> Column:
+    """A row as JSON, null fields kept, with a space after each comma and colon; ``raw`` is a column of arrays of JSON values."""
+    options = {"ignoreNullFields": "false"}
+
+    def of(c: str) -> Column:
+        if c == raw:
+            return F.coalesce(F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]")), F.lit("null"))
+        if dict(df.dtypes)[c] == "string":
+            return quoted(F.col(c))
+        held = F.to_json(F.array(F.col(c)), options)
+        return F.coalesce(held.substr(F.lit(2), F.length(held) - 2), F.lit("null"))
+
+    return json_object({c: of(c) for c in df.columns}).alias("value")
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines with null fields kept; with ``mode='append'`` an incremental sink."""
-    df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
+    df.select(_line(df)).write.mode(mode).text(path)
 
 
 def write_labeled(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Labeled items as JSON lines; entries keep their raw JSON."""
-    rest = [F.col(c) for c in df.columns if c != "runway_entries"]
-    head = F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})
-    line = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"runway_entries":['), F.concat_ws(",", "runway_entries"), F.lit("]}"))
-    df.select(line.alias("value")).write.mode(mode).text(path)
+    df.select(_line(df, "runway_entries")).write.mode(mode).text(path)
 
 
 def export_array(df: DataFrame, path: str) -> None:
-    """One file with one JSON array, for small exports: the rows meet in one task by nature of the format."""
-    rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("v"))
-    rows.coalesce(1).agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("v")), F.lit("\n]")).alias("value")).write.mode("overwrite").text(path)
+    """One file with one JSON array, for small exports: the rows pass through one task by nature of the format, and none is held there."""
+    rows = df.select(_line(df)).coalesce(1)
+    body = rows.select(F.concat(F.when(F.monotonically_increasing_id() == 0, "").otherwise(","), F.col("value")).alias("value"))
+    first, last = (df.sparkSession.range(0, 1, 1, 1).select(F.lit(c).alias("value")) for c in "[]")
+    first.union(body).union(last).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_routes(classified: DataFrame, path: str) -> None:
@@ -74,10 +89,14 @@ def write_routes(classified: DataFrame, path: str) -> None:
     classified.write.mode("overwrite").partitionBy("is_relevant").parquet(path)
 
 
+def message_line(messages: Column) -> Column:
+    """An array of messages (role, content) as a line of JSON."""
+    return F.concat(F.lit("["), F.array_join(F.transform(messages, lambda m: json_object({"role": quoted(m.role), "content": quoted(m.content)})), ", "), F.lit("]"))
+
+
 def write_split(split: DataFrame, path: str) -> None:
     """train, valid and test in a partition each; a line is an array of two messages."""
-    lines = split.select("split", F.to_json("messages").alias("value"))
-    lines.write.mode("overwrite").partitionBy("split").text(path)
+    split.select("split", message_line(F.col("messages")).alias("value")).write.mode("overwrite").partitionBy("split").text(path)
 
 
 def replace(df: DataFrame, path: str) -> str:
@@ -89,9 +108,13 @@ def replace(df: DataFrame, path: str) -> str:
     new, backup = f"{path}.{uuid.uuid4().hex}", f"{path}.bak-{uuid.uuid4().hex[:8]}"
     write_labeled(df, new)
     (old, fs), (source, _), (kept, _) = _path(spark, path), _path(spark, new), _path(spark, backup)
-    if fs.exists(old):
-        fs.rename(old, kept)
-    fs.rename(source, old)
+    there = fs.exists(old)
+    if there and not fs.rename(old, kept):
+        raise OSError(f"{path} could not be moved to {backup}; the new labels are in {new}")
+    if not fs.rename(source, old):
+        if there:
+            fs.rename(kept, old)
+        raise OSError(f"{new} could not be moved to {path}, where the old labels are again")
     return backup
 
 

@@ -10,7 +10,7 @@ import os
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -66,7 +66,7 @@ class PagedNotices(DataSource):
         return "seq long, page_offset long, " + ", ".join(f"{f} string" for f in NOTICE_FIELDS)
 
     def fetch(self) -> Fetch:
-        token = os.environ.get(self.options.get("token_env", "NOTAM_API_TOKEN"))
+        token = os.environ.get(self.options.get("token_env", "NOTICE_TOKEN"))
         if not token:
             raise ValueError("no token in the environment")
         return http_fetch(self.options["url"], token)
@@ -78,12 +78,12 @@ class PagedNotices(DataSource):
 def whole_prefix(rows: DataFrame, size: int = SIZE) -> DataFrame:
     """Rows of the pages before the first gap. Materialise ``rows`` first: a second read asks the service again.
 
-    The offsets form one row for each page; a gap is an offset that is not its rank times the size.
+    The offsets form one row for each page; the first gap is the least offset that follows a page but has none.
     """
-    pages = rows.select("page_offset").distinct()
-    order = Window.orderBy("page_offset")
-    sound = pages.withColumn("__rank", F.row_number().over(order) - 1).where(F.col("page_offset") == F.col("__rank") * size)
-    return rows.join(sound.select("page_offset"), "page_offset", "left_semi")
+    pages = rows.select("page_offset").where(F.col("page_offset") % size == 0).distinct()
+    after = pages.select((F.col("page_offset") + size).alias("__gap")).unionByName(rows.sparkSession.range(1).select(F.col("id").alias("__gap")))
+    gap = after.join(pages, F.col("__gap") == F.col("page_offset"), "left_anti").agg(F.min("__gap").alias("__gap"))  # one row
+    return rows.join(F.broadcast(gap), (F.col("page_offset") < F.col("__gap")) & (F.col("page_offset") % size == 0)).drop("__gap")
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
