@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from windrow.operators.order import with_position
+from windrow.shared import materialize as _materialize
+
 #: White space of the contracts, as a Java character class.
 SPACE = r"\x20\x09-\x0D"
 
@@ -18,26 +19,10 @@ def reachable(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); where it is unset, as in tests, a folder of our own."""
-    reachable(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="windrow-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` to a table in the shared folder and read it back.
-
-    This cuts the lineage and survives lost executors: tasks that failed are run again and
-    only the output of one attempt of each is committed.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/windrow-{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Like :func:`windrow.shared.materialize`, with this package in reach of Python workers."""
+    reachable(df.sparkSession)
+    return _materialize(df, name, **options)
 
 
 def text_of(column: str = "text") -> Column:
@@ -50,22 +35,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def with_rank(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
-    """Add ``rank``: the gapless position (from 0) of each row in the order of ``order``.
-
-    A range partitioned sort, a count for each partition, and the running sum of those counts;
-    no task sees more than its own range. The sorted rows are written, so positions hold when
-    tasks run again. The only broadcast is one row for each partition of that sort.
-    """
-    n = partitions(df.sparkSession)
-    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    rows = materialize(cut.withColumn("__at", F.monotonically_increasing_id()), "rank")
-    part, local = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
-    sizes = rows.groupBy(part.alias("__part")).agg((F.max(local) + 1).alias("n"))
-    before = sizes.agg(F.array_sort(F.collect_list(F.struct("__part", "n"))).alias("s")).selectExpr(
-        "inline(transform(s, (x, i) -> struct(x.__part as __part, aggregate(slice(s, 1, i), 0L, (a, y) -> a + y.n) as __before)))"
-    )
-    joined = rows.withColumn("__part", part).join(F.broadcast(before), "__part")
-    return joined.withColumn(rank, F.col("__before") + local).drop("__part", "__before", "__at")
+    """Add ``rank``: the gapless position (from 0) of each row in the order of ``order``; see :func:`windrow.operators.order.with_position`."""
+    return with_position(df, order, rank)
 
 
 def likely_in(rows: DataFrame, key: str, keys: DataFrame, bits: int = 1 << 24) -> DataFrame:

@@ -3,7 +3,7 @@
 Rows are shuffled within their source by a seeded hash and ranked; the fractional rank
 ``(rank + 1/2) / rows of the source`` spreads each source evenly over [0, 1). Sorting by it
 interleaves all sources in proportion, and cutting that sequence into equal runs gives
-shards whose mixture matches the whole to within a row for each source.
+shards whose mixture matches the whole to within two rows for each source (one where a run begins, one where it ends).
 """
 
 from __future__ import annotations
