@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +29,31 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return _materialize(df, name, **options)
 
 
+def releasing(run):
+    """``run``, an Arrow function of batches, giving memory that it no longer needs back to the system when a task ends.
+
+    Python workers live on between tasks and stages; what their allocators keep would count against those that come after.
+    """
+
+    @functools.wraps(run)
+    def released(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return released
+
+
+def release() -> None:
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without such a call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_of(column: str = "text") -> Column:
     """A text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

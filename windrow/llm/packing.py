@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize
+from windrow.llm._common import materialize, releasing
 from windrow.llm.word_ids import worker_ids
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -51,7 +51,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int, separator: int, id_co
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut, _PIECES)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(releasing(cut), _PIECES)
 
 
 def full_patterns(lengths: np.ndarray, size: int) -> np.ndarray:
@@ -206,4 +206,4 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, separator: int = 0,
             at = np.searchsorted(keys, key, "right") - 1
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(first[at] + key - keys[at]), pa.array(offsets[at])], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(releasing(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

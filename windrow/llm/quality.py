@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize, text_of
+from windrow.llm._common import materialize, release, releasing, text_of
 
 ORDER = 5
 #: Characters of a bundle of documents, unless one text is longer; a size of work, it changes no result.
@@ -154,7 +154,7 @@ def bind(docs: DataFrame, characters: int = BUNDLE) -> DataFrame:
             yield bundle(m)
 
     kind = docs.schema["__id"].dataType.simpleString()
-    return materialize(docs.mapInArrow(run, f"m int, bundle long, ids array<{kind}>, langs array<string>, sizes array<int>, rows binary"), "bound", **_BOUND)
+    return materialize(docs.mapInArrow(releasing(run), f"m int, bundle long, ids array<{kind}>, langs array<string>, sizes array<int>, rows binary"), "bound", **_BOUND)
 
 
 def places(bound: DataFrame) -> DataFrame:
@@ -172,7 +172,10 @@ def _of_bundles(bound: DataFrame, marks: DataFrame, use, schema: str) -> DataFra
     """``use(rows, marks)`` of each bundle that has marks (at, fold)."""
 
     def run(bundles: pa.Table) -> pa.Table:
-        return pa.concat_tables([use(_unpacked(raw.as_py()), own) for raw, own in zip(bundles.column("rows"), bundles.column("marks").to_pylist(), strict=True)])
+        try:
+            return pa.concat_tables([use(_unpacked(raw.as_py()), own) for raw, own in zip(bundles.column("rows"), bundles.column("marks").to_pylist(), strict=True)])
+        finally:
+            release()
 
     lists = marks.groupBy("bundle").agg(F.array_sort(F.collect_list(F.struct("at", "fold"))).alias("marks"))
     return bound.select("bundle", "rows").join(lists, "bundle").groupBy("bundle").applyInArrow(run, schema)
@@ -213,7 +216,7 @@ def train(texts: DataFrame) -> DataFrame:
             if held:
                 yield _counted(held, 1)
 
-    return models_of(_by_fold(texts.select(text_of().alias("text")).mapInArrow(count, "gram string, fold int, c long")), [0]).drop("m")
+    return models_of(_by_fold(texts.select(text_of().alias("text")).mapInArrow(releasing(count), "gram string, fold int, c long")), [0]).drop("m")
 
 
 def models_of(counts: DataFrame, models: Iterable[int]) -> DataFrame:
@@ -353,7 +356,7 @@ def _scorers(model: DataFrame, entries: int):
                     owner[rows] = shard_of(codes[:, -3], codes[:, -2], shards).astype(np.int64) * shards + shard_of(codes[:, -2], codes[:, -1], shards).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1), batch.column(2), pa.array(owner)], names=["h", "logp", "backoff", "owner"])
 
-    hashed = materialize(model.mapInArrow(split, "h long, logp double, backoff double, owner long"), "model-rows")
+    hashed = materialize(model.mapInArrow(releasing(split), "h long, logp double, backoff double, owner long"), "model-rows")
     for shard in range(shards):
         mine = (F.col("owner") < 0) | (F.floor(F.col("owner") / shards) == shard) | (F.col("owner") % shards == shard)
         rows = hashed.where(mine).toArrow()  # a shard has a bounded number of entries
@@ -385,7 +388,7 @@ def score(bound: DataFrame, models: DataFrame, numbers: Iterable[int], entries:
                             begin = end
 
             # written before the next pass, so that a worker holds one shard of a model at a time
-            part = materialize(mine.mapInArrow(run, "bundle long, at int, logp double, n_tokens long").withColumn("m", F.lit(m)), "pass")
+            part = materialize(mine.mapInArrow(releasing(run), "bundle long, at int, logp double, n_tokens long").withColumn("m", F.lit(m)), "pass")
             sent.destroy()
             parts = part if parts is None else parts.unionByName(part)
     return materialize(parts.groupBy("m", "bundle", "at").agg(F.sum("logp").alias("logp"), F.max("n_tokens").alias("n_tokens")), "scores")

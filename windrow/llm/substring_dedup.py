@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize, partitions, text_of
+from windrow.llm._common import materialize, partitions, releasing, text_of
 
 #: Words that settle a symbol on either side, and the most words that a symbol spans.
 MARGIN, LONGEST = 8, 8
@@ -324,16 +324,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         raise ValueError(f"a window needs at least {2 * MARGIN + 2 * LONGEST - 1} words to hold a settled symbol")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("rk", F.monotonically_increasing_id())
-    texts = materialize(rows.select("rk", "doc_id", "text").mapInArrow(_pack, "rk long, doc_id long, packed binary"), "texts")
-    keyed = texts.select("rk", "packed").mapInArrow(_gather(window), _ROWS)
-    decided = keyed.repartition(partitions(spark), "key").sortWithinPartitions("key", "span").mapInArrow(_decide, "rk long, low int, high int, edge int")
+    texts = materialize(rows.select("rk", "doc_id", "text").mapInArrow(releasing(_pack), "rk long, doc_id long, packed binary"), "texts")
+    keyed = texts.select("rk", "packed").mapInArrow(releasing(_gather(window)), _ROWS)
+    decided = keyed.repartition(partitions(spark), "key").sortWithinPartitions("key", "span").mapInArrow(releasing(_decide), "rk long, low int, high int, edge int")
     found = materialize(decided, "repeats")
     by_row = found.groupBy("rk").agg(F.collect_list(F.struct("low", "high", "edge")).alias("found"))
     joined = texts.join(by_row, "rk", "left").select("rk", "doc_id", "packed", "found")
-    applied = materialize(joined.mapInArrow(_apply(window), _APPLIED), "applied")
+    applied = materialize(joined.mapInArrow(releasing(_apply(window)), _APPLIED), "applied")
     edges = applied.select("rk", F.explode("edges").alias("edge")).select("rk", "edge.*")
     again = edges.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     more = edges.join(again, ["a", "b"]).groupBy("rk").agg(F.collect_set("at").alias("more"))
     open_rows = applied.where("packed is not null").select("rk", "doc_id", "packed", "spans").join(more, "rk", "left")
     closed = applied.where("packed is null").select("doc_id", "n_words", "n_removed", "kept_sha256")
-    return closed.unionByName(open_rows.select("doc_id", "packed", "spans", "more").mapInArrow(_finish(window), _RESULT))
+    return closed.unionByName(open_rows.select("doc_id", "packed", "spans", "more").mapInArrow(releasing(_finish(window)), _RESULT))

@@ -32,7 +32,7 @@ def _byte_letters() -> dict[int, str]:
 
 class WordIds:
     #: Words kept at a time; a bound of memory, not of results.
-    MOST = 500_000
+    MOST = 200_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
