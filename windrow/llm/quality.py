@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import materialize, release, releasing, text_of
+from windrow.llm._common import likely_in, materialize, release, releasing, text_of
 
 ORDER = 5
 #: Characters of a bundle of documents, unless one text is longer; a size of work, it changes no result.
@@ -191,14 +191,28 @@ def _by_fold(counts: DataFrame) -> DataFrame:
     return materialize(counts.groupBy("gram").agg(*[F.sum(F.when(F.col("fold") == k, F.col("c")).otherwise(0)).alias(f"c{k}") for k in range(HELD_OUT)]), "grams")
 
 
-def count_marked(bound: DataFrame, marks: DataFrame) -> DataFrame:
-    """(gram, c0, c1, ...) over the marked rows."""
+def count_trusted(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(gram, c0, c1, ...) over the ``__text`` of ``rows`` whose ``__id`` is one of ``trusted`` (id, fold).
 
-    def count(rows: pa.Table, marks: list[dict]) -> pa.Table:
-        texts = rows.column("__text").to_pylist()
-        return pa.Table.from_batches([_counted([texts[m["at"]] for m in marks if m["fold"] == fold], fold) for fold in sorted({m["fold"] for m in marks})])
+    A broadcast filter of fixed size keeps most other texts from the join. That is no semi-join, which Spark would put before the filter.
+    """
+    texts = rows.select(F.col("__id").alias("id"), "__text").where("id is not null and __text <> ''")
+    told = likely_in(texts, "id", trusted.select("id")).join(trusted, "id").select("fold", "__text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[str]] = {}
+        sizes: dict[int, int] = {}
+        for batch in batches:
+            for fold, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.setdefault(fold, []).append(text.as_py())
+                sizes[fold] = sizes.get(fold, 0) + len(held[fold][-1])
+                if sizes[fold] > BUNDLE // 2:
+                    yield _counted(held.pop(fold), fold)
+                    sizes[fold] = 0
+        for fold, own in held.items():
+            yield _counted(own, fold)
 
-    return _by_fold(_of_bundles(bound, marks, count, "gram string, fold int, c long"))
+    return _by_fold(told.mapInArrow(releasing(count), "gram string, fold int, c long"))
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -417,11 +431,12 @@ def length_class(tokens: str = "n_tokens"):
     return F.when(F.col(tokens) < 200, 0).when(F.col(tokens) < 1000, 1).otherwise(2)
 
 
-def _judged(bound: DataFrame, labels: DataFrame, quantile: float, margin: float, entries: int, schema: str) -> DataFrame:
-    """bundle, at, id, lang, n_tokens, perplexity, threshold, keep of the rows of ``bound``, whose bundles hold rows of ``schema``."""
+def _judged(docs: DataFrame, bound: DataFrame, labels: DataFrame, quantile: float, margin: float, entries: int) -> DataFrame:
+    """bundle, at, id, lang, n_tokens, perplexity, threshold, keep of the rows of ``bound``, the bundles of ``docs``."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(F.col("doc_id").alias("id")).where("id is not null").distinct()
     rows = places(bound)
-    marks = marked(bound, good.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)).cast("int")))
+    trusted = materialize(good.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)).cast("int")), "trusted")
+    marks = marked(bound, trusted)
     if marks.where("fold > 0").isEmpty():
         return rows.select("bundle", "at", "id", "lang", F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.col("size") > 0).alias("keep"))
     rare = marks.where("lang is not null").groupBy(F.col("lang").alias("rare")).agg(F.count_if(F.col("fold") == 0).alias("n")).where(F.col("n") < LEAST).select("rare")
@@ -434,8 +449,8 @@ def _judged(bound: DataFrame, labels: DataFrame, quantile: float, margin: float,
             return part.set_column(part.column_names.index("__m"), "__m", pa.array([m["fold"] for m in marks], pa.int32()))
 
         numbers = range(HELD_OUT)
-        every = bound.unionByName(bind(_of_bundles(bound, few, take, schema)))
-    scores = score(every, models_of(count_marked(bound, marks), numbers), numbers, entries).withColumn("perplexity", _perplexity()).withColumn("class", length_class())
+        every = bound.unionByName(bind(_of_bundles(bound, few, take, _fields(docs))))
+    scores = score(every, models_of(count_trusted(docs, trusted), numbers), numbers, entries).withColumn("perplexity", _perplexity()).withColumn("class", length_class())
     scored = rows.join(scores.where("m = 0"), ["bundle", "at"])
     again = places(every.where("m > 0")).join(scores.where("m > 0"), ["bundle", "at"])
     seen = marks.where("fold = 0").select("bundle", "at").join(scored, ["bundle", "at"]).unionByName(again).select("lang", "perplexity", "class").where("perplexity is not null")
@@ -472,19 +487,22 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     Other columns of ``docs`` are neither read nor returned.
     """
     rows = _prepared(docs, [], "doc_id", "lang", "text")
-    judged = _judged(bind(rows), labels, quantile, margin, entries, _fields(rows))
+    judged = _judged(rows, bind(rows), labels, quantile, margin, entries)
     return judged.select(F.col("id").alias("doc_id"), "lang", "n_tokens", "perplexity", "threshold", "keep")
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin: float = 1.05, entries: int = SHARD_ENTRIES, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`classify` does not keep; all columns stay, whatever their names."""
-    inner = [f"__c{k}" for k in range(len(docs.columns))]
-    rows = _prepared(docs, docs.columns, id_col, lang_col, text_col)
+    # a text that is kept is never null, so it need not be held twice
+    passed = [c for c in docs.columns if c != text_col or docs.schema[c].dataType.simpleString() != "string"]
+    inner = [f"__c{k}" for k in range(len(passed))] + ["__text"]
+    names = dict(zip([*passed, *[c for c in docs.columns if c not in passed]], inner, strict=False))
+    rows = _prepared(docs, passed, id_col, lang_col, text_col)
     bound = bind(rows)
-    kept = _judged(bound, labels, quantile, margin, entries, _fields(rows)).where("keep").select("bundle", "at", F.lit(0).alias("fold"))
+    kept = _judged(rows, bound, labels, quantile, margin, entries).where("keep").select("bundle", "at", F.lit(0).alias("fold"))
 
     def take(rows: pa.Table, marks: list[dict]) -> pa.Table:
         return rows.take(pa.array([m["at"] for m in marks])).select(inner)
 
     stay = _of_bundles(bound, kept, take, _fields(rows.select(*inner)))
-    return stay.select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)])
+    return stay.select(*[F.col(names[c]).alias(c) for c in docs.columns])
