@@ -92,8 +92,8 @@ class Positions:
             own = self.last[k : k + STRETCH]
             yield own, self.keys([self.codes[own - j] for j in range(ORDER - 1, -1, -1)])
 
-    def distinct(self) -> tuple[list[str], np.ndarray]:
-        """The distinct n-grams and their counts."""
+    def distinct(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct n-grams, as an Arrow array without an object for each, and their counts."""
         keys, places, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for own, h in self.stretches():
             u, first, n = np.unique(h, return_index=True, return_counts=True)
@@ -101,9 +101,13 @@ class Positions:
             places.append(own[first])
             counts.append(n)
         _, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        at = np.concatenate(places)[first]
-        text = self.codes[at[:, None] + np.arange(1 - ORDER, 1)].tobytes().decode("utf-32-le")
-        return [text[i : i + ORDER] for i in range(0, len(text), ORDER)], np.bincount(back, np.concatenate(counts), len(at)).astype(np.int64)
+        keys.clear()
+        total = np.bincount(back, np.concatenate(counts), len(first)).astype(np.int64)
+        codes = self.codes[np.concatenate(places)[first][:, None] + np.arange(1 - ORDER, 1)]
+        sizes = sum((codes >= limit).sum(1) for limit in (0x80, 0x800, 0x10000)) + ORDER  # bytes in UTF-8
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), sizes])).astype(np.int32)
+        text = codes.tobytes().decode("utf-32-le").encode("utf-8")
+        return pa.StringArray.from_buffers(len(first), pa.py_buffer(ends), pa.py_buffer(text)), total
 
 
 def _packed(rows: pa.Table) -> bytes:
@@ -183,7 +187,7 @@ def _of_bundles(bound: DataFrame, marks: DataFrame, use, schema: str) -> DataFra
 
 def _counted(texts: list[str], fold: int) -> pa.RecordBatch:
     grams, n = Positions(texts).distinct()
-    return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(np.full(len(grams), fold, np.int32)), pa.array(n)], names=["gram", "fold", "c"])
+    return pa.RecordBatch.from_arrays([grams, pa.array(np.full(len(grams), fold, np.int32)), pa.array(n)], names=["gram", "fold", "c"])
 
 
 def _by_fold(counts: DataFrame) -> DataFrame:
@@ -368,13 +372,13 @@ def _scorers(model: DataFrame, entries: int):
                 if n > 2 and shards > 1:
                     # as a prediction a gram belongs to the two characters before its last, as a context to its last two: it may be in two shards
                     owner[rows] = shard_of(codes[:, -3], codes[:, -2], shards).astype(np.int64) * shards + shard_of(codes[:, -2], codes[:, -1], shards).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1), batch.column(2), pa.array(owner)], names=["h", "logp", "backoff", "owner"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1).cast(pa.float32()), batch.column(2).cast(pa.float32()), pa.array(owner)], names=["h", "logp", "backoff", "owner"])
 
-    hashed = materialize(model.mapInArrow(releasing(split), "h long, logp double, backoff double, owner long"), "model-rows")
+    hashed = materialize(model.mapInArrow(releasing(split), "h long, logp float, backoff float, owner long"), "model-rows")
     for shard in range(shards):
         mine = (F.col("owner") < 0) | (F.floor(F.col("owner") / shards) == shard) | (F.col("owner") % shards == shard)
-        rows = hashed.where(mine).toArrow()  # a shard has a bounded number of entries
-        logp, backoff = (rows.column(c).to_numpy().astype(np.float32) for c in ("logp", "backoff"))
+        rows = hashed.where(mine).select("h", "logp", "backoff").toArrow()  # a shard has a bounded number of entries
+        logp, backoff = (rows.column(c).to_numpy() for c in ("logp", "backoff"))
         yield shard, shards, model.sparkSession.sparkContext.broadcast((rows.column("h").to_numpy().view(np.uint64), logp, np.nan_to_num(backoff), unseen))
 
 
