@@ -77,7 +77,10 @@ def likely_in(rows: DataFrame, key: str, keys: DataFrame, bits: int = 1 << 24) -
     at = F.pmod(F.xxhash64(key), F.lit(bits))
     marked = keys.select(F.floor(at / word).alias("__bucket"), (at % word).alias("__bit"))
     bitmap = marked.groupBy("__bucket").agg(F.expr("bitmap_construct_agg(__bit)").alias("__bitmap"))
+    # as numbers of four bytes, first byte highest, so that a probe is an index and a shift
+    four = "transform(sequence(0, %d), k -> cast(conv(hex(substring(__bitmap, 4 * k + 1, 4)), 16, 10) as bigint))" % (word // 32 - 1)
+    bitmap = bitmap.select("__bucket", F.expr(four).alias("__four"))
     probed = rows.withColumn("__at", at).withColumn("__bucket", F.floor(F.col("__at") / word)).join(F.broadcast(bitmap), "__bucket")
-    byte = F.conv(F.hex(F.expr(f"substring(__bitmap, cast(__at % {word} div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    hit = probed.withColumn("__byte", byte).where("shiftright(__byte, cast(__at % 8 as int)) & 1 = 1")
+    held = f"__four[cast(__at % {word} div 32 as int)]"
+    hit = probed.where(f"shiftright({held}, cast(24 - 8 * (__at % 32 div 8) + __at % 8 as int)) & 1 = 1")
     return hit.select(*rows.columns)
