@@ -3,12 +3,13 @@
 The fixed patterns give the base spans. They are the seeds, together with words that have the shape of a credential (a run of 32 or
 more hexadecimal digits with letters and numerals among them), which are no spans by themselves. A lexical pattern is the two words
 (runs without white space, in lower case) before the word in which a seed begins; one that introduces fewer than three distinct seeds
-can never be sure enough and is left out at once. Patterns and the instances that they hold anywhere, seeds and words of any shape without
+can never be sure enough and is left out at once, and so is one whose seeds are under a tenth of all that it introduces (two common
+words that now and then stand before a seed): what the others introduce is at most ten times the seeds, whatever the corpus. Patterns and the instances that they hold anywhere, seeds and words of any shape without
 the punctuation around them, form a graph: seeds have confidence one, a pattern's confidence is that of its distinct instances on average,
 shrunk where there are few, and an instance's is that of its best pattern. After some rounds the patterns above a
 threshold mark the words that they introduce.
 
-Words are read where they lie; only those that follow such a pattern travel, and only rows with findings get the positions of their
+Words are read where they lie, once to count what patterns introduce and once to follow them; only those that follow such a pattern travel, and only rows with findings get the positions of their
 words, as running sums. Joins by pattern or instance are salted, as one of them may hold most rows.
 """
 
@@ -94,16 +95,31 @@ def _seeds(rows: DataFrame) -> DataFrame:
     return materialize(placed.where("valid").select("row", "kind", "low", "high", "context", "instance"), "seeds")
 
 
-def _following(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-    """row, pos, context, instance of each word that may follow one of the contexts."""
+def _words(rows: DataFrame) -> DataFrame:
+    """row, pos, context, word of each word that two others precede."""
     cut = rows.select("row", F.filter(F.split("__text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
 
     def word(x: Column, i: Column) -> Column:
         return F.struct(F.when(i >= 2, _context(F.get("w", i - 2), F.get("w", i - 1))).alias("context"), x.alias("word"))
 
-    words = cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*").where("context is not null")
+    return cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*").where("context is not null")
+
+
+def _selective(rows: DataFrame, told: DataFrame) -> DataFrame:
+    """The contexts (context), written, of enough distinct seeds and with enough seeds among all words that they introduce.
+
+    ``told`` has a row for each context and instance, with the times that they meet. Counts are folded where the words lie.
+    """
+    seeded = told.groupBy("context").agg(F.count("*").alias("n"), F.sum("times").alias("seen")).where(F.col("n") >= LEAST_SEEDS).select("context", "seen")
+    seeded = materialize(seeded, "seeded")
+    counts = likely_in(_words(rows).select("context"), "context", seeded).groupBy("context").agg(F.count("*").alias("all"))
+    return materialize(seeded.join(counts, "context").where(F.col("seen") >= LEAST_SHARE * F.col("all")).select("context"), "contexts")
+
+
+def _following(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """row, pos, context, instance of each word that may follow one of the contexts."""
     bare = F.regexp_replace("word", _EDGES, "")
-    return likely_in(words, "context", contexts).where(bare != "").select("row", "pos", "context", F.xxhash64(bare).alias("instance"))
+    return likely_in(_words(rows), "context", contexts).where(bare != "").select("row", "pos", "context", F.xxhash64(bare).alias("instance"))
 
 
 #: Punctuation around a word, which is no part of an instance.
@@ -154,20 +170,21 @@ def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.
     raise ValueError("at least one round is needed")
 
 
-#: Distinct seeds that a pattern must introduce.
-LEAST_SEEDS = 3
+#: Distinct seeds that a pattern must introduce, and the share of seeds among all words that it introduces.
+LEAST_SEEDS, LEAST_SHARE = 3, 0.1
 
 
 def _spans(rows: DataFrame) -> DataFrame:
     """row, kind, low, high of each base span and each learned word, from a written table (row, __text)."""
     seeds = _seeds(rows)
     base = seeds.where(F.col("kind") < LEARNED)
-    told = seeds.where("context is not null").groupBy("context", "instance").agg(F.lit(True).alias("seed"))
-    contexts = materialize(told.groupBy("context").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_SEEDS).select("context"), "contexts")
+    told = seeds.where("context is not null").groupBy("context", "instance").agg(F.count("*").alias("times"))
+    contexts = _selective(rows, told)
     met = materialize(_salted(_following(rows, contexts), F.col("row"), contexts, "context"), "met")
     with_base = materialize(met.join(base.select("row").distinct(), "row", "left_semi").select("row", "pos"), "beside")
-    apart = materialize(_apart(_placed(rows, with_base), base), "apart")
+    apart = materialize(_apart(materialize(_placed(rows, with_base), "placed"), base), "apart")
     free = met.join(with_base, ["row", "pos"], "left_anti").unionByName(met.join(apart, ["row", "pos"], "left_semi"))
+    told = told.select("context", "instance", F.lit(True).alias("seed"))
     edges = _salted(told, F.col("instance"), contexts, "context").unionByName(free.select("context", "instance", F.lit(False).alias("seed")), allowMissingColumns=True)
     sure = confident_contexts(edges, seeds=LEAST_SEEDS)
     found = materialize(_salted(free, F.col("row"), sure, "context").select("row", "pos"), "learned")
