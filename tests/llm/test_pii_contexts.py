@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from windrow.llm import pii
+from windrow.llm._common import likely_in
 
 
 def spans(spark, rows):
@@ -33,3 +34,18 @@ def test_words_before_of_any_length(spark):
     long = "https://example.org/" + "a" * 120
     rows = [(k, f"from {long} user{k}@example.com") for k in range(6)]
     assert spans(spark, [*rows, (20, f"from {long} someone1")])[20] == f"id:{len(long) + 6}:{len(long) + 14}"
+
+
+def test_contexts_of_few_seeds_are_left_out(spark):
+    texts = [f"mail to: user{k}@example.com" for k in range(3)] + ["mail to: nobody"] * 27 + [f"and of u{k}@example.com" for k in range(3)] + ["and of it"] * 28
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "row long, __text string").cache()
+    told = pii._seeds(rows).groupBy("context", "instance").count().withColumnRenamed("count", "times")
+    sure = pii._selective(rows, told)
+    names = spark.createDataFrame([("mail", "to:"), ("and", "of")], "a string, b string").withColumn("context", pii._context("a", "b"))
+    assert [r.a for r in sure.join(names, "context").collect()] == ["mail"] and sure.count() == 1
+
+
+def test_broadcast_filter_lets_no_member_out(spark):
+    rows, keys = spark.range(3000).toDF("k"), spark.range(0, 3000, 7).toDF("k")
+    got = likely_in(rows, "k", keys, bits=1 << 17)
+    assert got.join(keys, "k", "left_anti").count() < 30 and got.join(keys, "k").count() == keys.count()
