@@ -49,3 +49,14 @@ def test_broadcast_filter_lets_no_member_out(spark):
     rows, keys = spark.range(3000).toDF("k"), spark.range(0, 3000, 7).toDF("k")
     got = likely_in(rows, "k", keys, bits=1 << 17)
     assert got.join(keys, "k", "left_anti").count() < 30 and got.join(keys, "k").count() == keys.count()
+
+
+def test_the_slice_counted_first_changes_no_result(spark, monkeypatch):
+    texts = [f"a{k % 7} b u{k}@example.com" for k in range(60)] + [f"a{k % 7} b it" for k in range(700) if k % 7 < 4 or k < 350]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "row long, __text string").cache()
+    told = pii._seeds(rows).groupBy("context", "instance").count().withColumnRenamed("count", "times")
+    kept = []
+    for part in (1, 3, 64):
+        monkeypatch.setattr(pii, "SLICE", part)
+        kept.append({r.context for r in pii._selective(rows, told).collect()})
+    assert kept[0] == kept[1] == kept[2] and 0 < len(kept[0]) < 7
