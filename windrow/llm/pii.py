@@ -95,14 +95,25 @@ def _seeds(rows: DataFrame) -> DataFrame:
     return materialize(placed.where("valid").select("row", "kind", "low", "high", "context", "instance"), "seeds")
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """row, w: the words of each text."""
+    return rows.select("row", F.filter(F.split("__text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
+
+
+def _before(i: Column) -> Column:
+    """The context of the word at ``i`` of ``w``, null for the first two."""
+    return F.when(i >= 2, _context(F.get("w", i - 2), F.get("w", i - 1)))
+
+
 def _words(rows: DataFrame) -> DataFrame:
     """row, pos, context, word of each word that two others precede."""
-    cut = rows.select("row", F.filter(F.split("__text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
+    words = F.transform("w", lambda x, i: F.struct(_before(i).alias("context"), x.alias("word")))
+    return _cut(rows).select("row", F.posexplode(words).alias("pos", "s")).select("row", "pos", "s.*").where("context is not null")
 
-    def word(x: Column, i: Column) -> Column:
-        return F.struct(F.when(i >= 2, _context(F.get("w", i - 2), F.get("w", i - 1))).alias("context"), x.alias("word"))
 
-    return cut.select("row", F.posexplode(F.transform("w", word)).alias("pos", "s")).select("row", "pos", "s.*").where("context is not null")
+def _met(rows: DataFrame) -> DataFrame:
+    """The context of each word that two others precede."""
+    return _cut(rows).select(F.explode(F.transform("w", lambda x, i: _before(i))).alias("context")).where("context is not null")
 
 
 def _selective(rows: DataFrame, told: DataFrame) -> DataFrame:
@@ -115,16 +126,19 @@ def _selective(rows: DataFrame, told: DataFrame) -> DataFrame:
     left = told.groupBy("context").agg(F.count("*").alias("n"), F.sum("times").alias("seen")).where(F.col("n") >= LEAST_SEEDS).select("context", "seen")
     left = materialize(left, "seeded")
     for part in (rows.where(F.pmod(F.xxhash64("row"), F.lit(SLICE)) == 0), rows):
-        counts = likely_in(_words(part).select("context"), "context", left).groupBy("context").agg(F.count("*").alias("all"))
+        counts = likely_in(_met(part), "context", left).groupBy("context").agg(F.count("*").alias("all"))
         counted = left.join(counts, "context", "left").where(F.col("seen") >= LEAST_SHARE * F.coalesce("all", F.lit(0)))
         left = materialize(counted.select("context", "seen"), "contexts")
     return left.select("context")
 
 
 def _following(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-    """row, pos, context, instance of each word that may follow one of the contexts."""
+    """row, pos, context, instance of each word that may follow one of the contexts; null where the word is all punctuation.
+
+    These are no condition here: Spark would put it before the filter, and bare all words of the corpus.
+    """
     bare = F.regexp_replace("word", _EDGES, "")
-    return likely_in(_words(rows), "context", contexts).where(bare != "").select("row", "pos", "context", F.xxhash64(bare).alias("instance"))
+    return likely_in(_words(rows), "context", contexts).select("row", "pos", "context", F.when(bare != "", F.xxhash64(bare)).alias("instance"))
 
 
 #: Punctuation around a word, which is no part of an instance.
@@ -187,7 +201,7 @@ def _spans(rows: DataFrame) -> DataFrame:
     base = seeds.where(F.col("kind") < LEARNED)
     told = seeds.where("context is not null").groupBy("context", "instance").agg(F.count("*").alias("times"))
     contexts = _selective(rows, told)
-    met = materialize(_salted(_following(rows, contexts), F.col("row"), contexts, "context"), "met")
+    met = materialize(_salted(_following(rows, contexts), F.col("row"), contexts, "context"), "met").where("instance is not null")
     with_base = materialize(met.join(base.select("row").distinct(), "row", "left_semi").select("row", "pos"), "beside")
     apart = materialize(_apart(materialize(_placed(rows, with_base), "placed"), base), "apart")
     free = met.join(with_base, ["row", "pos"], "left_anti").unionByName(met.join(apart, ["row", "pos"], "left_semi"))
