@@ -9,7 +9,7 @@ the punctuation around them, form a graph: seeds have confidence one, a pattern'
 shrunk where there are few, and an instance's is that of its best pattern. After some rounds the patterns above a
 threshold mark the words that they introduce.
 
-Words are read where they lie, once to count what patterns introduce and once to follow them; only those that follow such a pattern travel, and only rows with findings get the positions of their
+Words are read where they lie, once to count what patterns introduce (after a slice of the rows) and once to follow them; only those that follow such a pattern travel, and only rows with findings get the positions of their
 words, as running sums. Joins by pattern or instance are salted, as one of them may hold most rows.
 """
 
