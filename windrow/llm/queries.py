@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import chat, exact_dedup, kd_search, packing, pii, piece_codec, quality, sharding, simhash, substring_dedup
+from windrow.llm import chat, decompose, exact_dedup, kd_search, lexical_search, packing, phrases, pii, piece_codec, quality, sharding, simhash, substring_dedup
 from windrow.llm._common import reachable
 
 
@@ -108,6 +108,52 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+o AS (SELECT row, doc_id, unnest(regexp_extract_all(t, '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM d),
+p AS (SELECT row, doc_id, term, count(*) AS tf FROM o GROUP BY ALL),
+n AS (SELECT row, sum(tf)::BIGINT AS n FROM p GROUP BY row),
+c AS (SELECT count(*) AS n, sum(n)::BIGINT AS l FROM n),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * c.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, c.n),
+s AS (SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n.n * c.n) // c.l))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (row), c GROUP BY ALL HAVING score > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=10, longest=3, covered=50, keep=2000)
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, len(w) AS size, k, i, w FROM p, generate_series(1, 3) AS t(k), unnest(range(1, greatest(len(w) - k + 2, 1))) AS u(i)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY 1, 2, 3),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10),
+x AS (SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail FROM c, generate_series(1, 2) AS t(cut) WHERE cut < k),
+s AS (SELECT x.*, l.a AS l, r.a AS r, ((1000000 * x.a::HUGEINT * x.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.head AND l.k = x.cut JOIN f r ON r.lang = x.lang AND r.phrase = x.tail AND r.k = x.k - x.cut),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+m AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM c WHERE k = 3 UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM c WHERE k = 3) GROUP BY 1, 2),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+z AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b
+      WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM m WHERE m.lang = b.lang AND m.phrase = b.phrase AND 100 * m.a >= 50 * b.a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+def op13_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = decompose.decompose(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), size=1024, separator=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket", "batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_top_k": op2_top_k,
@@ -119,5 +165,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_binary_packing": op13_binary_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_top_k": OP2_SQL, "op7_chat_formatting": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_top_k": OP2_SQL, "op7_chat_formatting": OP7_SQL, "op11_lexical_search": OP11_SQL, "op12_phrase_collocations": OP12_SQL}
