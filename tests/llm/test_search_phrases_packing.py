@@ -142,7 +142,7 @@ def test_registered(same, name):
     same(QUERIES[name], ORACLE_SQL[name])
 
 
-PARTS = [" ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", " ", "　", "a", "Word", "it's", "été", "日本語", "1999", "!?", "'", "<|endoftext|>", "\U0001f600", "don't ", " x", "é"]
+PARTS = [" ", "Ñandú, ", "word).\x27 ", "naïve;\x27s", " x_y ", "ſtª ", "ǆ. ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", " ", "　", "a", "Word", "it's", "été", "日本語", "1999", "!?", "'", "<|endoftext|>", "\U0001f600", "don't ", " x", "é"]
 
 
 @settings(max_examples=600, deadline=None)

@@ -13,6 +13,8 @@ import re
 from array import array
 from collections.abc import Iterable
 
+from windrow.llm.word_ids import _byte_letters
+
 _WORKER: dict[str, "ByteIds"] = {}
 
 
@@ -25,10 +27,13 @@ def worker_ids(path: str) -> "ByteIds":
 
 class ByteIds:
     #: Parts kept at a time, and the longest that is kept: bounds of memory, not of results.
-    MOST, LONGEST = 200_000, 100
+    MOST, LONGEST = 500_000, 100
     #: A space within white space, at which no text may be cut, and spaces at which any may.
     INSIDE, CUT = re.compile(r"\s \s|\s \Z"), re.compile(r"(?<!\s) | (?=\S)")
 
+    #: A word of Latin letters, and marks behind it, which any byte-level split parts from it and keeps together.
+    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -47,6 +52,9 @@ class ByteIds:
         self.cuts = self.cuts and not any(t[k] for t in kind.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.letters = _byte_letters()
+        self.model = self.tokenizer.model
 
     def _library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -73,9 +81,26 @@ class ByteIds:
         for p in parts:
             ids = known.get(p)
             if ids is None:
-                ids = self._library(f" {p}")
+                ids = self._word(p)
                 if len(p) <= self.LONGEST:
                     if len(known) >= self.MOST:
                         known.clear()
                     known[p] = ids
             yield ids
+
+    def _word(self, p: str) -> bytes:
+        """The ids of a part and the space before it; words of Latin letters go straight to the merges."""
+        hit = self.WORD.fullmatch(p)
+        if not hit or len(p) > self.LONGEST:
+            return self._library(f" {p}")
+        word, marks = hit.groups()
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = self._library(marks)
+            if len(self.marks) < self.MOST:
+                self.marks[marks] = ids
+        own = self.known.get(word) if marks else None
+        if own is None:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            own = array("I", [t.id for t in self.model.tokenize(f"Ġ{letters}")]).tobytes()
+        return own + ids
