@@ -11,6 +11,7 @@ from windrow.operators import classify, examples, labels, normalize, review
 from windrow.schemas import NOTICE
 from windrow.shared import materialize
 from windrow.sources import files, pages as paged
+from windrow.streaming import answers
 
 
 @dataclass
@@ -24,6 +25,7 @@ class Prepare:
     skip_labeling: bool = False
     split_by_notice: bool = False
     page_size: int = paged.SIZE
+    per_commit: int = 20
     counts: dict[str, int] = field(default_factory=dict)
 
     def at(self, name: str) -> str:
@@ -42,18 +44,22 @@ class Prepare:
         return self.spark.read.parquet(self.at("classified")).where(F.col("is_relevant").cast("boolean"))
 
     def label(self, notices: DataFrame) -> DataFrame:
-        """New labels are appended; what the labeler did not answer stays pending for the next run. Answers without labels are listed in ``quarantine``."""
+        """New labels are appended; what the labeler did not answer stays pending for the next run. Answers without labels are listed in ``quarantine``.
+
+        Answers are committed as they come, so a run that is killed asks for none of them twice.
+        """
         silver = self.at("silver_dataset")
         if not self.skip_labeling:
             if self.labeler is None:
                 raise ValueError("labeling needs a labeler")
             try:
-                done = files.read_labeled(self.spark, silver).select("notam_id")
+                done = materialize(files.read_labeled(self.spark, silver).select("notam_id"), "done")
             except files.MissingSource:
                 done = self.spark.createDataFrame([], "notam_id string")
-            answers = materialize(labels.respond(labels.pending(notices, done), self.labeler), "answers")
-            files.write_labeled(labels.labeled(answers), silver, mode="append")
-            files.write_lines(labels.quarantined(answers), self.at("quarantine"), mode="append")
+            given = answers.answer(labels.pending(notices, done), self.labeler, self.at("answers"), self.per_commit)
+            new = labels.pending(given, done)
+            files.write_lines(labels.quarantined(new), self.at("quarantine"))
+            files.write_labeled(labels.labeled(new), silver, mode="append")
         return files.read_labeled(self.spark, silver)
 
     def finish(self, labeled: DataFrame, patches: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ engines share. Every query runs over whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 
 from windrow.functions import bearings, coordinates, entries, json_text, keywords
 from windrow.operators import classify, examples, labels, metrics, normalize, order, review
+from windrow.shared import shared_dir
 from windrow.sources import files
+from windrow.streaming import answers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +59,18 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT {NOTICE} FROM " + FROM, orders=_t(spark, sf_dir, "orders"))
 
 
+def _rule(prompt: str) -> str:
+    """A labeler that answers by the notice's number."""
+    number = int(prompt.rpartition("Notice ")[2].partition(":")[0])
+    return "no answer" if number % 7 == 0 else f'[{{"runway": "09", "confidence": 0.{number % 9 + 1}}}]'
+
+
+@query(N + """SELECT notam_id, CASE WHEN seq % 7 = 0 THEN 'no answer' ELSE concat('[{"runway": "09", "confidence": 0.', seq % 9 + 1, '}]') END AS response FROM n WHERE reason <> 'empty_text'""")
+def durable_answers(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/windrow-asked-{uuid.uuid4().hex}"
+    return answers.answer(notices(spark, sf_dir), _rule, folder, per_commit=20_000).select("notam_id", "response")
+
+
 _K = "CAST(l_orderkey + l_partkey + l_linenumber AS BIGINT)"
 _COORD = "concat(lpad(CAST({k} % 90 AS STRING), 2, '0'), lpad(CAST({k} % 60 AS STRING), 2, '0'), CASE WHEN {k} % 2 = 0 THEN 'N' ELSE 'S' END, lpad(CAST({k} % 180 AS STRING), 3, '0'), lpad(CAST({k} * 7 % 60 AS STRING), 2, '0'), CASE WHEN {k} % 3 = 0 THEN 'E' ELSE 'W' END)"
 #: Parts of an entry, as JSON text.

@@ -12,7 +12,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming import StreamingQuery
 
 from windrow.schemas import NOTICE, NOTICE_FIELDS, PAGE
 
@@ -34,8 +35,12 @@ def http_fetch(url: str, token: str) -> Fetch:
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
+    def __init__(self, offset: int, limit: int = SIZE):
+        self.offset, self.limit = offset, limit
+
+
+def _row(at: int, page: int, found: dict) -> tuple:
+    return (at, page, *(None if found.get(f) is None else str(found.get(f)) for f in NOTICE_FIELDS))
 
 
 class _Reader(DataSourceReader):
@@ -52,11 +57,47 @@ class _Reader(DataSourceReader):
         except Exception:  # noqa: BLE001  a page that fails ends the prefix; see whole_prefix
             rows = []
         for i, r in enumerate(rows):
-            yield (page.offset + i, page.offset, *(None if r.get(f) is None else str(r.get(f)) for f in NOTICE_FIELDS))
+            yield _row(page.offset + i, page.offset, r)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets are rows of the service: what is below them has been read and committed.
+
+    A page that fails, or holds fewer rows than its service promised, fails its batch, which the next run asks for again; nothing is skipped.
+    """
+
+    def __init__(self, fetch: Fetch, size: int, refresh: bool):
+        self.fetch, self.size, self.refresh, self.total = fetch, size, refresh, None
+
+    def initialOffset(self) -> dict:
+        return {"row": 0}
+
+    def latestOffset(self) -> dict:
+        if self.total is None or self.refresh:
+            found = self.fetch(1, 0).get("pagination", {}).get("total", 0)
+            self.total = max(found, self.total or 0)
+        return {"row": self.total}
+
+    def partitions(self, start: dict, end: dict) -> list[_Page]:
+        return [_Page(o, min(self.size, end["row"] - o)) for o in range(start["row"], end["row"], self.size)]
+
+    def read(self, page: _Page) -> Iterator[tuple]:
+        rows = self.fetch(page.limit, page.offset).get("data", [])
+        if len(rows) < page.limit:
+            raise OSError(f"the page at {page.offset} has {len(rows)} rows of {page.limit}")
+        for i, r in enumerate(rows[: page.limit]):
+            yield _row(page.offset + i, page.offset, r)
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class PagedNotices(DataSource):
-    """``spark.read.format("paged_notices")`` with the options url, token_env, size; or a subclass with its own fetch."""
+    """``spark.read.format("paged_notices")`` with the options url, token_env, size; or a subclass with its own fetch.
+
+    With ``spark.readStream`` it goes on where the checkpoint says, and asks for what came since. The total is read once a run; with the option
+    ``refresh`` it is read at each trigger, for streams that stay.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -74,6 +115,15 @@ class PagedNotices(DataSource):
     def reader(self, schema: object) -> _Reader:
         return _Reader(self.fetch(), int(self.options.get("size", SIZE)))
 
+    def streamReader(self, schema: object) -> _StreamReader:
+        return _StreamReader(self.fetch(), int(self.options.get("size", SIZE)), str(self.options.get("refresh", "")).lower() == "true")
+
+
+def download_new(spark: SparkSession, out: str, checkpoint: str, source: str = "paged_notices", **options: str) -> StreamingQuery:
+    """Append what the service has had since the last run to ``out``, and stop."""
+    rows = spark.readStream.format(source).options(**options).load()
+    return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
 def whole_prefix(rows: DataFrame, size: int = SIZE) -> DataFrame:
     """Rows of the pages before the first gap. Materialise ``rows`` first: a second read asks the service again.
