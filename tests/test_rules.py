@@ -146,7 +146,41 @@ def test_files(spark, tmp_path):
     path = str(tmp_path / "silver")
     files.write_labeled(item(spark, '{"TORA": 500.0, "runway": "ALL"}'), path)
     files.replace(normalize.fix(files.read_labeled(spark, path)), path)
-    assert files.read_labeled(spark, path).first().runway_entries == ['{"TORA":500.0,"runway":null}'] and files.line_count(spark, path) == 1
+    assert files.read_labeled(spark, path).first().runway_entries == ['{"TORA": 500.0, "runway": null}'] and files.line_count(spark, path) == 1
+
+
+RAW = [
+    '{"runway": "09", "TORA": 1e5, "notes": "é \\u00e9 \\"q\\" \\n / \\u2028", "n": 12345678901234567890, "x": 0.00001, "y": -0.0, "z": 1e22, "w": 1.10, "l": [1, {"a": []}, null, true]}',
+    '{}', '{"a": {"b": "c,d: e"}, "runway": "ALL"}', '{"half": "\\ud800"}',
+]
+
+
+def test_lines_after_a_round_trip_are_pythons(spark, tmp_path):
+    """Read, write, fix and write again: bytes are those of Python's own reading and writing."""
+    item = {"notam_id": "1", "icao_location": None, "notam_text": "t é \x01\x1f\x7f\b\f \\", "effective_start": "a", "effective_end": "b", "runway_entries": [json.loads(r) for r in RAW], "min_confidence": 0.85}
+    (tmp_path / "in").write_text(json.dumps(item) + "\n[1]\nBAD\n\n" + '{"notam_id": 5, "runway_entries": null}\n')
+    path = str(tmp_path / "out")
+    files.write_labeled(files.read_labeled(spark, str(tmp_path / "in")), path)
+    odd = {f: None for f in LABELED.fieldNames()} | {"notam_id": "5"}
+    whole = json.dumps(item, ensure_ascii=False).replace("\ud800", "\\ud800")
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted([whole, json.dumps(odd)])
+    files.replace(normalize.fix(files.read_labeled(spark, path)), path)
+    item["runway_entries"][2]["runway"] = None
+    assert json.dumps(item, ensure_ascii=False).replace("\ud800", "\\ud800") in [r.value for r in spark.read.text(path).collect()]
+
+
+def test_values_of_any_type_as_python_writes_them(spark):
+    rng = random.Random(5)
+    floats = [0.0, -0.0, 1.0, 0.1, 1e7, 12345678.9, 1e15, 1e16, 123456789012345680.0, 1e22, 1e-3, 0.00012, 1e-4, 9.99e-5, 1e-5, -2.5e-7, 1.5e300, float("inf"), float("-inf")]
+    floats += [round(rng.uniform(-1, 1) * 10 ** rng.randint(-9, 25), rng.randint(0, 9)) for _ in range(200)]
+    got = column(spark, floats, json_text.python_float, "double")
+    assert got == [json.dumps(x) for x in floats]
+    assert column(spark, [float("nan"), None], json_text.python_float, "double") == ["NaN", None]
+    schema = "s struct<a: int, b: array<struct<c: string, d: double>>, m: map<string, array<double>>>, n: boolean"
+    row = ({"a": None, "b": [{"c": 'q"é', "d": 1e20}, None], "m": {"k": [0.5, None]}}, True)
+    df = spark.createDataFrame([row, (None, None)], schema.replace(", n: boolean", ", n boolean"))
+    made = [r[0] for r in df.select(json_text.json_value(F.struct("s", "n"), df.schema)).collect()]
+    assert made == [json.dumps({"s": row[0], "n": True}, ensure_ascii=False), '{"s": null, "n": null}']
 
 
 class Flaky(pages.PagedNotices):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -16,9 +17,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrow.functions.entries import let
+from windrow.schemas import LABELED, NOTICE_FIELDS
+
 REPAIRED = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("entries", T.ArrayType(T.StringType())), T.StructField("min_confidence", T.DoubleType()), T.StructField("odd_confidence", T.BooleanType())])
 
 
+def unescaped(value: object) -> str:
+    """JSON as Python writes it, characters beyond ASCII as they are, unless they are halves of pairs that no file could hold."""
+    text = json.dumps(value, ensure_ascii=False)
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        return json.dumps(value)
+    return text
+
+
 def repair(text: str | None) -> tuple[bool, list[str], float, bool]:
     """Entries of a response: all of it as JSON, or else its widest list, or else its widest object.
 
@@ -49,13 +63,74 @@ def repair(text: str | None) -> tuple[bool, list[str], float, bool]:
         return failed
     odd = any(c is None for c in given)
     least = min((1.0 if c is None else float(c) for c in given), default=1.0)
-    return True, [json.dumps(e, ensure_ascii=False) for e in entries], least, odd
+    return True, [unescaped(e) for e in entries], least, odd
+
+
+#: How Python writes the control characters that Spark writes otherwise, after Spark's way.
+CONTROLS = {f"\\u{n:04X}": f"\\u{n:04x}" for n in range(32) if f"{n:04X}" != f"{n:04x}"}
 
 
 def quoted(text: Column) -> Column:
-    """A JSON string, or null."""
-    written = F.to_json(F.array(text))
-    return F.coalesce(F.when(text.isNotNull(), written.substr(F.lit(2), F.length(written) - 2)), F.lit("null"))
+    """A JSON string as Python writes it, characters beyond ASCII as they are; or null."""
+    inner = let(F.to_json(F.array(text)), lambda w: w.substr(F.lit(2), F.length(w) - 2))
+    odd = reduce(lambda t, x: F.replace(t, F.lit(x[0]), F.lit(x[1])), CONTROLS.items(), F.replace(inner, F.lit("\\\\"), F.lit("\x00")))
+    held = F.when(text.rlike(r"[\x0a-\x1f]") & text.rlike(r"[\x0b\x0e\x0f\x1a-\x1f]"), F.replace(odd, F.lit("\x00"), F.lit("\\\\"))).otherwise(inner)
+    return F.coalesce(F.when(text.isNotNull(), held), F.lit("null"))
+
+
+@F.pandas_udf(T.StringType())
+def message_list(roles: pd.Series, contents: pd.Series) -> pd.Series:
+    """Messages as a list of objects with role and content, as Python writes it."""
+    made = ([{"role": r, "content": c} for r, c in zip(some, texts, strict=True)] for some, texts in zip(roles, contents, strict=True))
+    return pd.Series([unescaped(m) for m in made], dtype=object)
+
+
+def python_float(number: Column) -> Column:
+    """A float as Python writes it: the shortest digits that read back the same, with an exponent from 1e16 up and below 1e-4. Null stays null."""
+
+    def written(short: Column) -> Column:
+        exact = F.when(short.cast("double") == number, short).otherwise(F.format_string("%.16e", number))
+        return let(exact, placed)
+
+    def placed(e: Column) -> Column:
+        sign = F.when(e.startswith("-"), "-").otherwise("")
+        power = F.substring_index(e, "e", -1).try_cast("int")
+        digits = F.regexp_replace(F.regexp_replace(F.substring_index(e, "e", 1), "[-.]", ""), "0+$", "")
+        size, rest = F.abs(power).cast("string"), F.substr(digits, F.lit(2))
+        wide = F.concat(F.substring(digits, 1, 1), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size))
+        after = F.substr(digits, power + 2)
+        whole = F.concat(F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, "0"), F.lit("."), F.when(after == "", "0").otherwise(after))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+        return F.concat(sign, F.when((power >= 16) | (power < -4), wide).when(power >= 0, whole).otherwise(small))
+
+    endless = F.when(number > 0, "Infinity").otherwise("-Infinity")
+    return F.when(number.isNull(), None).when(F.isnan(number), "NaN").when(F.abs(number) == float("inf"), endless).otherwise(let(F.format_string("%.15e", number), written))
+
+
+def json_value(value: Column, kind: T.DataType) -> Column:
+    """A value of any type as Python's ``json.dumps(..., ensure_ascii=False)`` writes it: structs and maps as objects, arrays as lists, null fields kept.
+
+    Dates, times and binary values are strings, as Spark writes them.
+    """
+    held = _json_value(value, kind)
+    return F.coalesce(F.when(value.isNotNull(), held), F.lit("null"))
+
+
+def _json_value(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return quoted(value)
+    if isinstance(kind, T.StructType):
+        return json_object({f.name: json_value(value[f.name], f.dataType) for f in kind.fields}) if kind.fields else F.lit("{}")
+    if isinstance(kind, T.ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(value, lambda x: json_value(x, kind.elementType)), ", "), F.lit("]"))
+    if isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.concat(quoted(e.key.cast("string")), F.lit(": "), json_value(e.value, kind.valueType)))
+        return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+    if isinstance(kind, T.DoubleType | T.FloatType):
+        return python_float(value if isinstance(kind, T.DoubleType) else value.cast("string").cast("double"))
+    if isinstance(kind, T.IntegralType | T.BooleanType | T.DecimalType):
+        return value.cast("string")
+    return let(F.to_json(F.array(value)), lambda w: w.substr(F.lit(2), F.length(w) - 2))
 
 
 def json_object(fields: dict[str, Column]) -> Column:
@@ -68,26 +143,52 @@ def repair_response(responses: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([repair(r) for r in responses], columns=["ok", "entries", "min_confidence", "odd_confidence"])
 
 
-@F.pandas_udf(T.StringType())
-def ascii_json(values: pd.Series) -> pd.Series:
-    """A JSON text as Python writes it: ``", "`` and ``": "`` between items, everything but ASCII escaped."""
-    return values.map(lambda v: None if v is None else json.dumps(json.loads(v)))
+RENDERED = T.StructType([T.StructField("runway", T.StringType()), T.StructField("response", T.StringType())])
 
 
-@F.pandas_udf(T.StringType())
-def python_repr(values: pd.Series) -> pd.Series:
-    """How Python prints a JSON value within a text: a string bare, anything else by its repr. Bare text stays as it is."""
+def example_text(head: tuple[str, ...], body: dict[str, object], tail: tuple[str, ...]):
+    """A function of a raw entry and a struct of texts and booleans, which parses the entry once.
+
+    Its response is an object of the struct's fields named in ``head`` (``runway`` comes from the entry), the entry's fields of ``body`` with a
+    value for those that are missing, and those of ``tail``, in Python's ASCII form. Its runway is how Python prints the entry's, null where that is false.
+    """
+
+    @F.pandas_udf(RENDERED)
+    def run(entries: pd.Series, notice: pd.DataFrame) -> pd.DataFrame:
+        given = notice.to_dict("records")
+        out = []
+        for raw, n in zip(entries, given, strict=True):
+            e = json.loads(raw)
+            fields = {**{k: e.get(k) if k == "runway" else n[k] for k in head}, **{k: e.get(k, v) for k, v in body.items()}}
+            fields |= {k: [n[k]] if k in n else e.get(k) for k in tail}
+            runway = e.get("runway")
+            out.append((str(runway) if runway else None, json.dumps(fields)))
+        return pd.DataFrame(out, columns=["runway", "response"])
+
+    return run
+
+
+LINE = T.StructType([*LABELED.fields, T.StructField("ok", T.BooleanType())])
+
+
+def labeled_item(line: str | None) -> tuple:
+    """The labeled item of a line of JSON; not ok if it is none, or no object. Entries keep all that Python's own reading keeps."""
+    try:
+        item = json.loads(line or "")
+    except (ValueError, RecursionError):
+        item = None
+    if not isinstance(item, dict):
+        return (*[None] * len(LABELED.fields), False)
+    text = lambda v: v if v is None or isinstance(v, str) else unescaped(v)
+    entries, least = item.get("runway_entries"), item.get("min_confidence")
+    number = float(least) if isinstance(least, int | float) and not isinstance(least, bool) else None
+    return (*(text(item.get(f)) for f in NOTICE_FIELDS), [unescaped(e) for e in entries] if isinstance(entries, list) else None, number, True)
 
-    def shown(v: str | None) -> str | None:
-        if v is None:
-            return None
-        try:
-            value = json.loads(v)
-        except ValueError:  # a bare string
-            return v
-        return value if isinstance(value, str) else repr(value)
 
-    return values.map(shown)
+@F.pandas_udf(LINE)
+def labeled_line(lines: pd.Series) -> pd.DataFrame:
+    found = pd.DataFrame([labeled_item(x) for x in lines], columns=LINE.fieldNames(), dtype=object)
+    return found.astype({"ok": bool, "min_confidence": float})
 
 
 def set_fields(rows: DataFrame, entries: str, fields: str) -> DataFrame:
@@ -96,7 +197,7 @@ def set_fields(rows: DataFrame, entries: str, fields: str) -> DataFrame:
     def one(raw: list[str] | None, new: list[str | None] | None) -> list[str] | None:
         if raw is None:
             return None
-        return [e if not n or n == "{}" else json.dumps({**json.loads(e), **json.loads(n)}, ensure_ascii=False) for e, n in zip(raw, new, strict=True)]
+        return [e if not n or n == "{}" else unescaped({**json.loads(e), **json.loads(n)}) for e, n in zip(raw, new, strict=True)]
 
     kept = [f for f in rows.schema if f.name != fields]
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.entries import has_key, is_string, truthy, value
-from windrow.functions.json_text import ascii_json, python_repr, quoted
+from windrow.functions.json_text import example_text
 from windrow.functions.keywords import is_blank, is_canceled
 from windrow.operators.order import with_position
 from windrow.schemas import ENTRY_FIELDS
@@ -34,28 +33,22 @@ def prompt(runway: Column) -> Column:
     )
 
 
-def _raw(entry: Column, field: str) -> Column:
-    """The field's JSON text."""
-    v = value(entry, field)
-    return F.when(v.isNull(), "null").when(is_string(entry, field), quoted(v)).otherwise(v)
-
-
-def response(entry: Column) -> Column:
-    """The assistant's message as JSON of 30 keys in fixed order; :func:`ascii_json` gives it its final form."""
-    head = {"airportID": quoted(F.col("icao_location")), "runway": _raw(entry, "runway"), "effectiveStart": quoted(F.col("effective_start")), "effectiveEnd": quoted(F.col("effective_end")), "isCanceled": is_canceled(F.col("notam_text")).cast("string")}
-    body = {f: _raw(entry, f) for f in ENTRY_FIELDS if f not in ("runway", "confidence", "notes")}
-    body["contaminations"] = F.when(has_key(entry, "contaminations"), body["contaminations"]).otherwise("[]")
-    tail = {"sourceNOTAMIds": F.concat(F.lit("["), quoted(F.col("notam_id")), F.lit("]")), "notes": _raw(entry, "notes")}
-    pairs = [F.concat(F.lit(f'"{k}": '), v) for k, v in {**head, **body, **tail}.items()]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+#: The keys of a response: of the notice, of the entry with what stands for a missing one, and the last two.
+HEAD = ("airportID", "runway", "effectiveStart", "effectiveEnd", "isCanceled")
+BODY = {f: [] if f == "contaminations" else None for f in ENTRY_FIELDS if f not in ("runway", "confidence", "notes")}
+TAIL = ("sourceNOTAMIds", "notes")
 
 
 def examples(labeled: DataFrame) -> DataFrame:
-    """notam_id, entry_idx, user and assistant message of each entry."""
+    """notam_id, entry_idx, user and assistant message of each entry: a notice in its context, and JSON of 30 keys in fixed order.
+
+    An entry is parsed once, for both.
+    """
     rows = exploded(labeled)
-    e = F.col("entry")
-    runway = F.when(truthy(e, "runway"), F.when(is_string(e, "runway"), value(e, "runway")).otherwise(python_repr(value(e, "runway"))))
-    return rows.select("notam_id", "entry_idx", prompt(runway).alias("user"), ascii_json(response(e)).alias("assistant"))
+    values = dict(airportID="icao_location", effectiveStart="effective_start", effectiveEnd="effective_end", sourceNOTAMIds="notam_id")
+    notice = F.struct(*[F.col(c).alias(k) for k, c in values.items()], is_canceled(F.col("notam_text")).alias("isCanceled"))
+    made = rows.withColumn("__made", example_text(HEAD, BODY, TAIL)("entry", notice))
+    return made.select("notam_id", "entry_idx", prompt(F.col("__made.runway")).alias("user"), F.col("__made.response").alias("assistant"))
 
 
 def messages(rows: DataFrame) -> DataFrame:

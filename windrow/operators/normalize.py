@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from windrow.functions.bearings import is_unread_bearing, parse_bearing
 from windrow.functions.coordinates import is_decimal, parse_coordinate
 from windrow.functions.entries import is_string, kind, let, truthy, value
-from windrow.functions.json_text import set_fields
+from windrow.functions.json_text import python_float, set_fields
 
 
 def issues_of(entry: Column) -> dict[str, Column]:
@@ -50,7 +50,7 @@ def _degrees_json(bearing: Column) -> Column:
 
     def written(d: Column) -> Column:
         endless = F.when(d > 0, "Infinity").otherwise("-Infinity")
-        return F.when(d.isNull(), "null").when(F.isnan(d), "NaN").when(F.abs(d) == float("inf"), endless).when(whole & (d % 45 == 0), d.cast("long").cast("string")).otherwise(d.cast("string"))
+        return F.when(d.isNull(), "null").when(F.isnan(d), "NaN").when(F.abs(d) == float("inf"), endless).when(whole & (d % 45 == 0), d.cast("long").cast("string")).otherwise(python_float(d))
 
     return let(parse_bearing(bearing), written)
 

@@ -92,8 +92,9 @@ E_SQL = "WITH e0 AS (SELECT l_orderkey, " + ", ".join(f"{v} AS {k}" for k, v in
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labeled items: notices of orders with an entry for each of their line items."""
     lines = _t(spark, sf_dir, "lineitem").selectExpr("l_orderkey", f"struct({_SQL_ORDER}, {_ENTRY} AS entry) AS s")
-    grouped = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("s")).alias("s")).selectExpr("CAST(l_orderkey AS STRING) AS id", "transform(s, x -> x.entry) AS runway_entries")
-    rows = notices(spark, sf_dir).join(grouped, F.col("notam_id") == F.col("id")).drop("id")
+    grouped = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("s")).alias("s")).selectExpr("l_orderkey", "transform(s, x -> x.entry) AS runway_entries")
+    # dealt by order on both sides: what follows runs in as many tasks as the entries were gathered in, however few files the orders lie in
+    rows = notices(spark, sf_dir).hint("shuffle_hash").join(grouped, F.col("seq") == F.col("l_orderkey")).drop("l_orderkey")
     return rows.withColumn("min_confidence", entries.min_confidence(F.col("runway_entries")))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from windrow.functions.json_text import json_object, quoted
+from windrow.functions.json_text import json_object, json_value, labeled_line, message_list
 from windrow.schemas import LABELED, NOTICE
 
 
@@ -40,11 +40,9 @@ def read_lines(spark: SparkSession, path: str, schema: StructType = LABELED) ->
 
 
 def read_labeled(spark: SparkSession, path: str) -> DataFrame:
-    """Labeled items with each entry as raw JSON."""
-    lines = spark.read.text(require(spark, path)).where(F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull())
-    fields = [F.get_json_object("value", f"$.{f.name}").alias(f.name) for f in NOTICE.fields]
-    entries = F.from_json(F.get_json_object("value", "$.runway_entries"), "array<string>").alias("runway_entries")
-    return lines.select(*fields, entries, F.get_json_object("value", "$.min_confidence").try_cast("double").alias("min_confidence"))
+    """Labeled items with each entry as raw JSON: the text that Python would write for it, so that a round trip gives the same bytes."""
+    lines = spark.read.text(require(spark, path)).where(F.ltrim("value").startswith("{"))
+    return lines.select(labeled_line("value").alias("__item")).where("__item.ok").select(*[f"__item.{f}" for f in LABELED.fieldNames()])
 
 
 def line_count(spark: SparkSession, path: str) -> int:
@@ -53,15 +51,11 @@ def line_count(spark: SparkSession, path: str) -> int:
 
 def _line(df: DataFrame, raw: str | None = None) -> Column:
     """A row as JSON, null fields kept, with a space after each comma and colon; ``raw`` is a column of arrays of JSON values."""
-    options = {"ignoreNullFields": "false"}
 
     def of(c: str) -> Column:
         if c == raw:
-            return F.coalesce(F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]")), F.lit("null"))
-        if dict(df.dtypes)[c] == "string":
-            return quoted(F.col(c))
-        held = F.to_json(F.array(F.col(c)), options)
-        return F.coalesce(held.substr(F.lit(2), F.length(held) - 2), F.lit("null"))
+            return F.coalesce(F.concat(F.lit("["), F.array_join(c, ", ", "null"), F.lit("]")), F.lit("null"))
+        return json_value(F.col(c), df.schema[c].dataType)
 
     return json_object({c: of(c) for c in df.columns}).alias("value")
 
@@ -91,7 +85,7 @@ def write_routes(classified: DataFrame, path: str) -> None:
 
 def message_line(messages: Column) -> Column:
     """An array of messages (role, content) as a line of JSON."""
-    return F.concat(F.lit("["), F.array_join(F.transform(messages, lambda m: json_object({"role": quoted(m.role), "content": quoted(m.content)})), ", "), F.lit("]"))
+    return message_list(F.transform(messages, lambda m: m.role), F.transform(messages, lambda m: m.content))
 
 
 def write_split(split: DataFrame, path: str) -> None:
