@@ -258,3 +258,27 @@ def test_streams(spark, tmp_path):
         incremental.label_stream(spark, str(tmp_path / "in"), _stub, str(tmp_path / "labels"), str(tmp_path / "c2")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == k + 1
         assert files.read_labeled(spark, str(tmp_path / "labels")).count() == k + 1
+
+
+BAD = [("contamination_add", None, '{"type": "ice", "coverage": "x"}'), ("contamination_add", None, '{"type": "ice", "coverage": 50.5}'), ("contamination_edit", "1", '{"coverage": "50.5"}'), ("contamination_edit", "1", "[1]"),
+       ("contamination_edit", "one", "{}"), ("contamination_delete", None, None), ("add", None, "{"), ("set", "TORA", "wide"), ("set", None, "x"), ("odd", None, None), (None, None, None)]
+
+
+def test_bad_patches_change_nothing_and_are_listed(spark):
+    entry = json.dumps({"TORA": 500, "contaminations": [{"type": "ice", "coverage": 80, "depth": 1.0, "depthUnits": "in"}]})
+    labeled = item(spark, entry)
+    key = labeled.first().notam_id
+    rows = [(key, i, 1, *p) for i, p in enumerate(BAD)]
+    patches = spark.createDataFrame([*rows, (key, 99, 1, "contamination_edit", "1", '{"coverage": "null", "depth": "2", "depthUnits": "mm"}')], "notam_id string, seq int, entry_idx int, op string, field string, value string")
+    after = json.loads(review.apply_patches(labeled, patches).first().runway_entries[0])
+    assert after == {"TORA": 500, "contaminations": [{"type": "ice", "coverage": None, "depth": 2.0, "depthUnits": "mm"}]}
+    assert sorted(r.seq for r in review.rejected(patches).collect()) == [*range(len(BAD))]
+
+
+def test_view(spark):
+    full = {"runway": "09", "runwayClosed": True, "takeoffShortening": 0, "landingShortening": 2.50, "landingShorteningUnits": "ft", "TORA": 1e5, "TODA": 0.0, "obstacleDistance": 3, "obstacleDistanceUnits": "NM", "obstacleBearing": 22.5, "obstacleReferencePoint": "THR",
+            "contaminations": [{"type": "ice", "coverage": 0, "depth": 0.5, "depthUnits": "in"}, {}], "requiredClimbGradient": 4, "confidence": None, "notes": "n"}
+    lines = ["  --- Runway Entry 1/2: 09 [CLOSED] ---", "  Shortening:", "    takeoffShortening: 0 ", "    landingShortening: 2.5 ft", "  Declared Distances:", "    TORA: 100000.0 ", "  Obstacle:", "    distance: 3 NM", "    bearing: 22.5°", "    reference: THR",
+             "  Contaminations:", "    [1] ice, 0.5 in", "    [2] None", "  Climb:", "    requiredClimbGradient: 4 ", "  confidence: None", "  notes: n", "", "  --- Runway Entry 2/2: null ---", "  confidence: None"]
+    rows = spark.createDataFrame([([json.dumps(full), "{}"],), ([],), (None,)], "runway_entries array<string>")
+    assert [r.view for r in review.item_view(rows).collect()] == ["\n".join(lines), "", ""]

@@ -385,13 +385,43 @@ def contamination_check(spark, sf_dir):
 @query(
     _OWN
     + """SELECT o_orderkey::VARCHAR AS notam_id, i AS entry_idx, takeoffShortening NOT IN ('0', 'null') AS shortening, false AS distances,
-obstacleHeight <> '0.0' OR obstacleBearing <> 'null' OR obstacleCoordinates <> 'null' AS obstacle, contaminations <> '[]' AS contamination, false AS climb FROM x"""
+obstacleHeight <> '0.0' OR obstacleCoordinates <> 'null' AS obstacle, contaminations <> '[]' AS contamination, false AS climb FROM x"""
 )
 def field_groups(spark, sf_dir):
     rows = labeled(spark, sf_dir).select("notam_id", F.posexplode("runway_entries").alias("i", "e"))
     return rows.select("notam_id", F.col("i").cast("long").alias("entry_idx"), review.field_groups(F.col("e")).alias("g")).select("notam_id", "entry_idx", "g.*")
 
 
+@query(
+    _OWN
+    + """, k AS (SELECT o_orderkey, count(*) AS n FROM x GROUP BY 1), v AS (SELECT x.*, n,
+CASE WHEN obstacleBearing IN ('null', '""') THEN NULL ELSE replace(obstacleBearing, '"', '') END AS bearing, CASE WHEN obstacleCoordinates <> 'null' THEN replace(obstacleCoordinates, '"', '') END AS place FROM x JOIN k USING (o_orderkey))
+SELECT o_orderkey::VARCHAR AS notam_id, i + 1 AS entry, concat_ws(chr(10), concat('  --- Runway Entry ', i + 1, '/', n, ': ', CASE WHEN runway IN ('null', '""') THEN 'null' ELSE replace(runway, '"', '') END,
+  CASE WHEN runwayClosed = 'true' THEN ' [CLOSED]' ELSE '' END, ' ---'),
+ CASE WHEN takeoffShortening NOT IN ('0', 'null') THEN concat('  Shortening:', chr(10), '    takeoffShortening: ', takeoffShortening, ' ', chr(10), '    landingShortening: None ') END,
+ CASE WHEN obstacleHeight <> '0.0' OR place IS NOT NULL THEN concat_ws(chr(10), '  Obstacle:', CASE WHEN obstacleHeight <> '0.0' THEN concat('    height AGL: ', obstacleHeight, ' ') END,
+  '    bearing: ' || bearing || '°', '    coordinates: ' || place) END,
+ CASE WHEN contaminations LIKE '%ice%' THEN concat('  Contaminations:', chr(10), '    [1] ice (80%)') WHEN contaminations LIKE '%lava%' THEN concat('  Contaminations:', chr(10), '    [1] lava') END,
+ '  confidence: ' || rtrim(confidence, '0')) AS view FROM v"""
+)
+def entry_view(spark, sf_dir):
+    rows = labeled(spark, sf_dir).select("notam_id", F.posexplode("runway_entries").alias("i", "e"), F.size("runway_entries").alias("n"))
+    return rows.select("notam_id", (F.col("i") + 1).cast("long").alias("entry"), review.entry_view(F.col("e"), F.col("i") + 1, F.col("n")).alias("view"))
+
+
+@query(
+    """SELECT o_orderkey::VARCHAR AS notam_id, CASE o_orderkey % 8 WHEN 0 THEN 'unreadable number' WHEN 1 THEN 'no object' WHEN 2 THEN 'unreadable number' WHEN 3 THEN 'unknown op' WHEN 4 THEN 'unknown type' WHEN 5 THEN 'no index' END AS problem
+FROM orders WHERE o_orderkey % 8 < 6"""
+)
+def rejected_patches(spark, sf_dir):
+    ops = ["contamination_add", "add", "set", "rename", "contamination_add", "contamination_delete", "set", "contamination_edit"]
+    values = ['{"type": "ice", "coverage": "50.5"}', "not json", "wide", "x", '{"type": "lava"}', None, "null", '{"depth": "2.5"}']
+    fields = [None, None, "TORA", None, None, "first", "TORA", "1"]
+    pick = lambda v: F.get(F.array(*map(F.lit, v)), (F.col("o_orderkey") % 8).cast("int"))
+    patches = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("notam_id"), pick(ops).alias("op"), pick(fields).alias("field"), pick(values).alias("value"))
+    return review.rejected(patches).select("notam_id", "problem")
+
+
 @query(
     "WITH d AS (SELECT count(*) AS \"all\" FROM documents), l AS (SELECT count(*) AS done, count(*) FILTER (quality < 0.8) AS low FROM labels) "
     "SELECT \"all\", done, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS pending, done AS labeled, low FROM d, l"
