@@ -3,11 +3,12 @@
 The fixed patterns give the base spans. They are the seeds, together with words that have the shape of a credential (a run of 32 or
 more hexadecimal digits with letters and numerals among them), which are no spans by themselves. A lexical pattern is the two words
 (runs without white space, in lower case) before the word in which a seed begins; one that introduces fewer than three distinct seeds
-can never be sure enough and is left out at once, and so is one whose seeds are under a tenth of all that it introduces (two common
+is left out at once, and so is one whose seeds are under a tenth of all that it introduces (two common
 words that now and then stand before a seed): what the others introduce is at most ten times the seeds, whatever the corpus. Patterns and the instances that they hold anywhere, seeds and words of any shape without
-the punctuation around them, form a graph: seeds have confidence one, a pattern's confidence is that of its distinct instances on average,
-shrunk where there are few, and an instance's is that of its best pattern. After some rounds the patterns above a
-threshold mark the words that they introduce.
+the punctuation around them, form a graph. A pattern's confidence is that of its distinct instances on average, shrunk where there are few. Seeds
+have confidence one; any other instance has, within a pattern, what its shape says or what its *other* patterns say (four fifths of their average, shrunk
+likewise), whichever is more: no pattern vouches for itself. Plain words, of letters alone, have none: they stand in many patterns because they are common, and are marked only where nearly all that a pattern introduces is personal. This is
+repeated to a fixed point. A word is marked where pattern and instance together leave a doubt of at most ``1 - confidence``, the product of both their doubts.
 
 Words are read where they lie, once to count what patterns introduce (after a slice of the rows) and once to follow them; only those that follow such a pattern travel, and only rows with findings get the positions of their
 words, as running sums. Joins by pattern or instance are salted, as one of them may hold most rows.
@@ -138,7 +139,17 @@ def _following(rows: DataFrame, contexts: DataFrame) -> DataFrame:
     These are no condition here: Spark would put it before the filter, and bare all words of the corpus.
     """
     bare = F.regexp_replace("word", _EDGES, "")
-    return likely_in(_words(rows), "context", contexts).select("row", "pos", "context", F.when(bare != "", F.xxhash64(bare)).alias("instance"))
+    cut = likely_in(_words(rows), "context", contexts).select("row", "pos", "context", bare.alias("bare"))
+    return cut.select("row", "pos", "context", F.when(F.col("bare") != "", F.xxhash64("bare")).alias("instance"), _shape(F.col("bare")).alias("shape"))
+
+
+def _shape(bare: Column) -> Column:
+    """How much a word's form alone speaks for an identifier: letters and numerals mixed, or many numerals that are no date, do by
+    themselves; numerals, or signs within the word, do in a pattern that is trusted; plain words do not."""
+    letters, digits = bare.rlike(r"\p{L}"), F.length(F.regexp_replace(bare, "[^0-9]", ""))
+    date = bare.rlike(r"^([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4})$")
+    strong = (letters & (digits > 0) & (F.length(bare) >= 5)) | ((digits >= 7) & ~date)
+    return F.when(strong, 0.85).when((digits > 0) | bare.rlike(r"[_@/:#]|-.*-"), 0.3).otherwise(0.0)
 
 
 #: Punctuation around a word, which is no part of an instance.
@@ -175,18 +186,24 @@ def _apart(placed: DataFrame, base: DataFrame) -> DataFrame:
     return told.where(word & F.coalesce(F.col("reached") <= F.col("low"), F.lit(True)) & F.coalesce(F.col("coming") >= F.col("high"), F.lit(True))).select("row", "pos")
 
 
-def confident_contexts(found: DataFrame, rounds: int = 3, confidence: float = 0.7, seeds: int = 3) -> DataFrame:
-    """The contexts (context, confidence) whose instances are mostly personal data, from rows (context, instance, seed)."""
-    edges = found.groupBy("context", "instance").agg(F.max("seed").alias("seed"))
-    edges = materialize(edges.withColumn("score", F.col("seed").cast("double")), "graph")
-    for k in range(rounds):
-        patterns = edges.groupBy("context").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"), F.count_if("seed").alias("seeds"))
-        if k == rounds - 1:
-            return patterns.where((F.col("confidence") >= confidence) & (F.col("seeds") >= seeds)).select("context", "confidence")
-        held = _salted(edges, F.col("instance"), patterns.select("context", "confidence"), "context").groupBy("instance").agg(F.max("confidence").alias("best"))
-        best = _salted(edges, F.col("context"), held, "instance")
-        edges = materialize(best.select("context", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.col("best")).alias("score")), "graph")
-    raise ValueError("at least one round is needed")
+def marked_links(found: DataFrame, confidence: float = 0.85, rounds: int = 8, tolerance: float = 0.01) -> DataFrame:
+    """The (context, instance) that are personal data without being seeds, from rows (context, instance, seed, shape).
+
+    Confidences only rise from round to round and are bounded; rounds end when none moves by more than ``tolerance``, or after ``rounds``.
+    """
+    edges = found.groupBy("context", "instance").agg(F.max("seed").alias("seed"), F.max("shape").alias("shape"))
+    edges = materialize(edges.withColumn("own", F.when(F.col("seed"), 1.0).otherwise(F.col("shape"))), "graph")
+    for _ in range(rounds):
+        patterns = edges.groupBy("context").agg((F.sum("own") / (F.count("*") + 1)).alias("pattern"))
+        held = materialize(_salted(edges.drop("pattern", "was"), F.col("instance"), patterns, "context"), "graph")
+        sums = held.groupBy("instance").agg(F.sum("pattern").alias("all"), F.count("*").alias("n"))
+        others = F.when(F.col("shape") > 0, 0.8 * (F.col("all") - F.col("pattern")) / F.col("n")).otherwise(0.0)
+        told = _salted(held, F.col("context"), sums, "instance")
+        edges = materialize(told.select("context", "instance", "seed", "shape", "pattern", F.col("own").alias("was"), F.when(F.col("seed"), 1.0).otherwise(F.greatest("shape", others)).alias("own")), "graph")
+        if not (edges.agg(F.max(F.col("own") - F.col("was")).alias("d")).first()["d"] or 0) > tolerance:
+            break
+    doubt = (1 - F.col("pattern")) * (1 - F.col("own"))
+    return edges.where(~F.col("seed") & (doubt <= 1 - confidence)).select("context", "instance")
 
 
 #: Distinct seeds that a pattern must introduce, and the share of seeds among all words that it introduces.
@@ -205,10 +222,12 @@ def _spans(rows: DataFrame) -> DataFrame:
     with_base = materialize(met.join(base.select("row").distinct(), "row", "left_semi").select("row", "pos"), "beside")
     apart = materialize(_apart(materialize(_placed(rows, with_base), "placed"), base), "apart")
     free = met.join(with_base, ["row", "pos"], "left_anti").unionByName(met.join(apart, ["row", "pos"], "left_semi"))
-    told = told.select("context", "instance", F.lit(True).alias("seed"))
-    edges = _salted(told, F.col("instance"), contexts, "context").unionByName(free.select("context", "instance", F.lit(False).alias("seed")), allowMissingColumns=True)
-    sure = confident_contexts(edges, seeds=LEAST_SEEDS)
-    found = materialize(_salted(free, F.col("row"), sure, "context").select("row", "pos"), "learned")
+    told = told.select("context", "instance", F.lit(True).alias("seed"), F.lit(1.0).alias("shape"))
+    edges = _salted(told, F.col("instance"), contexts, "context").unionByName(free.select("context", "instance", F.lit(False).alias("seed"), "shape"))
+    links = marked_links(edges).withColumn("__link", F.xxhash64("context", "instance"))
+    held = free.withColumn("__link", F.xxhash64("context", "instance")).withColumnsRenamed({"context": "__context", "instance": "__instance"})
+    same = (F.col("context") == F.col("__context")) & (F.col("instance") == F.col("__instance"))
+    found = materialize(_salted(held, F.col("row"), links, "__link").where(same).select("row", "pos"), "learned")
     columns = ["row", "kind", "low", "high"]
     return base.select(*columns).unionByName(_placed(rows, found).withColumn("kind", F.lit(LEARNED)).select(*columns))
 
@@ -232,21 +251,22 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.select("doc_id", *[f"n_{n}" for n in KINDS], F.sha2(written(base), 256).alias("base_sha256"), written(F.col("s")).alias("spans"), "n_learned", F.size("s").cast("long").alias("n_spans"))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; spans that overlap become one, named by the first.
 
-    Rows are matched by a hash of id and text, so rows that repeat are redacted alike. Null texts stay null.
+    Null texts stay null; repeated rows and columns of any name stay as they are.
     """
-    keyed = docs.withColumn("__rk", F.xxhash64(id_col, text_col))
-    texts = materialize(keyed.select(F.monotonically_increasing_id().alias("row"), "__rk", text_of(text_col).alias("__text")), "rows")
-    spans = texts.select("row", "__rk").join(_spans(texts), "row")
+    inner = [f"c{i}" for i in range(len(docs.columns))]  # no name of the rows can meet one of the plan's
+    text_in = inner[docs.columns.index(text_col)]
+    numbered = materialize(docs.toDF(*inner).withColumn("row", F.monotonically_increasing_id()), "rows")
+    spans = _spans(materialize(numbered.select("row", text_of(text_in).alias("__text")), "texts"))
     order = Window.partitionBy("row").orderBy("low", "kind")
     reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("__new", F.when(F.col("low") < reached, 0).otherwise(1))
-    islands = marked.withColumn("__island", F.sum("__new").over(order)).groupBy("__rk", "row", "__island").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min_by("kind", F.struct("low", "kind")).alias("kind"))
-    by_row = islands.groupBy("__rk", "row").agg(F.array_sort(F.collect_list(F.struct("low", "high", "kind"))).alias("__s")).groupBy("__rk").agg(F.first("__s").alias("__s"))
+    islands = marked.withColumn("__island", F.sum("__new").over(order)).groupBy("row", "__island").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min_by("kind", F.struct("low", "kind")).alias("kind"))
+    by_row = islands.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("low", "high", "kind"))).alias("__s"))
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in (*KINDS, "id")])
-    text, s = F.col(text_col), F.col("__s")
+    text, s = F.col(text_in), F.col("__s")
 
     def piece(x: Column, i: Column) -> Column:
         at = F.coalesce(F.get(s, i - 1).high, F.lit(0))
@@ -254,5 +274,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     rest = F.substr(text, (F.element_at(s, -1).high + 1).cast("int"))
     clean = F.when(s.isNull(), text).otherwise(F.concat(F.array_join(F.transform(s, piece), ""), rest))
-    joined = keyed.join(by_row, "__rk", "left")
-    return joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    joined = numbered.join(by_row, "row", "left")
+    return joined.select(*[(clean if c == text_in else F.col(c)).alias(name) for c, name in zip(inner, docs.columns, strict=True)])
