@@ -89,7 +89,7 @@ def item(spark, *raw, text="RWY 09 CLSD", key="1"):
 
 def test_gate(spark):
     clean = item(spark, '{"obstacleBearing": "180", "runway": "09"}')
-    assert normalize.fix(clean) is clean
+    assert normalize.fix(clean).collect() == clean.collect()
     dirty = item(spark, '{"obstacleBearing": "180", "runway": "ALL", "TORA": 500}', '{"obstacleBearing": 0, "obstacleCoordinates": "6449N14751W"}', '{"obstacleBearing": "NORTH"}')
     assert [json.loads(e) for e in normalize.fix(dirty).first().runway_entries] == [{"obstacleBearing": 180.0, "runway": None, "TORA": 500}, {"obstacleBearing": 0, "obstacleCoordinates": "64.8167, -147.8500"}, {"obstacleBearing": None}]
 
@@ -282,3 +282,26 @@ def test_view(spark):
              "  Contaminations:", "    [1] ice, 0.5 in", "    [2] None", "  Climb:", "    requiredClimbGradient: 4 ", "  confidence: None", "  notes: n", "", "  --- Runway Entry 2/2: null ---", "  confidence: None"]
     rows = spark.createDataFrame([([json.dumps(full), "{}"],), ([],), (None,)], "runway_entries array<string>")
     assert [r.view for r in review.item_view(rows).collect()] == ["\n".join(lines), "", ""]
+
+
+@pytest.mark.parametrize("run", [lambda df: normalize.fix(df), lambda df: examples.exact_split(df, "notam_id")])
+def test_rows_are_computed_once(spark, run):
+    """A gate over the whole table, and a sort by range, do not evaluate what they get twice."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for b in batches:
+            passed.add(b.num_rows)
+            yield b
+
+    rows = item(spark, '{"runway": "ALL"}').crossJoin(spark.range(0, 200, 1, 4)).drop("id")
+    assert run(rows.mapInArrow(counting, rows.schema)).count() == 200 and passed.value == 200
+
+
+def test_fix_counts_its_issues(spark):
+    fixed, issues = normalize.fix_counted(item(spark, '{"runway": "ALL", "obstacleBearing": "N"}', '{"obstacleCoordinates": "x"}'))
+    assert issues == {"all_runways": 1, "coordinates": 1, "bearings": 1} and json.loads(fixed.first().runway_entries[0]) == {"runway": None, "obstacleBearing": 0}
+    calm, none = normalize.fix_counted(item(spark, '{"obstacleBearing": 180}').unionByName(spark.createDataFrame([], LABELED)))
+    assert not any(none.values()) and calm.first().runway_entries == ['{"obstacleBearing": 180}']
+    empty, nothing = normalize.fix_counted(spark.createDataFrame([], LABELED))
+    assert empty.count() == 0 and not any(nothing.values())

@@ -9,6 +9,7 @@ from windrow.functions.json_text import example_text
 from windrow.functions.keywords import is_blank, is_canceled
 from windrow.operators.order import with_position
 from windrow.schemas import ENTRY_FIELDS
+from windrow.shared import materialize
 
 
 def exploded(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
@@ -66,14 +67,17 @@ def example_counts(labeled: DataFrame) -> DataFrame:
 def exact_split(rows: DataFrame, key: str, train: float = 0.8, valid: float = 0.1, seed: int = 42) -> DataFrame:
     """``rows`` with ``split``: train and valid are whole floors of their shares of the rows, and test is the rest.
 
-    Rows are shuffled by a hash of seed and key, equal keys in the order of the rest of the row's hash. Positions come from a range
-    partitioned sort of narrow rows, so no task sorts the whole table.
+    Rows are shuffled by a hash of seed and key, equal keys in the order of the rest of the row's hash. They are written once, as they come; what is sorted, by range,
+    is a hash and a number for each, so no task sorts the whole table and no wide row goes through the sort.
     """
+    held = materialize(rows.withColumn("__row", F.monotonically_increasing_id()), "split")
     order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.col(key), F.xxhash64(*[F.col(c) for c in rows.columns])]
-    placed = with_position(rows, order, "__at")
-    n = placed.count()
+    narrow = held.select("__row", *[c.alias(f"__by{i}") for i, c in enumerate(order)])
+    placed = with_position(narrow, [F.col(f"__by{i}") for i in range(len(order))], "__at").select("__row", "__at")
+    n = held.count()
     first, second = int(n * train), int(n * train) + int(n * valid)
-    return placed.withColumn("split", F.when(F.col("__at") < first, "train").when(F.col("__at") < second, "valid").otherwise("test")).drop("__at")
+    split = F.when(F.col("__at") < first, "train").when(F.col("__at") < second, "valid").otherwise("test")
+    return held.join(placed, "__row").withColumn("split", split).drop("__row", "__at")
 
 
 def split_by(rows: DataFrame, group: str, train: float = 0.8, valid: float = 0.1, seed: int = 42) -> DataFrame:

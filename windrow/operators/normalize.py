@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from windrow.functions.bearings import is_unread_bearing, parse_bearing
 from windrow.functions.coordinates import is_decimal, parse_coordinate
 from windrow.functions.entries import is_string, kind, let, truthy, value
 from windrow.functions.json_text import python_float, set_fields
+from windrow.shared import materialize
 
 
 def issues_of(entry: Column) -> dict[str, Column]:
@@ -68,7 +69,23 @@ def fix_entries(labeled: DataFrame, entries: str = "runway_entries") -> DataFram
     return set_fields(labeled.withColumn("__changes", F.transform(entries, _changes)), entries, "__changes")
 
 
+def fix_counted(labeled: DataFrame, entries: str = "runway_entries") -> tuple[DataFrame, dict[str, int]]:
+    """All rows repaired if the table as a whole has any issue, and none otherwise; and the entries in need of each repair.
+
+    Rows are written once, with what a repair would set, and the issues are counted while they are: the gate needs no run of its own, and ``labeled`` is evaluated once.
+    """
+    seen = Observation("issues")
+    held = F.coalesce(F.col(entries), F.array().cast("array<string>"))
+
+    def count(name: str) -> Column:
+        return F.coalesce(F.sum(F.size(F.filter(held, lambda e: issues_of(e)[name]))), F.lit(0)).alias(name)
+
+    counts = [count(name) for name in issues_of(F.col(entries))]
+    rows = materialize(labeled.withColumn("__changes", F.transform(entries, _changes)).observe(seen, *counts), "fix")
+    found = dict(seen.get)
+    return (set_fields(rows, entries, "__changes") if any(found.values()) else rows.drop("__changes")), found
+
+
 def fix(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
-    """Repair all rows if the table as a whole has any issue, and none otherwise. The gate is one row of counts on the driver."""
-    counts = issue_counts(labeled, entries).first()
-    return fix_entries(labeled, entries) if any(counts) else labeled
+    """The rows of :func:`fix_counted`."""
+    return fix_counted(labeled, entries)[0]

@@ -65,8 +65,8 @@ class Prepare:
     def finish(self, labeled: DataFrame, patches: DataFrame | None = None) -> DataFrame:
         """Patches, repair, examples and split."""
         reviewed = review.apply_patches(labeled, patches) if patches is not None else labeled
-        fixed = normalize.fix(reviewed)
-        if fixed is not labeled:
+        fixed, issues = normalize.fix_counted(reviewed)
+        if patches is not None or any(issues.values()):
             files.replace(fixed, self.at("silver_dataset"))
             fixed = files.read_labeled(self.spark, self.at("silver_dataset"))
         rows = examples.messages(examples.examples(fixed))
