@@ -305,3 +305,15 @@ def test_fix_counts_its_issues(spark):
     assert not any(none.values()) and calm.first().runway_entries == ['{"obstacleBearing": 180}']
     empty, nothing = normalize.fix_counted(spark.createDataFrame([], LABELED))
     assert empty.count() == 0 and not any(nothing.values())
+
+
+def test_cursor(spark, tmp_path):
+    path = str(tmp_path / "queue")
+    review.write_queue(spark.range(25).withColumn("c", F.col("id") % 5), "id", [F.col("c"), F.col("id")], path, per_bucket=10)
+    read = review.at(spark, path, 12, 10)
+    assert [r.id for r in read.collect()] == [12] and review.at(spark, path, 25, 10).isEmpty()
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    steps = [(0, "n", 1), (0, "", 1), (0, "p", 0), (7, "p", 6), (9, " N ", 10), (24, "n", None), (3, "25", 24), (3, "26", 3), (3, "0", 3), (3, "x", 3), (3, "-1", 3), (3, "1", 0)]
+    assert [review.step(spark, path, p, c, 10) for p, c, _ in steps] == [s for _, _, s in steps]
+    assert [r.position for r in spark.read.parquet(path).where("NOT has_next OR NOT has_previous").orderBy("position").collect()] == [0, 24]

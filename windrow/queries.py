@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,6 +328,16 @@ def review_queue(spark, sf_dir):
     return placed.select("notam_id", "position", "has_previous", "has_next")
 
 
+@query(_MIN + ", r AS (SELECT o_orderkey::VARCHAR AS notam_id, row_number() OVER (ORDER BY c, o_orderkey) - 1 AS position FROM m JOIN orders ON o_orderkey = l_orderkey) SELECT notam_id, position FROM r WHERE position IN (0, 498, 499, 500)")
+def queue_steps(spark, sf_dir):
+    """A reviewer's way through a written queue: the first row, number 500, and the rows after and before it."""
+    path = f"{shared_dir(spark)}/windrow-queue-{uuid.uuid4().hex}"
+    review.write_queue(labeled(spark, sf_dir).select("notam_id", "seq", "min_confidence"), "notam_id", [F.coalesce(F.col("min_confidence"), F.lit(1.0)), F.col("seq")], path)
+    there = review.step(spark, path, 0, "500")
+    places = (0, there, review.step(spark, path, there, "n"), review.step(spark, path, there, "p"))
+    return reduce(DataFrame.unionByName, [review.at(spark, path, p) for p in places]).select("notam_id", "position")
+
+
 @query("SELECT doc_id, quality FROM labels ORDER BY md5(concat('42:', doc_id::VARCHAR)), doc_id LIMIT 25")
 def review_sample(spark, sf_dir):
     return review.sample(_t(spark, sf_dir, "labels"), 25, "doc_id").select("doc_id", "quality")
