@@ -119,3 +119,9 @@ def test_redact_keeps_clashing_columns_and_repeated_rows(spark):
     got = pii.redact(df)
     assert got.columns == df.columns
     assert sorted(map(str, ((r.doc_id, r.text, r.row, r["__s"], r.c0) for r in got.collect()))) == sorted(map(str, [(1, "to <EMAIL>", 5, "x", "z")] * 2 + [(None, None, 6, "x", "z"), (2, "", 7, "x", "z")]))
+
+
+def test_credentials_in_their_contexts_are_marked(spark):
+    rows = [(k, f'set token = "{k}a{"0123456789abcdef" * 2}" now') for k in range(5)] + [(9, "set token = no")]
+    got = spans(spark, rows)
+    assert [got[k] for k in range(5)] == ["id:13:47"] * 5 and got[9] == ""

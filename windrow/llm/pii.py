@@ -187,7 +187,7 @@ def _apart(placed: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def marked_links(found: DataFrame, confidence: float = 0.85, rounds: int = 8, tolerance: float = 0.01) -> DataFrame:
-    """The (context, instance) that are personal data without being seeds, from rows (context, instance, seed, shape).
+    """The (context, instance) that are personal data, from rows (context, instance, seed, shape). Seeds are; those that are no base span, credentials, get their span by this.
 
     Confidences only rise from round to round and are bounded; rounds end when none moves by more than ``tolerance``, or after ``rounds``.
     """
@@ -203,7 +203,7 @@ def marked_links(found: DataFrame, confidence: float = 0.85, rounds: int = 8, to
         if not (edges.agg(F.max(F.col("own") - F.col("was")).alias("d")).first()["d"] or 0) > tolerance:
             break
     doubt = (1 - F.col("pattern")) * (1 - F.col("own"))
-    return edges.where(~F.col("seed") & (doubt <= 1 - confidence)).select("context", "instance")
+    return edges.where(doubt <= 1 - confidence).select("context", "instance")
 
 
 #: Distinct seeds that a pattern must introduce, and the share of seeds among all words that it introduces.
