@@ -27,6 +27,13 @@ _LEAST, _MOST, _NONE = -(2**63), 2**63 - 1, np.iinfo(np.int64).max
 _SHARD_SCHEMA = "shard long, dim int, ids binary, vectors binary, nodes binary, low binary, high binary"
 
 
+def whole_numbers(scale: int, x: np.ndarray) -> np.ndarray:
+    """floor(scale * x) as doubles; what lies beyond the doubles is held at the largest of its sign."""
+    most = np.finfo(np.float64).max
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(scale * x), -most, most)
+
+
 def build_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     """The order of the rows and the nodes of a KD-tree, the root first: begin and end in that order, and both children (-1: a leaf).
 
@@ -39,7 +46,7 @@ def build_tree(x: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]
         if end - begin <= leaf or not x.shape[1]:
             continue
         part = x[order[begin:end]]
-        axis, half = int((part.max(0) - part.min(0)).argmax()), (end - begin) // 2
+        axis, half = int((part.max(0) / 2 - part.min(0) / 2).argmax()), (end - begin) // 2  # halved, as a width may pass the doubles
         order[begin:end] = order[begin:end][np.argpartition(part[:, axis], half)]
         nodes[k][2:] = len(nodes), len(nodes) + 1
         todo += nodes[k][2:]
@@ -73,7 +80,7 @@ def build_shards(vectors: DataFrame, scale: int, shard: int = SHARD) -> DataFram
         for batch in batches:
             ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            flat = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            flat = whole_numbers(scale, lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
             sizes = np.diff(at)
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
@@ -91,7 +98,8 @@ def build_shards(vectors: DataFrame, scale: int, shard: int = SHARD) -> DataFram
 
 def scores_of(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The inner products of two tables of whole numbers (as doubles), exact, and held within a long."""
-    most = max(float(np.abs(q).max(initial=0)), 1) * max(float(np.abs(x).max(initial=0)), 1) * max(x.shape[1], 1)
+    with np.errstate(over="ignore"):
+        most = max(np.abs(q).max(initial=0), 1) * max(np.abs(x).max(initial=0), 1) * max(x.shape[1], 1)
     if most < _DOUBLE:
         return (q @ x.T).astype(np.int64)
     if most < _LONG:
@@ -130,9 +138,11 @@ class Best:
         self.found[rows] = np.take_along_axis(all_ids, order, 1)
 
     def shard(self, ids: np.ndarray, x: np.ndarray, nodes: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        bound = self.up @ high.T + self.down @ low.T
-        # what rounding may have taken off: of the sum, and of the kth score as a double
-        bound += (x.shape[1] + 4) * 2.0**-52 * (self.up @ np.abs(high).T - self.down @ np.abs(low).T) + 1e-9
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = self.up @ high.T + self.down @ low.T
+            # what rounding may have taken off: of the sum, and of the kth score as a double
+            bound += (x.shape[1] + 4) * 2.0**-52 * (self.up @ np.abs(high).T - self.down @ np.abs(low).T) + 1e-9
+        bound[~np.isfinite(bound)] = np.inf  # a sum that passed the doubles bounds nothing
         left, right = nodes[:, 2].tolist(), nodes[:, 3].tolist()
         queues = {q: [(-b, 0)] for q, b in enumerate(bound[:, 0].tolist())}
         self.leaves += len(queues) * (len(nodes) + 1) // 2
@@ -185,7 +195,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     ``is_query`` is a condition on ``vec_id``. Ties go to the smaller id. Vectors that are null, hold a null or a
     non-finite component, or whose id is null take no part. Vectors of other lengths than the query's are no candidates.
     Repeated rows are candidates each; a query id that repeats is asked once, with the smallest of its vectors.
-    Fewer than k candidates give fewer rows, empty tables none. Scores are exact; one beyond a long counts as the nearest long.
+    Fewer than k candidates give fewer rows, empty tables none. Scores are exact; one beyond a long counts as the nearest long. A component whose
+    product with ``scale`` passes the doubles counts as the largest double of its sign.
     An id of 2^63 - 1 takes no part as a candidate.
     A block of queries, at most about ``block`` vectors, is what the driver holds and broadcasts at a time.
     """
@@ -204,7 +215,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         queries = {}
         for dim in {len(v) for v in lists}:
             own = [i for i, v in enumerate(lists) if len(v) == dim]
-            x = np.floor(scale * np.array([lists[i] for i in own], np.float64).reshape(len(own), dim))
+            x = whole_numbers(scale, np.array([lists[i] for i in own], np.float64).reshape(len(own), dim))
             queries[dim] = (ids[own].astype(np.int64), x, None)
         first = shards.where(F.col("shard").isin([r["shard"] for r in pilot])).mapInArrow(_search(spark.sparkContext.broadcast(queries), k), "query_id long, vec_id long, score long")
         kth = dict(first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k).select("query_id", "kth").toLocalIterator())
