@@ -59,6 +59,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def by_position(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by position, so that none can meet a name of the plan's own; and the new names of those wanted."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]), [f"c{docs.columns.index(c)}" for c in wanted]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm._common import SPACE, materialize, text_of
+from windrow.llm._common import SPACE, by_position, materialize, text_of
 
 #: Runs of white space other than one space, so that text without them is left untouched quickly.
 _ODD_SPACE = rf"[\x09-\x0D][{SPACE}]*|\x20[{SPACE}]+"
@@ -123,11 +123,13 @@ def _once(found: DataFrame, repeated: DataFrame, stays: Column) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`exact_dedup` does not keep."""
+    """``docs`` without the rows that :func:`exact_dedup` does not keep. Columns may have any names."""
+    names = docs.columns
+    docs, (id_col, text_col) = by_position(docs, id_col, text_col)
     found = materialize(exact_dedup(docs, id_col=id_col, text_col=text_col), "copies")
     keyed = docs.withColumn("__sha", F.sha2(normalised(text_col), 256))
     gone = found.where("not doc_id <=> keep_id").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__gone")).distinct()
     stay = keyed.join(gone, (F.col("__sha") == F.col("__gone")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
     if not found.where("doc_id <=> keep_id and not kept").isEmpty():  # rows that repeat both id and text
         stay = stay.dropDuplicates([id_col, "__sha"])
-    return stay.select(*docs.columns)
+    return stay.select(*docs.columns).toDF(*names)

@@ -275,4 +275,4 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rest = F.substr(text, (F.element_at(s, -1).high + 1).cast("int"))
     clean = F.when(s.isNull(), text).otherwise(F.concat(F.array_join(F.transform(s, piece), ""), rest))
     joined = numbered.join(by_row, "row", "left")
-    return joined.select(*[(clean if c == text_in else F.col(c)).alias(name) for c, name in zip(inner, docs.columns, strict=True)])
+    return joined.select(*[clean.alias(c) if c == text_in else c for c in inner]).toDF(*docs.columns)

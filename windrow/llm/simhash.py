@@ -162,15 +162,3 @@ def near_dedup(docs: DataFrame, distance: int = 4, id_col: str = "doc_id", text_
     """
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return components_of(docs, distance, id_col, text_col).select("doc_id", digits.alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id."""
-    rows = materialize(components_of(docs, distance, id_col, text_col), "near-copies")
-    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).rk.alias("__stays"))
-    gone = rows.join(stays, "root").where("rk <> __stays").select(F.col("rk").alias("__gone")).distinct()
-    keyed = docs.withColumn("__rk", F.xxhash64(id_col, text_col))
-    stay = keyed.join(gone, F.col("__rk") == F.col("__gone"), "left_anti")
-    if not rows.groupBy("rk").count().where("count > 1").isEmpty():  # rows that repeat both id and text
-        stay = stay.dropDuplicates(["__rk"])
-    return stay.select(*docs.columns)
