@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.operators import classify, examples, labels, normalize, review
+from windrow.plans.manifest import Manifest
 from windrow.schemas import NOTICE
 from windrow.shared import materialize
 from windrow.sources import files, pages as paged
@@ -26,6 +28,7 @@ class Prepare:
     split_by_notice: bool = False
     page_size: int = paged.SIZE
     per_commit: int = 20
+    skip_unchanged: bool = False
     counts: dict[str, int] = field(default_factory=dict)
 
     def at(self, name: str) -> str:
@@ -41,6 +44,9 @@ class Prepare:
 
     def filter(self, notices: DataFrame) -> DataFrame:
         files.write_routes(classify.classified(notices), self.at("classified"))
+        return self.relevant()
+
+    def relevant(self) -> DataFrame:
         return self.spark.read.parquet(self.at("classified")).where(F.col("is_relevant").cast("boolean"))
 
     def label(self, notices: DataFrame) -> DataFrame:
@@ -72,12 +78,26 @@ class Prepare:
         rows = examples.messages(examples.examples(fixed))
         split = examples.split_by(rows, "notam_id") if self.split_by_notice else examples.exact_split(rows.withColumn("__key", _key()), "__key").drop("__key")
         files.write_split(split, self.at("examples"))
-        for r in self.spark.read.text(self.at("examples")).groupBy("split").count().collect():  # three rows
-            self.counts[r["split"]] = r["count"]
         return split
 
+    def stage(self, name: str, source: str, output: str, work: Callable[[], object], settings: str = "") -> bool:
+        """Do a stage's work; with ``skip_unchanged`` only where its source has changed, its output is gone, or its settings are others."""
+        if not self.skip_unchanged:
+            work()
+            return True
+        return Manifest(self.spark, self.at("manifest")).run(name, [self.at(source)], self.at(output), work, settings)
+
     def run(self, pages: DataFrame | None = None, patches: DataFrame | None = None) -> dict[str, int]:
-        self.finish(self.label(self.filter(self.download(pages))), patches)
+        """All steps; the numbers of examples in each split."""
+        notices = self.download(pages)
+        self.stage("filter", "all_notams.jsonl", "classified", lambda: self.filter(notices))
+        labeled = self.label(self.relevant())
+        if patches is not None:  # rows without files, so without a fingerprint
+            self.finish(labeled, patches)
+        else:
+            self.stage("finish", "silver_dataset", "examples", lambda: self.finish(labeled), f"by notice: {self.split_by_notice}")
+        for r in self.spark.read.text(self.at("examples")).groupBy("split").count().collect():  # three rows
+            self.counts[r["split"]] = r["count"]
         return self.counts
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.functions import bearings, coordinates, entries, json_text, keywords
+from windrow.functions import bearings, coordinates, entries, json_text, keywords, nested
 from windrow.operators import classify, examples, labels, metrics, normalize, order, review
 from windrow.shared import shared_dir
 from windrow.sources import files
@@ -503,3 +503,34 @@ _BEARING = "split_part(concat('N|nne| SW |', CAST(event_id % 360 AS STRING), '|N
 @query("SELECT event_id, CASE CAST(event_id % 8 AS INT) WHEN 0 THEN 0 WHEN 1 THEN 22.5 WHEN 2 THEN 225 WHEN 3 THEN event_id % 360 WHEN 5 THEN -12.5 WHEN 7 THEN 337.5 END::DOUBLE AS degrees FROM events")
 def bearing_degrees(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", bearings.parse_bearing(F.expr(_BEARING)).alias("degrees"))
+
+
+def _packs() -> str:
+    """A document with three packs for each page, their fields of many kinds."""
+    items = [
+        f"""concat('{{"id": "', CAST(page_id AS STRING), '-{i}", "attributes": {{"pack": ', CASE CAST((page_id + {i}) % 4 AS INT) WHEN 0 THEN '"base-1"' WHEN 1 THEN '"base-2"' WHEN 2 THEN '1' ELSE 'null' END,
+ ', "version": ', CASE CAST((page_id + {i}) % 5 AS INT) WHEN 0 THEN 'null' WHEN 1 THEN '"2"' WHEN 2 THEN 'false' WHEN 3 THEN '7' ELSE '"x"' END, ', "signature": "', md5(coalesce(html, '')), '", "parts": ',
+ CASE CAST((page_id + {i}) % 6 AS INT) WHEN 0 THEN '[]' WHEN 1 THEN '[{{"offset": 0}}, {{"offset": 9}}]' WHEN 2 THEN 'null' WHEN 3 THEN '{{"a": 1}}' WHEN 4 THEN '"ééé"' ELSE '[null, 1, [2]]' END, '}}}}')"""
+        for i in range(3)
+    ]
+    return "CASE WHEN page_id % 11 = 0 THEN 'no json' ELSE concat('{\"data\": [', " + ", ', ', ".join(items) + ", ']}') END"
+
+
+@query(
+    f"""WITH j AS (SELECT page_id, {_packs()} AS doc FROM pages), i AS (SELECT page_id, unnest(from_json(json_extract(doc, '$.data'), '["json"]')) AS item FROM j WHERE json_valid(doc)),
+a AS (SELECT page_id, item->>'$.id' AS id, item->'$.attributes.version' AS v, item->'$.attributes.parts' AS p, item->>'$.attributes.signature' AS signature FROM i
+ WHERE json_type(item->'$.attributes.pack') = 'VARCHAR' AND item->>'$.attributes.pack' = 'base-1')
+SELECT page_id, id, CASE WHEN json_type(v) = 'NULL' OR v::VARCHAR = 'false' THEN '1' ELSE v->>'$' END AS version, substr(signature, 1, 16) AS signature,
+ CASE json_type(p) WHEN 'ARRAY' THEN json_array_length(p) WHEN 'OBJECT' THEN len(json_keys(p)) WHEN 'VARCHAR' THEN length(p->>'$') ELSE 0 END::BIGINT AS parts FROM a"""
+)
+def nested_filter(spark, sf_dir):
+    docs = _t(spark, sf_dir, "pages").select("page_id", F.expr(_packs()).alias("doc"))
+    found = nested.select_items(docs, "doc", "$.data", lambda i: nested.equals(i, "$.attributes.pack", "base-1"))
+    i = F.col("item")
+    return found.select(
+        "page_id",
+        nested.text(i, "$.id").alias("id"),
+        nested.or_else(i, "$.attributes.version", "1").alias("version"),
+        nested.prefix(i, "$.attributes.signature", 16).alias("signature"),
+        nested.length(i, "$.attributes.parts").alias("parts"),
+    )

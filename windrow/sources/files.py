@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -112,14 +114,53 @@ def replace(df: DataFrame, path: str) -> str:
     return backup
 
 
-def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """path, size and MD5 of each file."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"), F.md5("content").alias("md5"))
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """path, size and time of change of each file under ``path``, folders below included. Contents are not read. Like all of Spark's file scans it leaves out files without any content."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+
+
+def _streamed_md5(block: int):
+    """MD5 of files by blocks, so that a task holds one block at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                store, name = fs.FileSystem.from_uri(path)
+                digest = hashlib.md5(usedforsecurity=False)
+                with store.open_input_stream(name) as stream:
+                    while data := stream.read(block):
+                        digest.update(data)
+                yield pa.RecordBatch.from_pydict({"path": [path], "size": [size], "md5": [digest.hexdigest()]})
+
+    return run
+
+
+def checksums(spark: SparkSession, path: str, longest: int = 1 << 30, block: int = 8 << 20) -> DataFrame:
+    """path, size and MD5 of each file that has any content.
+
+    Files over ``longest`` bytes, which a row might not hold, are streamed by blocks, each file by one task; Arrow must know their store.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    size = F.col("length").alias("size")
+    short = found.where(F.col("length") <= longest).select("path", size, F.md5("content").alias("md5"))
+    long = found.where(F.col("length") > longest).select("path", size)
+    return short.unionByName(long.mapInArrow(_streamed_md5(block), "path string, size long, md5 string"))
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The file changed last."""
-    return spark.read.format("binaryFile").load(path).agg(F.max_by("path", "modificationTime").alias("path"))
+    """The file changed last; of those changed at once the last by name."""
+    return spark.read.format("binaryFile").load(path).agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+
+
+def first_named(spark: SparkSession, pattern: str) -> str | None:
+    """The file or folder that comes first by name among those that match the pattern, such as ``/tools/kit_v*``; None without any."""
+    p, fs = _path(spark, pattern)
+    return min((s.getPath().toString() for s in fs.globStatus(p) or []), default=None)
 
 
 def version_of(path_col: str) -> Column:
