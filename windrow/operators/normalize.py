@@ -69,6 +69,21 @@ def fix_entries(labeled: DataFrame, entries: str = "runway_entries") -> DataFram
     return set_fields(labeled.withColumn("__changes", F.transform(entries, _changes)), entries, "__changes")
 
 
+def unrepaired(labeled: DataFrame, entries: str = "runway_entries", key: str = "notam_id") -> DataFrame:
+    """What a repair cannot read, a row for each: notam_id, entry_idx, field, problem and value.
+
+    ``not_text``: coordinates that are neither text nor empty; they stay as they are. ``unread``: coordinates in no known notation; they
+    stay too, so that each later run finds them in need of repair again. ``lost``: bearings that a repair sets to null.
+    """
+    rows = labeled.select(F.col(key).alias("notam_id"), F.posexplode(entries).alias("entry_idx", "e"))
+    e = F.col("e")
+    odd = let(value(e, "obstacleCoordinates"), lambda v: F.when(~is_decimal(v), F.when(~is_string(e, "obstacleCoordinates"), F.when(truthy(e, "obstacleCoordinates"), "not_text")).when((v != "") & (parse_coordinate(v) == v), "unread")))
+    lost = let(value(e, "obstacleBearing"), lambda v: F.when(v.isNotNull() & parse_bearing(v).isNull() & truthy(e, "obstacleBearing"), "lost"))
+    found = [F.struct(F.lit(f).alias("field"), problem.alias("problem"), value(e, f).alias("value")) for f, problem in (("obstacleCoordinates", odd), ("obstacleBearing", lost))]
+    listed = rows.select("notam_id", "entry_idx", F.explode(F.filter(F.array(*found), lambda x: x.problem.isNotNull())).alias("x"))
+    return listed.select("notam_id", "entry_idx", "x.field", "x.problem", "x.value")
+
+
 def fix_counted(labeled: DataFrame, entries: str = "runway_entries") -> tuple[DataFrame, dict[str, int]]:
     """All rows repaired if the table as a whole has any issue, and none otherwise; and the entries in need of each repair.
 

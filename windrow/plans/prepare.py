@@ -69,8 +69,9 @@ class Prepare:
         return files.read_labeled(self.spark, silver)
 
     def finish(self, labeled: DataFrame, patches: DataFrame | None = None) -> DataFrame:
-        """Patches, repair, examples and split."""
-        reviewed = review.apply_patches(labeled, patches) if patches is not None else labeled
+        """Patches, repair, examples and split. What the repair could not read is listed in ``unrepaired``."""
+        reviewed = materialize(review.apply_patches(labeled, patches), "reviewed") if patches is not None else labeled
+        files.write_lines(normalize.unrepaired(reviewed), self.at("unrepaired"))
         fixed, issues = normalize.fix_counted(reviewed)
         if patches is not None or any(issues.values()):
             files.replace(fixed, self.at("silver_dataset"))

@@ -245,6 +245,21 @@ def repaired_counts(spark, sf_dir):
     return normalize.repaired_counts(normalize.fix(labeled(spark, sf_dir)))
 
 
+#: An entry by key: readable, unreadable and odd values.
+ODD_ENTRY = """CASE o_orderkey % 7 WHEN 0 THEN '{"obstacleCoordinates": "near the tower", "obstacleBearing": 90}' WHEN 1 THEN '{"obstacleCoordinates": [1.5], "obstacleBearing": "NORTH"}' WHEN 2 THEN '{"obstacleCoordinates": "3452N12345W", "obstacleBearing": "NNE"}'
+ WHEN 3 THEN '{"obstacleCoordinates": 12.5, "obstacleBearing": ""}' WHEN 4 THEN '{"obstacleCoordinates": "1.5, 2.5", "obstacleBearing": true}' WHEN 5 THEN '{"obstacleCoordinates": false, "obstacleBearing": null}' ELSE '{}' END"""
+
+
+@query(
+    """WITH k AS (SELECT o_orderkey % 7 AS k, o_orderkey::VARCHAR AS notam_id FROM orders)
+SELECT notam_id, 0::BIGINT AS entry_idx, field, problem, value FROM k JOIN (VALUES (0, 'obstacleCoordinates', 'unread', 'near the tower'), (1, 'obstacleCoordinates', 'not_text', '[1.5]'), (1, 'obstacleBearing', 'lost', 'NORTH'),
+ (3, 'obstacleCoordinates', 'not_text', '12.5'), (4, 'obstacleBearing', 'lost', 'true')) AS v(code, field, problem, value) ON k.k = v.code"""
+)
+def unrepaired_entries(spark, sf_dir):
+    rows = _t(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS notam_id", f"array({ODD_ENTRY}) AS runway_entries")
+    return normalize.unrepaired(rows).withColumn("entry_idx", F.col("entry_idx").cast("long"))
+
+
 _EX = N + ", e0 AS (SELECT l_orderkey, " + ", ".join(f"{v} AS {k}" for k, v in PARTS.items()) + f", row_number() OVER (PARTITION BY l_orderkey ORDER BY {_SQL_ORDER}) - 1 AS i FROM lineitem), x AS (SELECT * FROM e0 JOIN n ON n.seq = l_orderkey WHERE reason <> 'empty_text') "
 
 
