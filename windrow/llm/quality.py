@@ -36,9 +36,6 @@ SHARD_ENTRIES = 2_500_000
 CHUNK = 500_000
 #: Folds of trusted rows; fold 0 calibrates.
 HELD_OUT = 5
-#: Held-out rows from which a language, or its class of length, has quantiles of its held-out rows alone. Languages with fewer are
-#: cross-fitted: each of their trusted rows is scored by a model that has not seen it.
-LEAST = 100
 START, END = "\x02", "\x03"
 _B = np.uint64(0x9E3779B97F4A7C15)
 #: Predictions handled at a time.
@@ -443,32 +440,26 @@ def _judged(docs: DataFrame, bound: DataFrame, labels: DataFrame, quantile: floa
     marks = marked(bound, trusted)
     if marks.where("fold > 0").isEmpty():
         return rows.select("bundle", "at", "id", "lang", F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (F.col("size") > 0).alias("keep"))
-    rare = marks.where("lang is not null").groupBy(F.col("lang").alias("rare")).agg(F.count_if(F.col("fold") == 0).alias("n")).where(F.col("n") < LEAST).select("rare")
-    few = materialize(marks.join(rare, F.col("lang") == F.col("rare"), "left_semi").where("fold > 0"), "few")
-    numbers, every = [0], bound
-    if not few.isEmpty():
-
-        def take(rows: pa.Table, marks: list[dict]) -> pa.Table:
-            part = rows.take(pa.array([m["at"] for m in marks]))
-            return part.set_column(part.column_names.index("__m"), "__m", pa.array([m["fold"] for m in marks], pa.int32()))
-
-        numbers = range(HELD_OUT)
-        every = bound.unionByName(bind(_of_bundles(bound, few, take, _fields(docs))))
-    scores = score(every, models_of(count_trusted(docs, trusted), numbers), numbers, entries).withColumn("perplexity", _perplexity()).withColumn("class", length_class())
-    scored = rows.join(scores.where("m = 0"), ["bundle", "at"])
-    again = places(every.where("m > 0")).join(scores.where("m > 0"), ["bundle", "at"])
-    seen = marks.where("fold = 0").select("bundle", "at").join(scored, ["bundle", "at"]).unionByName(again).select("lang", "perplexity", "class").where("perplexity is not null")
+    scores = score(bound, models_of(count_trusted(docs, trusted), [0]), [0], entries).withColumn("perplexity", _perplexity()).withColumn("class", length_class())
+    scored = rows.join(scores, ["bundle", "at"])
+    seen = marks.where("fold = 0").select("bundle", "at").join(scored, ["bundle", "at"]).select("lang", "perplexity", "class").where("perplexity is not null")
     seen = materialize(seen, "calibration")
     cut = [F.percentile_approx("perplexity", quantile, 100_000).alias("q"), F.count("*").alias("n")]
-    whole = seen.agg(*cut).first()["q"]
-    # with few rows a high quantile is their maximum
-    limits = seen.groupBy("lang").agg(*cut).select(F.col("lang").alias("l1"), F.col("q").alias("q1"))
-    fine = seen.groupBy("lang", "class").agg(*cut).select(F.col("lang").alias("l2"), F.col("class").alias("k2"), F.col("q").alias("q2"), F.col("n").alias("n2"))
-    # one row for each language: joined in a way that Spark may broadcast after it has seen the size
-    found = scored.join(fine, (F.col("lang") == F.col("l2")) & (F.col("class") == F.col("k2")), "left").join(limits, F.col("lang") == F.col("l1"), "left")
-    # a class of few rows is held to none stricter than its language
-    limit = margin * F.coalesce(F.when(F.col("n2") >= LEAST, F.col("q2")).otherwise(F.greatest("q1", "q2")), F.lit(whole))
-    keep = F.coalesce(F.col("perplexity") <= limit, F.lit(False)) if whole is not None else F.col("perplexity").isNotNull()
+    whole = seen.agg(*cut).first()
+    limits = seen.groupBy("lang").agg(*cut).toDF("l1", "q1", "n1")
+    fine = seen.groupBy("lang", "class").agg(*cut, F.var_samp(F.log("perplexity")).alias("v")).toDF("l2", "k2", "q2", "n2", "v2")
+    # one row for each class of length: how far log perplexities spread within a language
+    spread = fine.where("l2 is not null").groupBy(F.col("k2").alias("k3")).agg(F.sqrt(F.try_divide(F.sum(F.col("v2") * (F.col("n2") - 1)), F.sum(F.col("n2") - 1))).alias("spread"))
+    # a row or few for each language: joined in a way that Spark may broadcast after it has seen the size
+    found = scored.join(fine, (F.col("lang") == F.col("l2")) & (F.col("class") == F.col("k2")), "left").join(limits, F.col("lang") == F.col("l1"), "left").join(F.broadcast(spread), F.col("class") == F.col("k3"), "left")
+
+    def beyond(q: str, n: str):
+        """The quantile, or what lies beyond the greatest of few rows: the tail of log perplexities falls off by their spread."""
+        return F.col(q) * F.pow(F.greatest(F.lit(1.0), 1 / (max(1 - quantile, 1e-6) * F.col(n))), F.coalesce("spread", F.lit(0.0)))
+
+    found = found.withColumns({"q0": F.lit(whole["q"]).cast("double"), "n0": F.lit(whole["n"])})
+    limit = margin * F.coalesce(beyond("q2", "n2"), beyond("q1", "n1"), F.when(F.col("n0") > 0, beyond("q0", "n0")))
+    keep = F.coalesce(F.col("perplexity") <= limit, F.lit(False)) if whole["q"] is not None else F.col("perplexity").isNotNull()
     return found.select("bundle", "at", "id", "lang", "n_tokens", "perplexity", limit.alias("threshold"), keep.alias("keep"))
 
 
@@ -485,8 +476,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.999, margin
     Trusted are rows labelled quality 1 and not toxic (``labels``: doc_id, quality, toxic). A document stays if its
     perplexity is at most ``margin`` times the ``quantile`` of held-out trusted rows of its language and class of length.
     Null texts count as empty; a text without characters has no perplexity and is not kept. Null ids and null
-    languages take part (the latter, and languages without trusted rows, meet the quantile of all; a language with few has that of
-    all its trusted rows, each scored by a model that has not seen it; without a column ``lang`` all languages are null). Rows that repeat are
+    languages take part (the latter, and languages without held-out rows, meet the quantile of all; a class of length without any meets that of
+    its language; without a column ``lang`` all languages are null). Of n held-out rows, fewer than 1 / (1 - quantile), the quantile is beyond
+    their greatest: it is taken to lie 1 / (n (1 - quantile)) to the power of the spread of log perplexities above it, for any n alike. Rows that repeat are
     judged each. Without any trusted rows there is no model and all rows with a text stay. Empty tables give no rows.
     Other columns of ``docs`` are neither read nor returned.
     """
