@@ -99,3 +99,14 @@ def test_renames_that_fail_leave_the_old_labels(spark, tmp_path, monkeypatch, re
     assert [json.loads(e)["runway"] for e in files.read_labeled(spark, path).first().runway_entries] == ["09"]
     backup = files.replace(labeled(spark, {"runway": "18"}), path)
     assert [json.loads(files.read_labeled(spark, p).first().runway_entries[0])["runway"] for p in (path, backup)] == ["18", "09"]
+
+
+@pytest.mark.parametrize(("n", "parts"), [(0, 1), (1, 3), (40, 7)])
+def test_arrays_stand_in_order(spark, tmp_path, n, parts):
+    rows = spark.range(0, n, 1, parts).select("id", F.lit("é,\n]").alias("part"))
+    files.export_array(rows, str(tmp_path / "array"))
+    (file,) = (tmp_path / "array").glob("part-*")
+    assert json.loads(file.read_text()) == [{"id": i, "part": "é,\n]"} for i in range(n)]
+    files.export_array(spark.createDataFrame([], "id long"), str(tmp_path / "none"))
+    (file,) = (tmp_path / "none").glob("part-*")
+    assert json.loads(file.read_text()) == []

@@ -73,11 +73,13 @@ def write_labeled(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def export_array(df: DataFrame, path: str) -> None:
-    """One file with one JSON array, for small exports: the rows pass through one task by nature of the format, and none is held there."""
-    rows = df.select(_line(df)).coalesce(1)
-    body = rows.select(F.concat(F.when(F.monotonically_increasing_id() == 0, "").otherwise(","), F.col("value")).alias("value"))
-    first, last = (df.sparkSession.range(0, 1, 1, 1).select(F.lit(c).alias("value")) for c in "[]")
-    first.union(body).union(last).coalesce(1).write.mode("overwrite").text(path)
+    """One file with one JSON array, for small exports: the rows pass through one task by nature of the format, which sorts them by their numbers (with spill)
+    and holds none, so that brackets and rows stand in order however partitions were grouped."""
+    rows = df.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("at"), _line(df))
+    ends = df.sparkSession.range(0, 2, 1, 1).select((F.col("id") * 2).cast("int").alias("part"), F.lit(0).cast("long").alias("at"), F.when(F.col("id") == 0, "[").otherwise("]").alias("value"))
+    sorted_rows = rows.unionByName(ends).coalesce(1).sortWithinPartitions("part", "at")
+    follows = (F.monotonically_increasing_id() > 1) & (F.col("part") == 1)  # the bracket is row 0
+    sorted_rows.select(F.concat(F.when(follows, ",").otherwise(""), F.col("value")).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_routes(classified: DataFrame, path: str) -> None:
