@@ -2,7 +2,8 @@
 
 1. quality: documents above the perplexity threshold of their language go.
 2. exact_dedup: of equal texts (white space aside) the one with the smallest id stays.
-3. near_dedup: of each group that pairs with a Jaccard similarity of five-word shingles of at least 0.8 connect, one document stays.
+3. near_dedup: of each group that pairs with a Jaccard similarity of five-word shingles of at least 0.8 connect, one document stays;
+   linked fingerprints (op8) and MinHash bands propose the pairs.
 4. pii: personal data is replaced by its kind.
 5. packing: token pieces with their sequences and offsets.
 

@@ -62,3 +62,19 @@ def test_chains_and_large_groups(spark, monkeypatch):
     assert near(rows, spark) == want and len(want) < len(rows)
     monkeypatch.setattr(near_copies, "CHUNK", 16)
     assert near(rows, spark) == want
+
+
+def test_linked_fingerprints_propose_and_similarity_decides(spark):
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words), " ".join([*words, "end"]), " ".join(f"v{k}" for k in range(400))]
+    docs = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "doc_id long, __rk long, text string")
+    no_bands = spark.createDataFrame([(k, k, 396, []) for k in range(3)], "class long, rk long, n long, bands array<long>")
+    linked = spark.createDataFrame([(k, 7) for k in range(3)], "class long, root long")
+    edges = near_copies.links(docs, no_bands, 0.8, 5, linked=linked)
+    assert [tuple(r) for r in edges.collect()] == [(0, 1)]
+
+
+def test_stage_links_fingerprints(spark, monkeypatch):
+    asked, own = [], near_copies.components_of
+    monkeypatch.setattr(near_copies, "components_of", lambda *a, **k: asked.append(1) or own(*a, **k))
+    assert near([(1, "a b c d e f"), (2, "A b c d  e f"), (3, None)], spark) == [1, 3] and asked

@@ -1,7 +1,7 @@
 """Near copies by the Jaccard similarity of word shingles, verified exactly.
 
-MinHash bands only propose: texts that agree in one band of ``ROWS`` least hashes meet in a bucket, where their whole
-sets of shingles (as 64-bit hashes) are compared. A pair at similarity s is missed by all bands with probability
+Fingerprints and MinHash bands only propose: texts whose SimHash fingerprints are linked (see :mod:`windrow.llm.simhash`), or
+that agree in one band of ``ROWS`` least hashes, meet in a bucket, where their whole sets of shingles (as 64-bit hashes) are compared. A pair at similarity s is missed by all bands with probability
 (1 - s^ROWS)^BANDS: 7e-6 at 0.8, 2e-8 at 0.85. Texts of one set are one class throughout. Buckets with the same members
 are compared once, large ones in chunks of which every two meet, and each gives a spanning forest, not all its pairs.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm._common import by_position, likely_in, materialize, releasing
-from windrow.llm.simhash import components
+from windrow.llm.simhash import components, components_of
 
 BANDS, ROWS = 30, 5
 #: Classes, and shingles, that a chunk of a bucket holds about.
@@ -120,9 +120,14 @@ def _verified(similarity: float):
     return run
 
 
-def links(docs: DataFrame, classes: DataFrame, similarity: float, words: int, text_col: str = "text") -> DataFrame:
-    """Edges (a, b) that connect the classes (class, rk of one of their rows, n, bands) as their similar pairs do; ``docs`` has the key __rk."""
+def links(docs: DataFrame, classes: DataFrame, similarity: float, words: int, text_col: str = "text", linked: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) that connect the classes (class, rk of one of their rows, n, bands) as their similar pairs do; ``docs`` has the key __rk.
+
+    ``linked`` (class, root) names components of fingerprints, whose classes meet as those of a band do.
+    """
     keys = classes.select("class", "n", F.posexplode("bands").alias("k", "v"))
+    if linked is not None:
+        keys = keys.unionByName(classes.select("class", "n").join(linked, "class").select("class", "n", F.lit(BANDS).alias("k"), F.col("root").alias("v")))
     counts = keys.groupBy("k", "v").agg(F.count("*").alias("m"), F.sum("n").alias("held")).where("m > 1")
     chunks = F.greatest(F.ceil(F.col("m") / CHUNK), F.least(F.ceil(F.col("held") / SHINGLES), F.col("m"))).cast("int")
     met = keys.join(counts, ["k", "v"]).withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
@@ -153,7 +158,9 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, words: int = 5, i
     rows = materialize(signed, "minhashes")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk"))
     classes = materialize(rows.groupBy("class").agg(first.alias("first"), F.first(F.struct("n", "bands")).alias("s")).select("class", "first", "first.rk", "s.*"), "classes")
-    roots = components(links(keyed, classes, similarity, words, text_col))
+    fingerprints = components_of(docs, id_col=id_col, text_col=text_col).select("rk", "root")
+    linked = materialize(rows.select("rk", "class").join(fingerprints, "rk").select("class", "root").distinct(), "linked")
+    roots = components(links(keyed, classes, similarity, words, text_col, linked))
     rooted = materialize(classes.join(roots, F.col("class") == F.col("node"), "left").select("class", "first", F.coalesce("root", "class").alias("root")), "near-copies")
     stays = rooted.groupBy("root").agg(F.min("first").alias("stays"))
     of = rooted.join(stays, "root").select("class", F.col("stays.rk").alias("__stays"))
