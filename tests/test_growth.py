@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from windrow import queries
 from windrow.functions.coordinates import parse_coordinate
+from windrow.functions.entries import let_parsed, truthy, truthy_in
+from windrow.operators import metrics
 
 
 def test_coordinates_are_parsed_in_all_tasks(spark):
@@ -23,3 +26,17 @@ def test_coordinates_read_groups_by_one_match(spark):
         texts[0]: "34.8667, -123.7500", texts[1]: "-34.869444, 123.752778", texts[2]: "34.8667, -123.7500", texts[3]: "34.869583, -123.752778",
         texts[4]: "34.8667, -123.7500", texts[5]: "34.8667, -123.7500", texts[6]: "34.869583, -123.752778", texts[7]: texts[7],
     }
+
+
+def test_entries_parsed_once_have_the_same_truth(spark):
+    values = ['""', '"0"', '"false"', '"[]"', "0", "0.0", "-0.0", "1e5", "1e400", "0.5", "true", "false", "null", "[]", "[null]", "{}", '{"a": 1}', "NaN", '"x"', "12345678901234567890123456789012345678901234567890"]
+    rows = spark.createDataFrame([(f'{{"a": {v}}}',) for v in values] + [("{}",), ("no json",), (None,)], "e string")
+    both = rows.select("e", truthy(F.col("e"), "a"), let_parsed(F.col("e"), lambda p: truthy_in(p, F.col("e"), "a"))).collect()
+    assert [r for r in both if r[1] != r[2]] == []
+
+
+def test_totals_read_their_rows_once(spark):
+    rows = spark.createDataFrame([(['{"runwayClosed": true}', '{"landingShortening": 2}'],), ([],), (None,), (['{"contaminations": [{}]}'],)], "runway_entries array<string>")
+    counted = metrics.entry_totals(rows)
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert counted.first().asDict() == {"items": 4, "entries": 3, "contaminated": 1, "shortened": 1, "with_obstacle": 0, "closed": 1}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.entries import truthy
+from windrow.functions.entries import let_parsed, truthy_in
 from windrow.operators.classify import RELEVANT, reason
 
 
@@ -45,17 +48,16 @@ def distinct_locations(notices: DataFrame, location: str = "icao_location") -> D
 
 
 def entry_totals(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
-    """Items, entries, and entries by what they report: four conditional counts in one pass."""
+    """Items, entries, and entries by what they report: conditional counts in one pass over ``labeled``, each entry parsed once."""
     e = F.col("e")
-    flags = {
-        "contaminated": truthy(e, "contaminations"),
-        "shortened": truthy(e, "takeoffShortening") | truthy(e, "landingShortening"),
-        "with_obstacle": truthy(e, "obstacleHeight"),
-        "closed": truthy(e, "runwayClosed"),
-    }
-    spread = labeled.select(F.col(entries).alias("es")).select(F.explode_outer("es").alias("e"), (F.size("es") >= 0).alias("one"))
-    counts = spread.agg(F.count("e").alias("entries"), *[F.count_if(c).alias(n) for n, c in flags.items()])
-    return labeled.agg(F.count("*").alias("items")).crossJoin(counts)  # two single rows
+    reports = {"contaminated": ("contaminations",), "shortened": ("takeoffShortening", "landingShortening"), "with_obstacle": ("obstacleHeight",), "closed": ("runwayClosed",)}
+
+    def flags(parsed: Column) -> Column:
+        return F.struct(*[reduce(or_, [truthy_in(parsed, e, f) for f in fields]).alias(n) for n, fields in reports.items()])
+
+    spread = labeled.select(F.posexplode_outer(entries).alias("at", "e")).select("at", "e", let_parsed(e, flags).alias("has"))
+    items = F.count_if(F.coalesce(F.col("at"), F.lit(0)) == 0)  # an item without entries has a row of its own
+    return spread.agg(items.alias("items"), F.count("e").alias("entries"), *[F.count_if(F.col("has")[n]).alias(n) for n in reports])
 
 
 def low_confidence(labeled: DataFrame, below: float = 0.8, column: str = "min_confidence") -> DataFrame:
