@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from windrow import queries
 from windrow.functions.coordinates import parse_coordinate
 from windrow.functions.entries import let_parsed, truthy, truthy_in
-from windrow.operators import metrics
+from windrow.operators import metrics, review
 
 
 def test_coordinates_are_parsed_in_all_tasks(spark):
@@ -40,3 +40,10 @@ def test_totals_read_their_rows_once(spark):
     counted = metrics.entry_totals(rows)
     assert counted._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
     assert counted.first().asDict() == {"items": 4, "entries": 3, "contaminated": 1, "shortened": 1, "with_obstacle": 0, "closed": 1}
+
+
+def test_rows_without_patches_are_not_parsed(spark):
+    labeled = spark.createDataFrame([("1", ["no json"], 0.5), ("2", ["{}"], 0.5), ("3", None, None)], "notam_id string, runway_entries array<string>, min_confidence double")
+    patches = spark.createDataFrame([("2", 1, 1, "set", "notes", "x")], "notam_id string, seq int, entry_idx int, op string, field string, value string")
+    after = {r[0]: tuple(r)[1:] for r in review.apply_patches(labeled, patches).collect()}
+    assert after == {"1": (["no json"], 0.5), "2": (['{"notes": "x"}'], 1.0), "3": (None, None)}
