@@ -42,6 +42,16 @@ def test_totals_read_their_rows_once(spark):
     assert counted.first().asDict() == {"items": 4, "entries": 3, "contaminated": 1, "shortened": 1, "with_obstacle": 0, "closed": 1}
 
 
+def test_a_step_lists_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "queue")
+    review.write_queue(spark.range(10).withColumnRenamed("id", "k"), "k", [F.col("k")], path, per_bucket=2)
+    (tmp_path / "queue" / "strange").mkdir()
+    (tmp_path / "queue" / "strange" / "part-0.parquet").write_bytes(b"no parquet")  # a listing of all buckets would meet it
+    assert [r.k for r in review.at(spark, path, 7, 2).collect()] == [7]
+    assert review.at(spark, path, 70, 2).isEmpty()
+    assert [review.step(spark, path, 9, "n", 2), review.step(spark, path, 0, "10", 2), review.step(spark, path, 4, "p", 2)] == [None, 9, 3]
+
+
 def test_rows_without_patches_are_not_parsed(spark):
     labeled = spark.createDataFrame([("1", ["no json"], 0.5), ("2", ["{}"], 0.5), ("3", None, None)], "notam_id string, runway_entries array<string>, min_confidence double")
     patches = spark.createDataFrame([("2", 1, 1, "set", "notes", "x")], "notam_id string, seq int, entry_idx int, op string, field string, value string")
