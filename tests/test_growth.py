@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from windrow import queries
 from windrow.functions.coordinates import parse_coordinate
 from windrow.functions.entries import let_parsed, truthy, truthy_in
-from windrow.operators import metrics, review
+from windrow.operators import examples, metrics, review
 
 
 def test_coordinates_are_parsed_in_all_tasks(spark):
@@ -57,3 +57,10 @@ def test_rows_without_patches_are_not_parsed(spark):
     patches = spark.createDataFrame([("2", 1, 1, "set", "notes", "x")], "notam_id string, seq int, entry_idx int, op string, field string, value string")
     after = {r[0]: tuple(r)[1:] for r in review.apply_patches(labeled, patches).collect()}
     assert after == {"1": (["no json"], 0.5), "2": (['{"notes": "x"}'], 1.0), "3": (None, None)}
+
+
+def test_prompts_make_no_responses(spark):
+    rows = spark.createDataFrame([("1", "K1", "RWY 09", "a", None, ['{"runway": ["09", 1]}', '{"runway": ""}'])], "notam_id string, icao_location string, notam_text string, effective_start string, effective_end string, runway_entries array<string>")
+    prompts = examples.prompts(rows)
+    assert "isCanceled" not in prompts._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.user for r in prompts.orderBy("entry_idx").collect()] == [r.user for r in examples.examples(rows).orderBy("entry_idx").collect()]

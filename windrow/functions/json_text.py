@@ -143,6 +143,17 @@ def repair_response(responses: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([repair(r) for r in responses], columns=["ok", "entries", "min_confidence", "odd_confidence"])
 
 
+def runway_text(entry: dict) -> str | None:
+    """How Python prints an entry's runway; null where that is false."""
+    runway = entry.get("runway")
+    return str(runway) if runway else None
+
+
+@F.pandas_udf(T.StringType())
+def runway_of(entries: pd.Series) -> pd.Series:
+    return pd.Series([runway_text(json.loads(raw)) for raw in entries], dtype=object)
+
+
 RENDERED = T.StructType([T.StructField("runway", T.StringType()), T.StructField("response", T.StringType())])
 
 
@@ -155,15 +166,19 @@ def example_text(head: tuple[str, ...], body: dict[str, object], tail: tuple[str
 
     @F.pandas_udf(RENDERED)
     def run(entries: pd.Series, notice: pd.DataFrame) -> pd.DataFrame:
-        given = notice.to_dict("records")
-        out = []
-        for raw, n in zip(entries, given, strict=True):
+        names, start = list(notice.columns), {**dict.fromkeys(head), **body, **dict.fromkeys(tail)}
+        listed, own = [k for k in tail if k in names], ({"runway", *body, *tail} & start.keys()) - set(names)
+        runways, responses = [], []
+        for raw, *values in zip(entries, *(notice[k] for k in names), strict=True):
             e = json.loads(raw)
-            fields = {**{k: e.get(k) if k == "runway" else n[k] for k in head}, **{k: e.get(k, v) for k, v in body.items()}}
-            fields |= {k: [n[k]] if k in n else e.get(k) for k in tail}
-            runway = e.get("runway")
-            out.append((str(runway) if runway else None, json.dumps(fields)))
-        return pd.DataFrame(out, columns=["runway", "response"])
+            fields = start | dict(zip(names, values, strict=True))
+            for k in listed:
+                fields[k] = [fields[k]]
+            for k in own & e.keys():
+                fields[k] = e[k]
+            runways.append(runway_text(e))
+            responses.append(json.dumps(fields))
+        return pd.DataFrame({"runway": runways, "response": responses}, dtype=object)
 
     return run
 

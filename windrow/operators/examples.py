@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrow.functions.json_text import example_text
+from windrow.functions.json_text import example_text, runway_of
 from windrow.functions.keywords import is_blank, is_canceled
 from windrow.operators.order import with_position
 from windrow.schemas import ENTRY_FIELDS
@@ -52,6 +52,12 @@ def examples(labeled: DataFrame) -> DataFrame:
     return made.select("notam_id", "entry_idx", prompt(F.col("__made.runway")).alias("user"), F.col("__made.response").alias("assistant"))
 
 
+def prompts(labeled: DataFrame) -> DataFrame:
+    """notam_id, entry_idx and user message of :func:`examples`; the assistant's message is not made."""
+    made = exploded(labeled).withColumn("__runway", runway_of("entry"))
+    return made.select("notam_id", "entry_idx", prompt(F.col("__runway")).alias("user"))
+
+
 def messages(rows: DataFrame) -> DataFrame:
     """``rows`` with the message pair as an array."""
     pair = F.array(F.struct(F.lit("user").alias("role"), F.col("user").alias("content")), F.struct(F.lit("assistant").alias("role"), F.col("assistant").alias("content")))
