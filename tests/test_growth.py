@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from windrow import queries
 from windrow.functions.coordinates import parse_coordinate
 from windrow.functions.entries import let_parsed, truthy, truthy_in
+from windrow.functions.json_text import python_float
 from windrow.operators import examples, metrics, review
 
 
@@ -64,3 +65,9 @@ def test_prompts_make_no_responses(spark):
     prompts = examples.prompts(rows)
     assert "isCanceled" not in prompts._jdf.queryExecution().optimizedPlan().toString()
     assert [r.user for r in prompts.orderBy("entry_idx").collect()] == [r.user for r in examples.examples(rows).orderBy("entry_idx").collect()]
+
+
+def test_hundredths_as_python_writes_them(spark):
+    numbers = [0.5, 22.5, 180.0, -0.05, 0.29, 1.005, 999999999.99, 1e9, 1e16, 0.1 + 0.2, -0.0, 0.0, 1e300, float("nan"), float("inf"), 0.01, 123.4]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n double").select(python_float(F.col("n"))).collect()
+    assert [r[0] for r in rows] == [json.dumps(n) for n in numbers]

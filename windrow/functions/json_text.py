@@ -23,9 +23,15 @@ from windrow.schemas import LABELED, NOTICE_FIELDS
 REPAIRED = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("entries", T.ArrayType(T.StringType())), T.StructField("min_confidence", T.DoubleType()), T.StructField("odd_confidence", T.BooleanType())])
 
 
+#: Made once: ``json.dumps`` makes an encoder for each call that has options.
+_AS_IS = json.JSONEncoder(ensure_ascii=False)
+
+
 def unescaped(value: object) -> str:
     """JSON as Python writes it, characters beyond ASCII as they are, unless they are halves of pairs that no file could hold."""
-    text = json.dumps(value, ensure_ascii=False)
+    text = _AS_IS.encode(value)
+    if text.isascii():
+        return text
     try:
         text.encode()
     except UnicodeEncodeError:
@@ -103,8 +109,15 @@ def python_float(number: Column) -> Column:
         small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
         return F.concat(sign, F.when((power >= 16) | (power < -4), wide).when(power >= 0, whole).otherwise(small))
 
+    def hundredths(n: Column) -> Column:
+        # two digits behind the point that read back the same are the shortest there are
+        size, rest = F.abs(n), F.abs(n) % 100
+        digits = F.when(rest % 10 == 0, (rest / 10).cast("int").cast("string")).otherwise(F.lpad(rest.cast("string"), 2, "0"))
+        short = F.concat(F.when(n < 0, "-").otherwise(""), F.floor(size / 100).cast("string"), F.lit("."), digits)
+        return F.when((F.abs(number) < 1e9) & (n != 0) & (n / 100 == number), short).otherwise(let(F.format_string("%.15e", number), written))
+
     endless = F.when(number > 0, "Infinity").otherwise("-Infinity")
-    return F.when(number.isNull(), None).when(F.isnan(number), "NaN").when(F.abs(number) == float("inf"), endless).otherwise(let(F.format_string("%.15e", number), written))
+    return F.when(number.isNull(), None).when(F.isnan(number), "NaN").when(F.abs(number) == float("inf"), endless).otherwise(let(F.rint(number * 100).try_cast("long"), hundredths))
 
 
 def json_value(value: Column, kind: T.DataType) -> Column:

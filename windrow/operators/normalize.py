@@ -7,38 +7,46 @@ from pyspark.sql import functions as F
 
 from windrow.functions.bearings import is_unread_bearing, parse_bearing
 from windrow.functions.coordinates import is_decimal, parse_coordinate
-from windrow.functions.entries import is_string, kind, let, truthy, value
+from windrow.functions.entries import is_string, kind_in, let, let_parsed, text_in, truthy, truthy_in, value
 from windrow.functions.json_text import python_float, set_fields
 from windrow.shared import materialize
 
 
-def issues_of(entry: Column) -> dict[str, Column]:
-    """What needs repair in an entry. Entries are parsed for a value's kind only where its text is in need of repair."""
-    coordinates, bearing = value(entry, "obstacleCoordinates"), value(entry, "obstacleBearing")
+ISSUES = ("all_runways", "coordinates", "bearings")
+
+
+def issues_of(entry: Column, parsed: Column) -> dict[str, Column]:
+    """What needs repair in an entry that is parsed already."""
+    coordinates, bearing = text_in(parsed, entry, "obstacleCoordinates"), text_in(parsed, entry, "obstacleBearing")
     no = F.lit(False)
-    return {
-        "all_runways": F.coalesce(value(entry, "runway") == "ALL", no),
-        "coordinates": F.when(coordinates.isNotNull() & ~is_decimal(coordinates), truthy(entry, "obstacleCoordinates")).otherwise(no),
-        "bearings": F.when(bearing.isNotNull() & is_unread_bearing(bearing), is_string(entry, "obstacleBearing") & (bearing != "")).otherwise(no),
-    }
+    found = (
+        F.coalesce(text_in(parsed, entry, "runway") == "ALL", no),
+        F.when(coordinates.isNotNull() & ~is_decimal(coordinates), truthy_in(parsed, entry, "obstacleCoordinates")).otherwise(no),
+        F.when(bearing.isNotNull() & is_unread_bearing(bearing), F.coalesce(kind_in(parsed, "obstacleBearing") == "STRING", no) & (bearing != "")).otherwise(no),
+    )
+    return dict(zip(ISSUES, found, strict=True))
 
 
 def issue_counts(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
     """Entries in need of each repair, over the whole table."""
-    e = labeled.select(F.explode(entries).alias("e"))
-    return e.agg(*[F.count_if(c).alias(n) for n, c in issues_of(F.col("e")).items()])
+    rows = labeled.select(F.explode(entries).alias("e"))
+    found = rows.select(let_parsed(F.col("e"), lambda p: F.struct(*[c.alias(n) for n, c in issues_of(F.col("e"), p).items()])).alias("found"))
+    return found.agg(*[F.count_if(F.col("found")[n]).alias(n) for n in ISSUES])
 
 
 def repaired_counts(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
     """After a repair: runways that still mean all, decimal coordinates, numeric bearings."""
     e = F.col("e")
-    numeric = F.coalesce(~kind(e, "obstacleBearing").isin("STRING", "BOOLEAN", "VOID") & ~kind(e, "obstacleBearing").rlike("^(ARRAY|OBJECT)"), F.lit(False))
-    flags = {
-        "all_remaining": F.coalesce(value(e, "runway") == "ALL", F.lit(False)),
-        "decimal_coordinates": F.coalesce(truthy(e, "obstacleCoordinates") & is_decimal(value(e, "obstacleCoordinates")), F.lit(False)),
-        "numeric_bearings": numeric,
-    }
-    return labeled.select(F.explode(entries).alias("e")).agg(*[F.count_if(c).alias(n) for n, c in flags.items()])
+
+    def flags(parsed: Column) -> Column:
+        kind = kind_in(parsed, "obstacleBearing")
+        numeric = ~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT")
+        decimal = is_decimal(text_in(parsed, e, "obstacleCoordinates")) & truthy_in(parsed, e, "obstacleCoordinates")
+        found = {"all_remaining": text_in(parsed, e, "runway") == "ALL", "decimal_coordinates": decimal, "numeric_bearings": numeric}
+        return F.struct(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in found.items()])
+
+    found = labeled.select(F.explode(entries).alias("e")).select(let_parsed(e, flags).alias("found"))
+    return found.agg(*[F.count_if(F.col("found")[n]).alias(n) for n in ("all_remaining", "decimal_coordinates", "numeric_bearings")])
 
 
 def _json_string(text: Column) -> Column:
@@ -56,17 +64,20 @@ def _degrees_json(bearing: Column) -> Column:
     return let(parse_bearing(bearing), written)
 
 
-def _changes(entry: Column) -> Column:
-    """A JSON object of the fields that a repair sets."""
-    runway = F.when(value(entry, "runway") == "ALL", F.lit('"runway": null'))
-    coordinates = let(value(entry, "obstacleCoordinates"), lambda v: F.when((v != "") & is_string(entry, "obstacleCoordinates"), F.concat(F.lit('"obstacleCoordinates": '), _json_string(parse_coordinate(v)))))
-    turned = let(value(entry, "obstacleBearing"), lambda v: F.when(truthy(entry, "obstacleBearing"), F.concat(F.lit('"obstacleBearing": '), _degrees_json(v))))
+def _changes(entry: Column, parsed: Column) -> Column:
+    """A JSON object of the fields that a repair sets in an entry that is parsed already."""
+    text = lambda field: text_in(parsed, entry, field)
+    runway = F.when(text("runway") == "ALL", F.lit('"runway": null'))
+    named = kind_in(parsed, "obstacleCoordinates") == "STRING"
+    coordinates = let(text("obstacleCoordinates"), lambda v: F.when((v != "") & named, F.concat(F.lit('"obstacleCoordinates": '), _json_string(parse_coordinate(v)))))
+    turned = F.when(truthy_in(parsed, entry, "obstacleBearing"), let(text("obstacleBearing"), lambda v: F.concat(F.lit('"obstacleBearing": '), _degrees_json(v))))
     return F.concat(F.lit("{"), F.concat_ws(", ", runway, coordinates, turned), F.lit("}"))
 
 
 def fix_entries(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
     """Every entry repaired: ALL becomes null, coordinates decimal, truthy bearings degrees (or null). Other fields stay as they are."""
-    return set_fields(labeled.withColumn("__changes", F.transform(entries, _changes)), entries, "__changes")
+    changes = F.transform(entries, lambda e: let_parsed(e, lambda p: _changes(e, p)))
+    return set_fields(labeled.withColumn("__changes", changes), entries, "__changes")
 
 
 def unrepaired(labeled: DataFrame, entries: str = "runway_entries", key: str = "notam_id") -> DataFrame:
@@ -90,13 +101,15 @@ def fix_counted(labeled: DataFrame, entries: str = "runway_entries") -> tuple[Da
     Rows are written once, with what a repair would set, and the issues are counted while they are: the gate needs no run of its own, and ``labeled`` is evaluated once.
     """
     seen = Observation("issues")
-    held = F.coalesce(F.col(entries), F.array().cast("array<string>"))
+
+    def repair(e: Column) -> Column:
+        return let_parsed(e, lambda p: F.struct(_changes(e, p).alias("changes"), *[c.alias(n) for n, c in issues_of(e, p).items()]))
 
     def count(name: str) -> Column:
-        return F.coalesce(F.sum(F.size(F.filter(held, lambda e: issues_of(e)[name]))), F.lit(0)).alias(name)
+        return F.coalesce(F.sum(F.coalesce(F.size(F.filter(F.col("__repair"), lambda r: r[name])), F.lit(0))), F.lit(0)).alias(name)
 
-    counts = [count(name) for name in issues_of(F.col(entries))]
-    rows = materialize(labeled.withColumn("__changes", F.transform(entries, _changes)).observe(seen, *counts), "fix")
+    seen_rows = labeled.withColumn("__repair", F.transform(entries, repair)).observe(seen, *[count(name) for name in ISSUES])
+    rows = materialize(seen_rows.withColumn("__changes", F.transform("__repair", lambda r: r.changes)).drop("__repair"), "fix")
     found = dict(seen.get)
     return (set_fields(rows, entries, "__changes") if any(found.values()) else rows.drop("__changes")), found
 
