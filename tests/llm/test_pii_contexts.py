@@ -125,3 +125,12 @@ def test_credentials_in_their_contexts_are_marked(spark):
     rows = [(k, f'set token = "{k}a{"0123456789abcdef" * 2}" now') for k in range(5)] + [(9, "set token = no")]
     got = spans(spark, rows)
     assert [got[k] for k in range(5)] == ["id:13:47"] * 5 and got[9] == ""
+
+
+def test_redact_writes_whole_texts_once(spark, monkeypatch):
+    written, write = [], pii.materialize
+    monkeypatch.setattr(pii, "materialize", lambda df, name, **options: written.append(write(df, name, **options)) or written[-1])
+    texts = [f"please write to: {'abcdef'[k % 6]}@example.com {k}" for k in range(12)]
+    pii.redact(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    held = [df.columns for df in written if any(kind == "string" and {r[c] for r in df.select(c).collect()} >= set(texts) for c, kind in df.dtypes)]
+    assert len(written) > 5 and len(held) == 1

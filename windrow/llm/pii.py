@@ -259,7 +259,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     inner = [f"c{i}" for i in range(len(docs.columns))]  # no name of the rows can meet one of the plan's
     text_in = inner[docs.columns.index(text_col)]
     numbered = materialize(docs.toDF(*inner).withColumn("row", F.monotonically_increasing_id()), "rows")
-    spans = _spans(materialize(numbered.select("row", text_of(text_in).alias("__text")), "texts"))
+    spans = _spans(numbered.select("row", text_of(text_in).alias("__text")))  # the texts lie there once, however many columns do
     order = Window.partitionBy("row").orderBy("low", "kind")
     reached = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("__new", F.when(F.col("low") < reached, 0).otherwise(1))
