@@ -76,6 +76,47 @@ def test_answers_that_fail_are_asked_again(spark, tmp_path):
     assert got == [("1", "[]"), ("2", '[{"TORA": 1}]'), ("4", '[{"TORA": 1}]'), ("4", "sorry"), ("None", "[]")]
 
 
+def logged(prompt, log, wait=0.0):
+    """Notes when the call began and ended, and for which notice."""
+    began = time.time()
+    time.sleep(wait)
+    with open(log, "a") as f:
+        f.write(f"{prompt.split('Notice ')[-1].split(':')[0]} {began} {time.time()}\n")
+    return "[]"
+
+
+def test_batches_hold_many_commits_and_a_batch_run_again_asks_none_twice(spark, tmp_path):
+    folder, log = tmp_path / "run", str(tmp_path / "calls")
+    answers.answer(many(spark), lambda p: logged(p, log), str(folder), PER_COMMIT, PER_COMMIT)
+    done = [f for f in folder.glob("*/commits/*") if f.name.isdigit()]
+    assert len(done) == 1  # not one for each PER_COMMIT notices
+    sizes = [spark.read.parquet(str(f)).count() for f in folder.rglob("batch=*/part-*.parquet")]
+    assert sum(sizes) == N and max(sizes) == 1  # four tasks at once lose four calls at most
+    lost = [f for f in folder.rglob("batch=*/part-*.parquet")][:7]
+    for f in [*done, *lost]:  # as if the run had been killed before
+        f.unlink()
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    again = answers.answer(many(spark), lambda p: logged(p, log), str(folder), PER_COMMIT, PER_COMMIT)
+    assert sorted(int(r.notam_id) for r in again.collect()) == [*range(N)]
+    assert len(Path(log).read_text().splitlines()) == N + len(lost)
+
+
+def test_no_more_calls_at_once_than_are_allowed(spark, tmp_path):
+    log = str(tmp_path / "calls")
+    got = answers.answer(many(spark).limit(12), lambda p: logged(p, log, 0.3), str(tmp_path / "run"), per_commit=6, concurrency=2)
+    calls = [tuple(map(float, line.split()[1:])) for line in Path(log).read_text().splitlines()]
+    assert got.count() == len(calls) == 12
+    assert max(sum(b <= began < e for b, e in calls) for began, _ in calls) <= 2
+
+
+def test_answers_of_the_former_layout_are_read(spark, tmp_path):
+    old = spark.createDataFrame([("1", "KJFK", "RWY 09 CLSD", "a", "b", "[]")], answers.ANSWERED)
+    old.write.parquet(str(tmp_path / "answers"))
+    rows = spark.createDataFrame([(i, "KJFK", "RWY 09 CLSD", "a", "b") for i in "12"], NOTICE)
+    got = answers.answer(rows, lambda p: '[{"TORA": 1}]', str(tmp_path))
+    assert sorted((r.notam_id, r.response) for r in got.collect()) == [("1", "[]"), ("2", '[{"TORA": 1}]')]
+
+
 def test_a_plan_goes_on_after_answers_without_labels(spark, tmp_path):
     plan = Prepare(spark, str(tmp_path), labeler=lambda p: "sorry" if "2" in p.split("Notice ")[1][:2] else '[{"runway": "09"}]')
     rows = spark.createDataFrame([(str(i), "KJFK", "RWY CLSD", "a", "b") for i in (1, 2, 3)], NOTICE)

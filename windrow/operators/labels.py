@@ -41,14 +41,8 @@ def extraction_prompt(notam_id: Column, text: Column, fields: tuple[str, ...] |
     )
 
 
-def respond(notices: DataFrame, labeler: Labeler, concurrency: int = 20, tasks: int | None = None) -> DataFrame:
-    """``notices`` with text, with the column ``response``; null where the labeler raised.
-
-    At most ``concurrency`` calls are under way over all tasks. Write the result once: another evaluation calls the
-    model again, for which speculative execution should be off as well.
-    """
-    n = min(tasks or concurrency, concurrency)
-    each = max(1, concurrency // n)
+def ask(notices: DataFrame, labeler: Labeler, threads: int = 1) -> DataFrame:
+    """``notices`` with text, with the column ``response``, null where the labeler raised; partitions stay as they are, with ``threads`` calls at once in each."""
     asked = notices.where(~is_blank(F.col("notam_text"))).withColumn("response", extraction_prompt(F.col("notam_id"), F.col("notam_text")))
 
     def safe(prompt: str) -> str | None:
@@ -58,13 +52,24 @@ def respond(notices: DataFrame, labeler: Labeler, concurrency: int = 20, tasks:
             return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ThreadPoolExecutor(each) as pool:
+        with ThreadPoolExecutor(threads) as pool:
+            each = pool.map if threads > 1 else map  # a call that waits for none needs no thread of its own
             for batch in batches:
                 at = batch.schema.get_field_index("response")
-                answers = pa.array(pool.map(safe, batch.column(at).to_pylist()), pa.string())
+                answers = pa.array(each(safe, batch.column(at).to_pylist()), pa.string())
                 yield pa.RecordBatch.from_arrays([answers if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
 
-    return asked.repartition(n).mapInArrow(run, asked.schema)
+    return asked.mapInArrow(run, asked.schema)
+
+
+def respond(notices: DataFrame, labeler: Labeler, concurrency: int = 20, tasks: int | None = None) -> DataFrame:
+    """``notices`` with text, with the column ``response``; null where the labeler raised.
+
+    At most ``concurrency`` calls are under way over all tasks. Write the result once: another evaluation calls the
+    model again, for which speculative execution should be off as well.
+    """
+    n = min(tasks or concurrency, concurrency)
+    return ask(notices.where(~is_blank(F.col("notam_text"))).repartition(n), labeler, max(1, concurrency // n))
 
 
 def labeled(responded: DataFrame) -> DataFrame:
