@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions.bearings import is_unread_bearing, parse_bearing
 from windrow.functions.coordinates import is_decimal, parse_coordinate
-from windrow.functions.entries import is_string, kind_in, let, let_parsed, text_in, truthy, truthy_in, value
+from windrow.functions.entries import is_string, kind_in, let, let_parsed, text_in, truthy, truthy_in, truthy_text, value
 from windrow.functions.json_text import python_float, set_fields
 from windrow.shared import materialize
 
@@ -34,19 +34,69 @@ def issue_counts(labeled: DataFrame, entries: str = "runway_entries") -> DataFra
     return found.agg(*[F.count_if(F.col("found")[n]).alias(n) for n in ISSUES])
 
 
+COUNTS = ("all_remaining", "decimal_coordinates", "numeric_bearings")
+
+
+def _is_number(kind: Column) -> Column:
+    return ~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT")
+
+
 def repaired_counts(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
     """After a repair: runways that still mean all, decimal coordinates, numeric bearings."""
     e = F.col("e")
 
     def flags(parsed: Column) -> Column:
-        kind = kind_in(parsed, "obstacleBearing")
-        numeric = ~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT")
         decimal = is_decimal(text_in(parsed, e, "obstacleCoordinates")) & truthy_in(parsed, e, "obstacleCoordinates")
-        found = {"all_remaining": text_in(parsed, e, "runway") == "ALL", "decimal_coordinates": decimal, "numeric_bearings": numeric}
-        return F.struct(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in found.items()])
+        found = (text_in(parsed, e, "runway") == "ALL", decimal, _is_number(kind_in(parsed, "obstacleBearing")))
+        return F.struct(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in zip(COUNTS, found, strict=True)])
 
     found = labeled.select(F.explode(entries).alias("e")).select(let_parsed(e, flags).alias("found"))
-    return found.agg(*[F.count_if(F.col("found")[n]).alias(n) for n in ("all_remaining", "decimal_coordinates", "numeric_bearings")])
+    return found.agg(*[F.count_if(F.col("found")[n]).alias(n) for n in COUNTS])
+
+
+def _is_unread(entry: Column) -> Column:
+    """Whether Spark's parser does not read an entry, as one with NaN or with a key given twice."""
+    return entry.isNotNull() & F.try_parse_json(entry).isNull()
+
+
+def _repaired_values(labeled: DataFrame, entries: str) -> DataFrame:
+    """A row for each entry that Spark's parser reads: whether it needs a repair, and what is counted of its values, as they are (``now``) and repaired (``then``).
+
+    Each step is a projection of its own: Spark compiles it, and computes each of its values once.
+    """
+    fields = {"runway": "runway", "place": "obstacleCoordinates", "bearing": "obstacleBearing"}
+    rows = labeled.select(F.explode(entries).alias("e")).select("e", F.try_parse_json("e").alias("parsed"))
+    rows = rows.select((F.col("e").isNotNull() & F.col("parsed").isNull()).alias("unread"), *[F.try_variant_get("parsed", f"$.{f}", "variant").alias(n) for n, f in fields.items()])
+    kinds = [F.schema_of_variant(n).alias(f"{n}_kind") for n in ("place", "bearing")]
+    rows = rows.select("unread", *[F.try_variant_get(n, "$", "string").alias(n) for n in fields], *kinds)
+
+    runway, place, bearing, kind = F.col("runway"), F.col("place"), F.col("bearing"), F.col("bearing_kind")
+    rows = rows.select("*", truthy_text(place, F.col("place_kind")).alias("placed"), truthy_text(bearing, kind).alias("turned"), is_decimal(place).alias("decimal"))
+    unknown = (kind == "STRING") & (bearing != "") & is_unread_bearing(bearing)
+    read = F.when((F.col("place_kind") == "STRING") & (place != "") & ~F.col("decimal"), parse_coordinate(place))
+    rows = rows.withColumn("issue", (runway == "ALL") | (F.col("placed") & ~F.col("decimal")) | unknown).withColumn("read", read).withColumn("degrees", F.when(F.col("turned"), parse_bearing(bearing)))
+
+    now = (runway == "ALL", F.col("decimal") & F.col("placed"), _is_number(kind))
+    then = (F.when(runway != "ALL", runway) == "ALL", F.when(F.col("read").isNotNull(), is_decimal(F.col("read"))).otherwise(now[1]), F.when(F.col("turned"), F.col("degrees").isNotNull()).otherwise(now[2]))
+    return rows.select("unread", "issue", F.struct(*[c.alias(n) for n, c in zip(COUNTS, now, strict=True)]).alias("now"), F.struct(*[c.alias(n) for n, c in zip(COUNTS, then, strict=True)]).alias("then"))
+
+
+def counted_repair(labeled: DataFrame, entries: str = "runway_entries") -> DataFrame:
+    """The :func:`repaired_counts` of :func:`fix`, without a row written: values are repaired and counted as they are read, in the one pass that finds the issues of the table-wide gate.
+
+    Entries that Spark's parser does not read are written, repaired by :func:`fix_entries` and counted after that. ``labeled`` is evaluated a second time for them alone, if there are any.
+    """
+    sums = [F.count_if(F.col(state)[n]).alias(f"{state}_{n}") for state in ("now", "then") for n in COUNTS]
+    found = _repaired_values(labeled, entries).agg(F.count_if("unread").alias("unread"), F.count_if("issue").alias("issues"), *sums).first()
+    odd = None
+    if found.unread:
+        odd = materialize(labeled.select(F.filter(entries, _is_unread).alias(entries)).where(F.size(entries) > 0), "odd")
+    open_gate = found.issues or (odd is not None and any(issue_counts(odd, entries).first()))
+    counts = {n: found[f"{'then' if open_gate else 'now'}_{n}"] for n in COUNTS}
+    if odd is not None:
+        rest = repaired_counts(fix_entries(odd, entries) if open_gate else odd, entries).first()
+        counts = {n: k + rest[n] for n, k in counts.items()}
+    return labeled.sparkSession.range(1).select(*[F.lit(k).cast("long").alias(n) for n, k in counts.items()])
 
 
 def _json_string(text: Column) -> Column:
